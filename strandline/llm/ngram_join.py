@@ -321,9 +321,9 @@ n AS (SELECT doc_id, count(*) AS c FROM g GROUP BY 1),
 p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM g a JOIN g b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
 l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 80 * (x.c + y.c - i)),
 e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
-r(id, at) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.id, e.b FROM r JOIN e ON e.a = r.at)
+r(id, node) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.id, e.b FROM r JOIN e ON e.a = r.node)
 SELECT d.doc_id, coalesce(n.c, 0) AS n_shingles, m.component_id
-FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT id, min(at) AS component_id FROM r GROUP BY 1) m ON m.id = d.doc_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT id, min(node) AS component_id FROM r GROUP BY 1) m ON m.id = d.doc_id
 """
 
 
