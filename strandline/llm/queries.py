@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from .ann_tree import op2_ann_tree
 from .ngram_join import OP1_SQL, op1_ngram_jaccard_join
+from .sentencepiece_scan import op8_sentencepiece
+from .toxicity import op3_toxicity
 
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_ann_tree": op2_ann_tree,
+    "op3_toxicity": op3_toxicity,
+    "op8_sentencepiece": op8_sentencepiece,
 }
 
 ORACLES = {
