@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows up to which a side of 8 to 16 byte keys is sent to every executor; larger sides are shuffled.
@@ -68,22 +68,23 @@ def components(edges: DataFrame, keep: Scratch) -> DataFrame:
         if large:
             sym = e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
             low = sym.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-            out = sym.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        else:
-            low = e.groupBy("a").agg(F.min("b").alias("m"))
-            out = e.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
+            return sym.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        low = e.groupBy("a").agg(F.min("b").alias("m"))
+        out = e.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
         return out.where("a <> b").distinct()
 
-    def sign(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+    def saved(e: DataFrame) -> tuple[DataFrame, tuple]:
+        seen = Observation()
+        kept = keep.save(e.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")), "cc")
+        return kept, (seen.get["n"], seen.get["h"])
 
-    now = keep.save(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc")
-    was, mark = None, sign(now)
-    while mark != was:
+    now, mark = saved(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    was = None
+    while mark != was and mark[0]:
         was = mark
-        new = keep.save(star(star(now, True), False), "cc")
+        new, mark = saved(star(star(now, True), False))
         keep.drop(now)
-        now, mark = new, sign(new)
+        now = new
     return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
 

@@ -271,8 +271,8 @@ def heavy_edges(sets: DataFrame, least: int, keep: Scratch) -> DataFrame:
         hub = now.groupBy("e").agg(F.min_by(F.struct("d", "n", "component"), F.xxhash64("d", F.lit(r))).alias("hub"), F.count("*").alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
         if r:
             now = keep.save(now.join(hub.select("e"), "e", "left_semi"), "open")
-            per = now.groupBy("e", "component").agg(F.count("*").alias("c")).groupBy("e").agg(F.sum("c").alias("m"), F.max("c").alias("g"))
-            left = per.agg(F.sum((F.col("m") - F.col("g")) * F.col("m"))).first()[0]
+            per = now.groupBy("e", "component").agg(F.count("*").alias("c")).groupBy("e").agg(F.sum("c").alias("m"), F.max_by("component", "c").alias("main"))
+            left = now.join(per, "e").where("component <> main").groupBy("d").agg(F.max("m").alias("m")).agg(F.sum("m")).first()[0]
             if not left:
                 return edges
             if left <= LEFT_A_DOC * docs or r == ROUNDS - 1:
@@ -289,7 +289,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     component_id is the smallest doc_id reachable over links of Jaccard >= 0.8 on distinct 5-word shingles, the document itself included.
     Null and empty texts and texts of blanks have no shingles and link with nothing; texts under five words have one. Rows that share a
-    doc_id are one node. A null doc_id takes no part and gets a null component. Other columns are ignored; an empty table gives none.
+    doc_id are one node and get the largest of its sizes. A null doc_id takes no part and gets a null component. Other columns are ignored; an empty table gives none.
     """
     spark = docs.sparkSession
     keep = Scratch(spark)
@@ -304,9 +304,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     most = boundary(sizes, length or 1.0)
     edges = heavy_edges(sets, -(-NUM * (most + 1) // DEN), keep)
     edges = edges.unionByName(light_edges(sets, most)) if edges is not None else light_edges(sets, most)
-    same = marks.where("n > 0").join(classes, ["f1", "f2"]).select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    labels = components(edges.unionByName(same), keep).withColumnRenamed("id", "doc_id")
-    known = marks.select("doc_id", F.col("n").alias("n_shingles")).join(labels, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    labels = components(edges, keep).withColumnRenamed("id", "rep")
+    linked = classes.join(labels, "rep", "left").select("f1", "f2", F.coalesce("component", "rep").alias("component"))
+    each = marks.join(linked, ["f1", "f2"], "left").groupBy("doc_id").agg(F.max("n").alias("n_shingles"), F.min("component").alias("component"), F.count("*").alias("times"))
+    known = each.select("doc_id", "n_shingles", F.explode(F.array_repeat(F.least("component", "doc_id"), F.col("times").cast("int"))).alias("component_id"))
     blank = docs.where("doc_id is null").select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(None).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
     return known.unionByName(blank)
 
