@@ -5,6 +5,7 @@ from __future__ import annotations
 from .ann_tree import op2_ann_tree
 from .decontaminate import op10_decontamination
 from .ngram_join import OP1_SQL, op1_ngram_jaccard_join
+from .pii import op7_pii
 from .sentencepiece_scan import op8_sentencepiece
 from .toxicity import op3_toxicity
 from .warc import OP5_SQL, op5_warc
@@ -14,6 +15,7 @@ QUERIES = {
     "op2_ann_tree": op2_ann_tree,
     "op3_toxicity": op3_toxicity,
     "op5_warc": op5_warc,
+    "op7_pii": op7_pii,
     "op8_sentencepiece": op8_sentencepiece,
     "op10_decontamination": op10_decontamination,
 }
