@@ -149,7 +149,7 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
             yield pdf.assign(leaf=got).explode("leaf").astype({"leaf": "int64"})
 
     def compare(key, q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"q": [], "ids": [], "score": []}).astype({"q": "int64", "score": "float64"})
+        none = pd.DataFrame({"q": pd.Series([], dtype="int64"), "ids": pd.Series([], dtype=object), "score": pd.Series([], dtype="float64")})
         if not len(q) or not len(v):
             return none
         a, b = matrix(q.embedding), matrix(v.embedding)
