@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from .ann_tree import op2_ann_tree
 from .decontaminate import op10_decontamination
+from .lm_score import op9_lm_score
 from .ngram_join import OP1_SQL, op1_ngram_jaccard_join
 from .pii import op7_pii
+from .secrets import op4_secret_forest
 from .sentencepiece_scan import op8_sentencepiece
 from .toxicity import op3_toxicity
 from .warc import OP5_SQL, op5_warc
@@ -14,9 +16,11 @@ QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_ann_tree": op2_ann_tree,
     "op3_toxicity": op3_toxicity,
+    "op4_secret_forest": op4_secret_forest,
     "op5_warc": op5_warc,
     "op7_pii": op7_pii,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_lm_score": op9_lm_score,
     "op10_decontamination": op10_decontamination,
 }
 
