@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .ann_tree import op2_ann_tree
 from .decontaminate import op10_decontamination
+from .html_wrapper import op6_html_wrapper
 from .lm_score import op9_lm_score
 from .ngram_join import OP1_SQL, op1_ngram_jaccard_join
 from .pii import op7_pii
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_secret_forest": op4_secret_forest,
     "op5_warc": op5_warc,
+    "op6_html_wrapper": op6_html_wrapper,
     "op7_pii": op7_pii,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_lm_score": op9_lm_score,
