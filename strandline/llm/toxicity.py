@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_or_shuffled, table, texts_of
+from .common import Scratch, small_or_shuffled, table, texts_of
 
 BUCKETS = 1 << 20
 #: Rows (least hash first) that the machine is fitted on; terms are chosen over all labelled rows.
@@ -119,10 +119,12 @@ def _counts(batches):
 def train(docs: DataFrame, labels: DataFrame) -> Machine:
     """Machine from the labelled documents outside the held-out fold. Equal texts count once; rows that disagree count as toxic."""
     y = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y")).where(~held_out())
-    have = docs.select("doc_id", "text").join(y, "doc_id").withColumn("h", F.xxhash64("text"))
-    once = have.groupBy("h").agg(F.min("doc_id").alias("doc_id"))
-    rows = have.join(small_or_shuffled(once.select("doc_id"), once.count()), "doc_id", "left_semi")
-    total = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
+    y = small_or_shuffled(y, y.count())
+    once = docs.select("doc_id", "text").join(y, "doc_id").groupBy(F.xxhash64("text")).agg(F.min_by(F.struct("doc_id", "y"), "doc_id").alias("r")).select("r.*")
+    once = Scratch(docs.sparkSession).save(once, "labelled")
+    texts = lambda ids: docs.select("doc_id", "text").join(small_or_shuffled(ids, ids.count()), "doc_id")
+    rows = texts(once)
+    total = {r.y: r["count"] for r in once.groupBy("y").count().collect()}
     n0, n1 = total.get(0, 0), total.get(1, 0)
     if not n0 or not n1:
         return Machine([], float(np.log((n1 + 0.5) / (n0 + 0.5))) if n0 or n1 else -3.0, np.zeros(0), np.zeros((0, FACTORS)))
@@ -137,8 +139,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
         for pdf in frames:
             yield pd.DataFrame({"y": pdf.y, "x": [sorted(term_set(t or "", cache)) for t in pdf.text]})
 
-    some = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS) if n0 + n1 > TRAIN_ROWS else rows
-    got = some.select("text", "y").mapInPandas(features, "y int, x array<int>").toPandas()
+    some = once.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS)
+    got = texts(some).select("text", "y").mapInPandas(features, "y int, x array<int>").toPandas()
     return Machine.fit(terms, [list(x) for x in got.x], got.y.to_numpy())
 
 
