@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, table, texts_of
+from .common import Scratch, small_or_shuffled, table, texts_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Characters of a chunk; longer documents are giant.
@@ -231,7 +231,7 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     giant = F.coalesce(F.length("text") > CHUNK, F.lit(False))
     small = rows.where(~giant).mapInArrow(_encode_small(model), "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
-    big = keep.save(rows.where(giant).withColumn("h", F.sha2("text", 256)).mapInPandas(_cut, "doc_id long, h string, no int, part string, a int, b int"), "chunks").repartition("doc_id", "h", "no")
+    big = keep.save(rows.where(giant).withColumn("h", F.sha2("text", 256)).mapInPandas(_cut, "doc_id long, h string, no int, part string, a int, b int"), "chunks")
 
     def matrices(frames):
         lat = lattice(model)
@@ -253,6 +253,8 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
         return pd.DataFrame({"doc_id": [pdf.doc_id.iat[0]] * copies, "n_tokens": len(ids), "ids": [ids] * copies, "round_trip": ok})
 
     states = big.mapInPandas(matrices, "doc_id long, h string, no int, from array<string>, to array<string>").groupBy("doc_id", "h").applyInPandas(_combine, "doc_id long, h string, no int, s0 string, s1 string")
+    states = keep.save(states, "states")
+    states = small_or_shuffled(states, states.count())
     joined = big.join(states, (big.doc_id.eqNullSafe(states.doc_id)) & (big.h == states.h) & (big.no == states.no)).select(big.doc_id, big.h, big.no, "part", "a", "b", "s0", "s1")
     done = joined.mapInPandas(back, "doc_id long, h string, no int, ids array<int>").groupBy("doc_id", "h").applyInPandas(whole, "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
     return small.unionByName(done)
