@@ -3,8 +3,7 @@
 Candidates are long runs of key-like characters with letters and digits, and PEM private-key blocks. The features of one are its
 length, transitions between character classes, the share of it that common words cover, signs of a path before it, and the words around
 it. The forest is trained on labelled findings, which labelled() makes by rule (the kinds of keys that leak, and the hashes, ids, paths,
-addresses and names that scanners report by mistake), and is then written out as one SQL expression, so that scoring is part of the
-plan's generated code.
+addresses and names that scanners report by mistake), and is then walked by SQL functions: its nodes are array literals.
 """
 
 from __future__ import annotations
@@ -114,26 +113,46 @@ def forest(x: np.ndarray, y: np.ndarray, seed: int = 11) -> list:
     return [grow(x[rows], y[rows], rng) for rows in (rng.integers(0, len(y), len(y)) for _ in range(TREES))]
 
 
-def as_sql(tree) -> str:
-    if isinstance(tree, float):
-        return f"{tree:.6f}D"
-    f, t, left, right = tree
-    return f"IF({FEATURES[f]} < {t:.9f}D, {as_sql(left)}, {as_sql(right)})"
+def flat(trees: list) -> dict[str, list]:
+    """Trees as one table of nodes: feature (-1: leaf), threshold, left, right, value; roots has each tree's first node."""
+    out: dict[str, list] = {"feature": [], "threshold": [], "left": [], "right": [], "value": [], "roots": []}
 
+    def put(t) -> int:
+        k = len(out["feature"])
+        row = (-1, 0.0, k, k, t) if isinstance(t, float) else (t[0], t[1], -1, -1, 0.0)
+        for name, v in zip(("feature", "threshold", "left", "right", "value"), row):
+            out[name].append(v)
+        if not isinstance(t, float):
+            out["left"][k], out["right"][k] = put(t[2]), put(t[3])
+        return k
 
-def model(spark: SparkSession) -> str:
-    """The forest trained on labelled(), as a SQL expression over FEATURES."""
+    for t in trees:
+        out["roots"].append(put(t))
+    return out
+
+
+def vote(nodes: dict[str, list], x: Column) -> Column:
+    """Mean value of the leaves that the features x (an array in the order of FEATURES) lead to. The trees are array literals, and a
+    step down all levels is a fold, so the expression doesn't grow with the forest."""
+    lit = {k: F.lit(v) for k, v in nodes.items()}
+    step = lambda n, _: F.when(F.get(x, F.greatest(F.get(lit["feature"], n), F.lit(0))) < F.get(lit["threshold"], n), F.get(lit["left"], n)).otherwise(F.get(lit["right"], n))
+    leaf = lambda root: F.aggregate(F.lit(list(range(DEPTH))), root, step)
+    return F.aggregate(lit["roots"], F.lit(0.0), lambda acc, r: acc + F.get(lit["value"], leaf(r))) / len(nodes["roots"])
+
+
+def model(spark: SparkSession) -> dict[str, list]:
+    """The forest trained on labelled()."""
     rows = labelled(spark).select("label", *(v.alias(k) for k, v in features(F.col("candidate"), F.col("before"), F.col("after")).items())).orderBy("label", *FEATURES).collect()
     x = np.array([[r[f] for f in FEATURES] for r in rows])
-    return "(" + " + ".join(map(as_sql, forest(x, np.array([r.label for r in rows])))) + f") / {TREES}D"
+    return flat(forest(x, np.array([r.label for r in rows])))
 
 
-def scan(docs: DataFrame, expression: str | None = None) -> DataFrame:
+def scan(docs: DataFrame, nodes: dict[str, list] | None = None) -> DataFrame:
     """(doc_id, start, end, candidate, score, is_secret): every candidate of every text; start and end count characters, end exclusive.
 
     Null and empty texts have none. Repeated rows give repeated findings; doc_id may be null; other columns are ignored.
     """
-    expression = expression or model(docs.sparkSession)
+    nodes = nodes or model(docs.sparkSession)
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text").rlike(CANDIDATE))
     found = text.select("doc_id", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("c"), F.split("text", CANDIDATE, -1).alias("s"))
     # where each candidate starts: the lengths of what stands before it, summed along
@@ -145,7 +164,8 @@ def scan(docs: DataFrame, expression: str | None = None) -> DataFrame:
     each = found.select("doc_id", "s", F.explode(F.arrays_zip(F.col("c").alias("candidate"), first.alias("start"), F.slice("s", F.lit(1), F.size("c")).alias("before"), F.slice("s", F.lit(2), F.size("c")).alias("after"))).alias("x"))
     each = each.select("doc_id", "x.start", "x.candidate", F.right("x.before", F.lit(BEFORE)).alias("before"), F.left("x.after", F.lit(AFTER)).alias("after"))
     each = each.where(F.col("candidate").rlike("[0-9]") & F.col("candidate").rlike("[A-Za-z]"))
-    scored = each.select("doc_id", "start", "candidate", *(v.alias(k) for k, v in features(F.col("candidate"), F.col("before"), F.col("after")).items())).withColumn("score", F.expr(expression))
+    x = F.array(*features(F.col("candidate"), F.col("before"), F.col("after")).values())
+    scored = each.select("doc_id", "start", "candidate", x.alias("x")).withColumn("score", vote(nodes, F.col("x")))
     return scored.select("doc_id", "start", (F.col("start") + F.length("candidate")).alias("end"), "candidate", F.round("score", 6).alias("score"), (F.round("score", 6) >= SECRET).alias("is_secret"))
 
 
