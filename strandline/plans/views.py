@@ -25,7 +25,7 @@ VIEW_SQL: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT l_partkey AS contig, l_suppkey % 5 AS sample, CAST(l_quantity AS INTEGER) AS depth, CAST(l_linenumber AS BIGINT) AS bases, CAST(p_size * 10 AS BIGINT) AS len
         FROM lineitem JOIN part ON l_partkey = p_partkey"""),
     "contigs": ((), """
-        SELECT p_partkey AS contig, CAST(p_size * 10 AS BIGINT) AS len, p_brand AS bin, p_type AS kind, p_name AS name, 20.0 + (p_partkey % 60) AS gc FROM part"""),
+        SELECT p_partkey AS contig, CAST(p_size * 10 AS BIGINT) AS len, p_brand AS bin, p_type AS kind, p_name AS name, CAST(20.0 + (p_partkey % 60) AS DOUBLE) AS gc FROM part"""),
     "chunks": ((), """
         SELECT l_orderkey AS contig, l_linenumber AS chunk, min(nullif(l_suppkey % 7, 0)) AS bin FROM lineitem GROUP BY 1, 2"""),
     "seqs": ((), """
