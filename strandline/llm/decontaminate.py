@@ -2,8 +2,9 @@
 
 A document is read in passages of two steps' words each, a step being the longest item, so that any item that lies in a document lies
 in a passage. Scores are BM25 divided by the item's score against itself: 1 means that every term of the item is there. Posting lists
-are in item order with the largest impact of each block of BLOCK items; block-max WAND moves over them and looks at no item whose
-blocks can't reach the threshold, so all items above the threshold are retrieved. What is retrieved is then verified: word 3-grams of
+are in item order (items of like length stand together) with the largest impact of each block of BLOCK items. The bounds of all blocks
+are summed for all passages of a document at once; block-max WAND then moves over the lists within the blocks that can reach the
+threshold, and looks at no item whose terms can't, so all items above the threshold are retrieved. What is retrieved is then verified: word 3-grams of
 the item's question (all but its last sentence) and answer (the last sentence; of a single sentence, the last third) in the passage.
 """
 
@@ -28,7 +29,7 @@ K1, B = 1.2, 0.75
 THRESHOLD, OVERLAP, WHOLE = 0.5, 0.5, 0.6
 GRAM = 3
 #: Items of a posting block; items of one index: more items are searched in further passes, so that a task's index is bounded.
-BLOCK, ITEMS = 16, 20_000
+BLOCK, ITEMS = 8, 4000
 OUT = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
 
 
@@ -55,7 +56,7 @@ class Index:
     """items: (item_id, text); empty items are left out."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        rows = [(i, t, w) for i, t in items if t and (w := tokens(t))]
+        rows = sorted(((i, t, w) for i, t in items if t and (w := tokens(t))), key=lambda r: (len(set(r[2])), r[0]))
         self.ids = [i for i, _, _ in rows]
         self.term: dict[str, int] = {}
         tf = [Counter(self.term.setdefault(x, len(self.term)) for x in w) for _, _, w in rows]
@@ -68,8 +69,10 @@ class Index:
             for t, x in s.items():
                 self.postings[t].append((k, float(x / own)))
         self.at = {t: [k for k, _ in p] for t, p in self.postings.items()}
-        self.most = np.array([max((x for _, x in self.postings[t]), default=0.0) for t in range(len(self.term))] + [0.0])
-        self.blocks = {t: [max(x for _, x in p[i : i + BLOCK]) for i in range(0, len(p), BLOCK)] for t, p in self.postings.items()}
+        self.bound = np.zeros((len(self.term), -(-len(rows) // BLOCK)), np.float32)
+        for t, p in self.postings.items():
+            for k, x in p:
+                self.bound[t, k // BLOCK] = max(self.bound[t, k // BLOCK], x)
         self.step = max((len(w) for _, _, w in rows), default=1)
         self.parts = []
         for _, t, w in rows:
@@ -77,41 +80,25 @@ class Index:
             code = lambda words: grams([self.term[x] for x in words])
             self.parts.append((code(q), code(a), code(w)))
 
-    def search(self, terms: list[int]) -> list[tuple[int, float]]:
-        """Items with a score of THRESHOLD or more for a passage of these distinct terms: block-max WAND with a fixed threshold."""
-        least = THRESHOLD - 1e-9
-        cursors = [[0, t] for t in terms if self.most[t] > 0]
+    def search(self, terms: list[int], block: int) -> list[tuple[int, float]]:
+        """Items of a block with a score of THRESHOLD or more for a passage of these distinct terms: WAND with the block's bounds."""
+        least, end = THRESHOLD - 1e-9, (block + 1) * BLOCK
+        cursors = [[bisect_left(self.at[t], block * BLOCK), t] for t in terms if self.bound[t, block] > 0]
         out = []
         while True:
-            cursors = [c for c in cursors if c[0] < len(self.at[c[1]])]
+            cursors = [c for c in cursors if c[0] < len(self.at[c[1]]) and self.at[c[1]][c[0]] < end]
             cursors.sort(key=lambda c: self.at[c[1]][c[0]])
             bound, pivot = 0.0, None
             for j, (_, t) in enumerate(cursors):
-                bound += self.most[t]
-                if bound >= least:
+                bound += self.bound[t, block]
+                if bound >= least - 1e-5:
                     pivot = j
                     break
             if pivot is None:
                 return out
             item = self.at[cursors[pivot][1]][cursors[pivot][0]]
-            while pivot + 1 < len(cursors) and self.at[cursors[pivot + 1][1]][cursors[pivot + 1][0]] == item:
-                pivot += 1
-            # shallow move: the blocks in which the item would lie
-            bound, nearest = 0.0, len(self.ids)
-            for c, t in cursors[: pivot + 1]:
-                j = bisect_left(self.at[t], item, c)
-                if j < len(self.at[t]):
-                    bound += self.blocks[t][j // BLOCK]
-                    end = min(len(self.at[t]), (j // BLOCK + 1) * BLOCK)
-                    nearest = min(nearest, self.at[t][end - 1] + 1)
-            if bound < least:
-                # no item before the end of the nearest block, or before the next list starts, can reach it
-                to = max(item + 1, min(nearest, self.at[cursors[pivot + 1][1]][cursors[pivot + 1][0]] if pivot + 1 < len(cursors) else nearest))
-                for c in cursors[: pivot + 1]:
-                    c[0] = bisect_left(self.at[c[1]], to, c[0])
-                continue
             score = 0.0
-            for c in cursors[: pivot + 1]:
+            for c in cursors:
                 c[0] = bisect_left(self.at[c[1]], item, c[0])
                 if c[0] < len(self.at[c[1]]) and self.at[c[1]][c[0]] == item:
                     score += self.postings[c[1]][c[0]][1]
@@ -119,26 +106,30 @@ class Index:
             if score >= least:
                 out.append((item, score))
 
-    def passages(self, x: np.ndarray) -> Iterator[np.ndarray]:
-        """Passages of a document's terms (-1: in no item) whose terms could reach the threshold at all."""
-        n = -(-len(x) // self.step) if len(x) else 0
+    def passages(self, x: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Passages of a document's terms (-1: in no item), each with the blocks of items whose bounds let it reach the threshold."""
         at = np.flatnonzero(x >= 0)
         if not len(at):
             return
-        size = len(self.term)
-        have = np.unique(at // self.step * size + x[at])
-        bound = np.bincount(have // size, weights=self.most[have % size], minlength=n)
-        bound[:-1] += bound[1:].copy()
-        for k in np.flatnonzero(bound >= THRESHOLD - 1e-9):
-            yield x[k * self.step : (k + 2) * self.step]
+        n, size = -(-len(x) // self.step), len(self.term)
+        # the distinct terms of each step and of the one after it make those of a passage
+        part = at // self.step
+        have = np.unique(np.concatenate([part * size + x[at], (part[part > 0] - 1) * size + x[at][part > 0]]))
+        passage, start = np.unique(have // size, return_index=True)
+        sums = np.add.reduceat(self.bound[have % size], start, axis=0)
+        hit = sums >= THRESHOLD - 1e-5
+        for k in np.flatnonzero(hit.any(axis=1)):
+            if passage[k] < n:
+                yield x[passage[k] * self.step : (passage[k] + 2) * self.step], np.flatnonzero(hit[k])
 
     def found(self, x: np.ndarray) -> dict[int, tuple[float, float, float]]:
         """Verified items of a document: item -> score, overlaps of question and answer; of several passages, the best."""
         out: dict[int, tuple[float, float, float]] = {}
-        for p in self.passages(x):
+        for p, blocks in self.passages(x):
             words = p.tolist()
+            terms = sorted({t for t in words if t >= 0})
             here = None
-            for k, s in self.search(sorted({t for t in words if t >= 0})):
+            for k, s in (y for b in blocks.tolist() for y in self.search(terms, b)):
                 here = here if here is not None else {tuple(words[i : i + n]) for n in (1, 2, 3) for i in range(len(words) - n + 1)}
                 q, a, w = (len(g & here) / len(g) for g in self.parts[k])
                 if (q >= OVERLAP and (a >= OVERLAP or w >= WHOLE)) and (s, q, a) > out.get(k, (0.0, 0.0, 0.0)):
