@@ -92,6 +92,8 @@ def fastq(f, start: int, end: int, strict: bool) -> Iterator[tuple]:
     if start:
         while fill(4) and not (held[0][1].startswith("@") and held[2][1].startswith("+") and len(held[1][1]) == len(held[3][1])):
             held.pop(0)
+        if not fill(4) and not (len(held) > 2 and held[0][1].startswith("@") and held[2][1].startswith("+")):
+            return
     while fill(1) and held[0][0] < end:
         whole = fill(4)
         if not whole and not "".join(x for _, x in held).strip():
