@@ -358,3 +358,28 @@ def _(v):
 
     s = v.bases.where("length(seq) >= 60").select("id", "ord", F.left("seq", F.lit(60)).alias("seq"))
     return closest(s.where("ord >= 20").select("id", "seq"), s.where("ord < 20").select(F.col("id").alias("ref"), F.col("seq").alias("ref_seq")))
+
+
+@query("r5_masked_islands", "SELECT id, md5(regexp_replace(seq, 'N([ACGT]{1,5})N', 'NZN', 'g')) AS seq FROM bases", "bases")
+def _(v):
+    """Short islands between ambiguous bases are masked."""
+    return v.bases.select("id", F.md5(F.regexp_replace("seq", "N([ACGT]{1,5})N", "NZN")).alias("seq"))
+
+
+@query("u5_sql_functions", "SELECT id, translate(reverse(upper(left(seq, 40))), 'GTCA', 'CAGT') AS rc, len(regexp_extract_all(seq, '[AC]{5,}')) AS runs FROM bases", "bases")
+def _(v):
+    from ..functions.register import register
+
+    register(v.spark)
+    return v.bases.select("id", F.expr("revcomp(left(seq, 40))").alias("rc"), F.expr("cast(count_runs(seq, 'AC', 5) as long)").alias("runs"))
+
+
+@query("a42_kmer_vectors", """
+    WITH k AS (SELECT id, substr(seq, CAST(i AS INTEGER), 1) AS c FROM bases, LATERAL (SELECT unnest(range(1, length(seq) + 1)) AS i))
+    SELECT id, """ + ", ".join(f"round(count(*) FILTER (c = '{c}') / CAST(count(*) FILTER (c <> 'N') AS DOUBLE), 6) AS {c}" for c in "ACGT") + " FROM k GROUP BY 1 HAVING count(*) FILTER (c <> 'N') > 0", "bases")
+def _(v):
+    """The wide form of 1-mer shares: what a self-organising map is trained on."""
+    k = v.bases.select("id", F.explode(t.kmers(F.col("seq"), 1)).alias("c")).where("c <> 'N'")
+    n = k.groupBy("id").pivot("c", list("ACGT")).agg(F.count(F.lit(1))).na.fill(0)
+    total = sum(F.col(c) for c in "ACGT")
+    return n.select("id", *(F.round(F.col(c) / total, 6).alias(c) for c in "ACGT"))
