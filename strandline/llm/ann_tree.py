@@ -22,9 +22,10 @@ from .common import Scratch, table
 SAMPLE = 16_384
 BRANCH, LEAF = 8, 48
 #: Recall of the k nearest that calibration must reach on its queries, and their number.
-RECALL, TRIALS = 0.985, 256
-#: Vectors of a leaf, and queries to it, that one task compares.
-BLOCK, QUERY_BLOCK = 4096, 2048
+RECALL, TRIALS = 0.97, 256
+#: Neighbouring leaves that are filed together, so that a query is sent once for all of them; and how many vectors of such a group, and
+#: queries to it, one task compares.
+GROUP, BLOCK, QUERY_BLOCK = 32, 4096, 1024
 
 
 class Tree:
@@ -145,8 +146,13 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
 
     def walk(frames):
         for pdf in frames:
-            got = [tree.visit(v, visits) for v in unit(matrix(pdf.embedding))] if len(pdf) else []
-            yield pdf.assign(leaf=got).explode("leaf").astype({"leaf": "int64"})
+            for a in range(0, len(pdf), 256):
+                part = pdf[a : a + 256]
+                rows = []
+                for q, raw, v in zip(part.q, part.embedding, unit(matrix(part.embedding))):
+                    at = np.array(tree.visit(v, visits))
+                    rows += [(q, raw, int(g), at[at // GROUP == g]) for g in np.unique(at // GROUP)]
+                yield pd.DataFrame(rows, columns=["q", "embedding", "grp", "leaves"])
 
     def compare(key, q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
         none = pd.DataFrame({"q": pd.Series([], dtype="int64"), "ids": pd.Series([], dtype=object), "score": pd.Series([], dtype="float64")})
@@ -155,22 +161,26 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
         a, b = matrix(q.embedding), matrix(v.embedding)
         most = min(k + 6, len(v))
         s = unit(a) @ unit(b).T
+        leaf = v.leaf.to_numpy()
+        seen = np.array([np.isin(leaf, x) for x in q.leaves])
+        s[~seen] = -3
         top = np.argpartition(-s, most - 1, axis=1)[:, :most]
         who = np.repeat(np.arange(len(q)), most)
         top = top.ravel()
+        ok = seen[who, top]
+        who, top = who[ok], top[ok]
         got = pd.DataFrame({"q": q.q.to_numpy()[who], "score": cosine(a[who], b[top]), "c": v.c.to_numpy()[top], "ids": v.ids.to_numpy()[top]})
         return got.sort_values(["q", "score", "c"], ascending=[True, False, True]).groupby("q").head(k + 1)[["q", "ids", "score"]]
 
-    index = keep.save(classes.mapInPandas(file, "embedding array<float>, ids array<long>, c long, leaf long"), "index")
-    queries = keep.save(rows.where(F.col("vec_id") % every == 0).select("vec_id", "embedding").distinct().join(classes.select("embedding", F.col("c").alias("q")), "embedding"), "queries")
-    visited = queries.groupBy("q").agg(F.first("embedding").alias("embedding")).mapInPandas(walk, "q long, embedding array<float>, leaf long")
-    blocks = index.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("nv"))
+    index = keep.save(classes.mapInPandas(file, "embedding array<float>, ids array<long>, c long, leaf long").withColumn("grp", F.expr(f"leaf div {GROUP}")), "index")
+    queries = keep.save(rows.where(F.col("vec_id") % every == 0).select("vec_id", "embedding").distinct().join(classes.select("embedding", F.col("c").alias("q")), "embedding").select("vec_id", "q", "embedding"), "queries")
+    visited = queries.groupBy("q").agg(F.first("embedding").alias("embedding")).mapInPandas(walk, "q long, embedding array<float>, grp long, leaves array<long>")
     split = keep.save(visited, "visited")
-    parts = blocks.join(split.groupBy("leaf").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("nq")), "leaf")
+    parts = index.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("nv")).join(split.groupBy("grp").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("nq")), "grp")
     steps = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = split.join(parts, "leaf").select("leaf", steps("nv").alias("vb"), F.pmod(F.xxhash64("q"), "nq").alias("qb"), "q", "embedding")
-    right = index.join(parts, "leaf").select("leaf", F.pmod(F.xxhash64("c"), "nv").alias("vb"), steps("nq").alias("qb"), "c", "ids", "embedding")
-    keys = ["leaf", "vb", "qb"]
+    left = split.join(F.broadcast(parts), "grp").select("grp", steps("nv").alias("vb"), F.pmod(F.xxhash64("q"), "nq").alias("qb"), "q", "embedding", "leaves")
+    right = index.join(F.broadcast(parts), "grp").select("grp", F.pmod(F.xxhash64("c"), "nv").alias("vb"), steps("nq").alias("qb"), "c", "ids", "embedding", "leaf")
+    keys = ["grp", "vb", "qb"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, "q long, ids array<long>, score double")
     best = lambda df, by, n: df.withColumn("rn", F.row_number().over(W.partitionBy(by).orderBy(F.desc("score"), "vec_id"))).where(F.col("rn") <= n)
     each = best(found.select("q", "score", F.explode("ids").alias("vec_id")), "q", k + 1).select("q", "score", "vec_id")
