@@ -172,14 +172,16 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
         got = pd.DataFrame({"q": q.q.to_numpy()[who], "score": cosine(a[who], b[top]), "c": v.c.to_numpy()[top], "ids": v.ids.to_numpy()[top]})
         return got.sort_values(["q", "score", "c"], ascending=[True, False, True]).groupby("q").head(k + 1)[["q", "ids", "score"]]
 
-    index = keep.save(classes.mapInPandas(file, "embedding array<float>, ids array<long>, c long, leaf long").withColumn("grp", F.expr(f"leaf div {GROUP}")), "index")
+    index = keep.save(classes.mapInPandas(file, "embedding array<float>, ids array<long>, c long, leaf long").withColumn("grp", F.expr(f"cast(leaf div {GROUP} as long)")), "index")
     queries = keep.save(rows.where(F.col("vec_id") % every == 0).select("vec_id", "embedding").distinct().join(classes.select("embedding", F.col("c").alias("q")), "embedding").select("vec_id", "q", "embedding"), "queries")
     visited = queries.groupBy("q").agg(F.first("embedding").alias("embedding")).mapInPandas(walk, "q long, embedding array<float>, grp long, leaves array<long>")
     split = keep.save(visited, "visited")
     parts = index.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("nv")).join(split.groupBy("grp").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("nq")), "grp")
+    # both sides have keys of the same types: groups of unlike types would not meet
+    pick = lambda c, n: F.pmod(F.xxhash64(c), n).cast("int")
     steps = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = split.join(F.broadcast(parts), "grp").select("grp", steps("nv").alias("vb"), F.pmod(F.xxhash64("q"), "nq").alias("qb"), "q", "embedding", "leaves")
-    right = index.join(F.broadcast(parts), "grp").select("grp", F.pmod(F.xxhash64("c"), "nv").alias("vb"), steps("nq").alias("qb"), "c", "ids", "embedding", "leaf")
+    left = split.join(F.broadcast(parts), "grp").select("grp", steps("nv").alias("vb"), pick("q", "nq").alias("qb"), "q", "embedding", "leaves")
+    right = index.join(F.broadcast(parts), "grp").select("grp", pick("c", "nv").alias("vb"), steps("nq").alias("qb"), "c", "ids", "embedding", "leaf")
     keys = ["grp", "vb", "qb"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, "q long, ids array<long>, score double")
     best = lambda df, by, n: df.withColumn("rn", F.row_number().over(W.partitionBy(by).orderBy(F.desc("score"), "vec_id"))).where(F.col("rn") <= n)

@@ -62,7 +62,19 @@ def brute(rows, k=5):
     return out
 
 
-def test_neighbours_of_clusters(spark):
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_neighbours_of_clusters(spark, coalesce, monkeypatch):
+    """Also over many partitions that stay apart, and with blocks of few vectors and queries."""
+    monkeypatch.setattr(ann_tree, "BLOCK", 100)
+    monkeypatch.setattr(ann_tree, "QUERY_BLOCK", 5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    try:
+        neighbours_of_clusters(spark)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def neighbours_of_clusters(spark):
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(12, 16))
     rows = [(i, (centres[i % 12] + 0.3 * rng.normal(size=16)).astype(np.float32).tolist()) for i in range(2500)]
