@@ -10,7 +10,7 @@ from ..functions import text as t
 
 
 def length_gc(seqs: DataFrame, least: int = 1) -> DataFrame:
-    return seqs.select("id", F.length("seq").alias("len"), F.round(t.gc_percent(F.col("seq")), 4).alias("gc")).where(F.col("len") >= least)
+    return seqs.select("id", F.length("seq").cast("long").alias("len"), F.round(t.gc_percent(F.col("seq")), 4).alias("gc")).where(F.col("len") >= least)
 
 
 def composition(seqs: DataFrame, group: str) -> DataFrame:
@@ -95,9 +95,21 @@ def gc_skew(seqs: DataFrame, window: int, overlap: int = 0, least: int = 1000) -
     return w.select("id", "start", (F.col("start") + step).alias("stop"), F.round((c + g) * 100.0 / window, 6).alias("gc"), F.round(F.coalesce(F.try_divide((c - g) * 100.0, c + g), F.lit(0.0)), 6).alias("skew"))
 
 
+def exploded_kmers(seqs: DataFrame, k: int, tile: int = 64) -> DataFrame:
+    """(id, kmer) of every overlapping k-mer without N.
+
+    Sequences are cut into tiles that overlap by k - 1 first: a substring is found by walking from the start of its string, which for a
+    whole sequence would make the work quadratic in its length.
+    """
+    n = F.length("seq")
+    starts = F.when(n >= k, F.sequence(F.lit(1), n - (k - 1), F.lit(tile))).otherwise(F.array().cast("array<int>"))
+    tiles = seqs.select("id", "seq", F.explode(starts).alias("at")).select("id", F.substring("seq", F.col("at"), F.lit(tile + k - 1)).alias("tile"))
+    return tiles.select("id", F.explode(t.kmers(F.col("tile"), k)).alias("kmer")).where(~F.col("kmer").contains("N"))
+
+
 def kmer_counts(seqs: DataFrame, k: int, both_strands: bool = False) -> DataFrame:
     """k-mers without N and how often they occur; both_strands: a k-mer and its reverse complement are one, palindromes counting twice."""
-    e = seqs.select(F.explode(t.kmers(F.col("seq"), k)).alias("kmer")).where(~F.col("kmer").contains("N"))
+    e = exploded_kmers(seqs, k)
     if not both_strands:
         return e.groupBy("kmer").agg(F.count("*").alias("n"))
     n = e.groupBy("kmer").agg(F.count("*").alias("n"))
@@ -106,9 +118,9 @@ def kmer_counts(seqs: DataFrame, k: int, both_strands: bool = False) -> DataFram
 
 def kmer_frequencies(seqs: DataFrame, k: int) -> DataFrame:
     """Per sequence the share of each canonical k-mer: id, kmer, share."""
-    e = seqs.select("id", F.explode(t.kmers(F.col("seq"), k)).alias("kmer")).where(~F.col("kmer").contains("N"))
+    e = exploded_kmers(seqs, k)
     n = e.groupBy("id", t.canonical(F.col("kmer")).alias("kmer")).agg(F.count("*").alias("n"))
-    return n.withColumn("share", F.round(F.col("n") / F.sum("n").over(W.partitionBy("id")), 6)).drop("n")
+    return n.withColumn("share", F.col("n") / F.sum("n").over(W.partitionBy("id"))).drop("n")
 
 
 def character_runs(seqs: DataFrame, chars: str, least: int, most: int | None = None) -> DataFrame:

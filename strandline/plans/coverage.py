@@ -195,4 +195,4 @@ def _(v):
 def _(v):
     from pyspark.sql import Window as W
 
-    return v.features.select("locus", "scaffold", F.row_number().over(W.partitionBy("scaffold").orderBy("start", "locus")).alias("exon"))
+    return v.features.select("locus", "scaffold", F.row_number().over(W.partitionBy("scaffold").orderBy("start", "locus")).cast("long").alias("exon"))

@@ -52,7 +52,7 @@ def _(v):
     SELECT pair, n FROM (SELECT pair, length(coalesce(rev, '')) AS n, row_number() OVER (PARTITION BY left(fwd, 3), left(rev, 2) ORDER BY length(coalesce(rev, '')) DESC, pair) AS k FROM p) WHERE k = 1""", "reads")
 def _(v):
     p = v.reads.groupBy("pair").agg(F.max(F.when(F.col("mate") == 0, F.col("seq"))).alias("fwd"), F.max(F.when(F.col("mate") == 1, F.col("seq"))).alias("rev"))
-    p = p.select("pair", F.left("fwd", F.lit(3)).alias("a"), F.left("rev", F.lit(2)).alias("b"), F.length(F.coalesce("rev", F.lit(""))).alias("n"))
+    p = p.select("pair", F.left("fwd", F.lit(3)).alias("a"), F.left("rev", F.lit(2)).alias("b"), F.length(F.coalesce("rev", F.lit(""))).cast("long").alias("n"))
     return ops.dereplicate_pairs(p, ["a", "b"], "n", "pair").select("pair", "n")
 
 
@@ -73,7 +73,7 @@ def _(v):
 
 @query("a30_read_lengths", "SELECT length(seq) AS len, count(*) AS n, round((SELECT avg(length(seq)) FROM reads), 6) AS mean FROM reads GROUP BY 1", "reads")
 def _(v):
-    n = v.reads.groupBy(F.length("seq").alias("len")).agg(F.count("*").alias("n"))
+    n = v.reads.groupBy(F.length("seq").cast("long").alias("len")).agg(F.count("*").alias("n"))
     return n.crossJoin(F.broadcast(n.agg(F.round(F.sum(F.col("len") * F.col("n")) / F.sum("n"), 6).alias("mean"))))
 
 
@@ -94,12 +94,12 @@ def _(v):
 
 @query("f6_length_at_least", "SELECT id, length(seq) AS len FROM seqs WHERE length(seq) >= 1000", "seqs")
 def _(v):
-    return v.seqs.select("id", F.length("seq").alias("len")).where("len >= 1000")
+    return v.seqs.select("id", F.length("seq").cast("long").alias("len")).where("len >= 1000")
 
 
 @query("f6_length_below", "SELECT id, length(seq) AS len FROM seqs WHERE length(seq) <= 300", "seqs")
 def _(v):
-    return v.seqs.select("id", F.length("seq").alias("len")).where("len <= 300")
+    return v.seqs.select("id", F.length("seq").cast("long").alias("len")).where("len <= 300")
 
 
 @query("f10_empty_sequences", "SELECT id FROM seqs WHERE length(seq) = 0 OR ord % 97 = 0", "seqs")
@@ -140,7 +140,7 @@ def _(v):
 
 @query("p1_header_prefix", "SELECT id || '_' || grp AS header, length(seq) AS len FROM seqs", "seqs")
 def _(v):
-    return v.seqs.select(F.concat_ws("_", "id", "grp").alias("header"), F.length("seq").alias("len"))
+    return v.seqs.select(F.concat_ws("_", "id", "grp").alias("header"), F.length("seq").cast("long").alias("len"))
 
 
 @query("p2_file_in_header", "SELECT file || '|' || id AS header FROM seqs", "seqs")
@@ -225,7 +225,7 @@ def _(v):
     WITH n AS (SELECT id, seq, greatest(1, length(seq) // 500) AS n FROM seqs)
     SELECT id, CAST(i AS INTEGER) AS piece, length(s) AS len, md5(s) AS seq FROM (SELECT id, i, CASE WHEN i < n - 1 THEN substr(seq, CAST(i * 500 + 1 AS INTEGER), 500) ELSE substr(seq, CAST(i * 500 + 1 AS INTEGER)) END AS s FROM n, LATERAL (SELECT unnest(range(n)) AS i))""", "seqs")
 def _(v):
-    return ops.chop(v.seqs, 500).select("id", "piece", F.length("seq").alias("len"), F.md5("seq").alias("seq"))
+    return ops.chop(v.seqs, 500).select("id", "piece", F.length("seq").cast("long").alias("len"), F.md5("seq").alias("seq"))
 
 
 @query("o8_chop_overlapping", "SELECT id, CAST(i // 400 + 1 AS INTEGER) AS part, md5(substr(seq, CAST(i + 1 AS INTEGER), 500)) AS seq FROM seqs, LATERAL (SELECT unnest(CASE WHEN length(seq) > 100 THEN range(0, length(seq) - 100, 400) ELSE [0] END) AS i)", "seqs")
@@ -273,7 +273,7 @@ def _(v):
 
 @query("a42_kmer_frequencies", """
     WITH k AS (SELECT id, least(kmer, translate(reverse(kmer), 'GTCA', 'CAGT')) AS kmer, count(*) AS n FROM (SELECT id, substr(seq, CAST(i AS INTEGER), 2) AS kmer FROM bases, LATERAL (SELECT unnest(range(1, length(seq))) AS i)) WHERE NOT contains(kmer, 'N') GROUP BY 1, 2)
-    SELECT id, kmer, round(n / CAST(sum(n) OVER (PARTITION BY id) AS DOUBLE), 6) AS share FROM k""", "bases")
+    SELECT id, kmer, n / CAST(sum(n) OVER (PARTITION BY id) AS DOUBLE) AS share FROM k""", "bases")
 def _(v):
     return ops.kmer_frequencies(v.bases, 2)
 
@@ -379,7 +379,7 @@ def _(v):
     SELECT id, """ + ", ".join(f"round(count(*) FILTER (c = '{c}') / CAST(count(*) FILTER (c <> 'N') AS DOUBLE), 6) AS {c}" for c in "ACGT") + " FROM k GROUP BY 1 HAVING count(*) FILTER (c <> 'N') > 0", "bases")
 def _(v):
     """The wide form of 1-mer shares: what a self-organising map is trained on."""
-    k = v.bases.select("id", F.explode(t.kmers(F.col("seq"), 1)).alias("c")).where("c <> 'N'")
+    k = ops.exploded_kmers(v.bases, 1).withColumnRenamed("kmer", "c")
     n = k.groupBy("id").pivot("c", list("ACGT")).agg(F.count(F.lit(1))).na.fill(0)
     total = sum(F.col(c) for c in "ACGT")
     return n.select("id", *(F.round(F.col(c) / total, 6).alias(c) for c in "ACGT"))
