@@ -32,14 +32,17 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 def _word_counts(batches):
-    """(hash, count in all, count in the target) of the words of a batch; "doc_id" is unused, "t" marks the target."""
+    """(hash, count in all, count in the target) of the words of a batch; "t" marks the target."""
     for b in batches:
-        each = [words_of((t or "").encode("utf-8", "surrogatepass")) for t in b.column("text").to_pylist()]
-        n = [len(w) for w in each]
-        h = np.fromiter((WORDS[w] for ws in each for w in ws), np.uint64, sum(n))
-        u, at = np.unique(h, return_inverse=True)
-        t = np.repeat(np.array(b.column("t").to_pylist(), bool), n)
-        yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(np.bincount(at, minlength=len(u))), pa.array(np.bincount(at, weights=t, minlength=len(u)).astype(np.int64))], names=["w", "b", "t"])
+        marks = iter(b.column("t").to_pylist())
+        for _, texts in texts_of([b]):
+            each = [words_of(x) for x in texts]
+            n = [len(w) for w in each]
+            h = np.fromiter((WORDS[w] for ws in each for w in ws), np.uint64, sum(n))
+            del each
+            u, at = np.unique(h, return_inverse=True)
+            t = np.repeat(np.array([next(marks) for _ in texts], bool), n)
+            yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(np.bincount(at, minlength=len(u))), pa.array(np.bincount(at, weights=t, minlength=len(u)).astype(np.int64))], names=["w", "b", "t"])
 
 
 class Unigrams:
@@ -88,11 +91,12 @@ def _scatter(ranges: int, hashes: np.ndarray, ids: np.ndarray):
         part, seq = TaskContext.get().partitionId(), 0
         for b in batches:
             marks = iter(b.column("t").to_pylist())
-            for docs, texts in texts_of([b], 1_000_000):
+            for docs, texts in texts_of([b], 500_000):
                 t = np.array([next(marks) for _ in docs], bool)
                 each = [words_of(x) for x in texts]
                 n = np.array([len(w) for w in each])
                 w = np.fromiter((WORDS[x] for ws in each for x in ws), np.uint64, int(n.sum())).view(np.int64)
+                del each
                 if len(hashes):
                     k = np.searchsorted(hashes, w)
                     k[k == len(hashes)] = 0
