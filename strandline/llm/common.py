@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -28,11 +29,24 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Send texts to Python in Arrow batches of at most 1000 rows and 8 MB: the default of 10,000 rows is sized for narrow rows, and its
+    buffers stay with the executor, outside its heap."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > 1000 or int(spark.conf.get(name)) <= 0:
+        spark.conf.set(name, "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    return spark
+
+
 class Scratch:
-    """Tables written to the shared folder, so that lost executors cost a reread and never a recomputation."""
+    """Tables written to the shared folder, so that lost executors cost a reread and never a recomputation.
+
+    DataFrames that are returned read them lazily, so they stay until the driver's JVM ends.
+    """
 
     def __init__(self, spark: SparkSession):
-        self.spark = spark
+        self.spark = small_batches(spark)
         self.root = f"{shared_dir(spark)}/strandline-{uuid.uuid4().hex}"
         self.n = 0
 
@@ -43,6 +57,9 @@ class Scratch:
     def save(self, df: DataFrame, name: str = "t") -> DataFrame:
         at = self.path(name)
         df.write.parquet(at)
+        if self.n == 1:
+            root = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+            root.getFileSystem(self.spark._jsc.hadoopConfiguration()).deleteOnExit(root)
         out = self.spark.read.schema(df.schema).parquet(at)
         out._scratch_path = at
         return out
@@ -54,7 +71,7 @@ class Scratch:
 
 
 def small_or_shuffled(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a table of narrow rows if a count has shown it to be small; else Spark shuffles it."""
+    """Broadcast a table if its count, in rows of up to 16 bytes, has shown it to be small; else Spark shuffles it."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
@@ -89,10 +106,10 @@ def components(edges: DataFrame, keep: Scratch) -> DataFrame:
 
 
 class WordHashes(dict):
-    """word (bytes) -> 64-bit hash, remembered; emptied when it holds 400,000 words, so memory is bounded."""
+    """word (bytes) -> 64-bit hash, remembered; emptied when it holds 120,000 words, so memory is bounded."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 400_000:
+        if len(self) >= 120_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -108,18 +125,34 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers are kept for the next stage, which may run beside a full JVM."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # not glibc
+
+
 def texts_of(batches, words_at_once: int = 300_000) -> Iterator[tuple[list[int], list[bytes]]]:
     """Arrow batches with doc_id and text -> lists of ids and of texts as UTF-8, cut so that a list holds about so many words."""
     ids: list[int] = []
     texts: list[bytes] = []
     size = 0
     for b in batches:
-        for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-            ids.append(i)
-            texts.append((t or "").encode("utf-8", "surrogatepass"))
-            size += len(texts[-1])
-            if size > 6 * words_at_once or len(ids) >= 20_000:
-                yield ids, texts
-                ids, texts, size = [], [], 0
+        at, text_at = b.schema.get_field_index("doc_id"), b.schema.get_field_index("text")
+        for k in range(0, b.num_rows, 256):
+            part = b.slice(k, 256)
+            text = part.column(text_at).to_pylist()
+            for i, t in zip(part.column(at).to_pylist() if at >= 0 else [None] * len(text), text):
+                ids.append(i)
+                texts.append((t or "").encode("utf-8", "surrogatepass"))
+                size += len(texts[-1])
+                if size > 6 * words_at_once or len(ids) >= 20_000:
+                    yield ids, texts
+                    ids, texts, size = [], [], 0
     if ids:
         yield ids, texts
+    give_back()

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, texts_of
+from .common import small_batches, table, texts_of
 
 K1, B = 1.2, 0.75
 #: Least share of an item's own score, least share of the 3-grams of question and answer each, or of the whole item.
@@ -142,7 +142,7 @@ class TermIds(dict):
         self.term = term
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 400_000:
+        if len(self) >= 120_000:
             self.clear()
         w = word.decode("utf-8", "surrogatepass").lower().strip(string.punctuation)
         got = self[word] = self.term.get(w, -1) if w else -2
@@ -170,7 +170,7 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     Null and empty texts and items hold nothing. Rows of items that repeat give repeated results once; repeated documents are found each. A
     null doc_id or item_id stays null. Other columns are ignored; empty tables give none.
     """
-    spark = docs.sparkSession
+    spark = small_batches(docs.sparkSession)
     rows = iter(items.select("item_id", "text").distinct().orderBy("item_id", "text").toLocalIterator())
     out = None
     while block := [(r.item_id, r.text) for r in islice(rows, ITEMS)]:

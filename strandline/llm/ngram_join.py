@@ -289,7 +289,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     component_id is the smallest doc_id reachable over links of Jaccard >= 0.8 on distinct 5-word shingles, the document itself included.
     Null and empty texts and texts of blanks have no shingles and link with nothing; texts under five words have one. Rows that share a
-    doc_id are one node and get the largest of its sizes. A null doc_id takes no part and gets a null component. Other columns are ignored; an empty table gives none.
+    doc_id get the largest of its sizes and the least of its components. A null doc_id takes no part and gets a null component. Other columns are ignored; an empty table gives none.
     """
     spark = docs.sparkSession
     keep = Scratch(spark)

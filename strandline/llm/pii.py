@@ -15,14 +15,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, texts_of
+from .common import small_batches, table, texts_of
 
 KINDS = ("email", "ip", "card", "phone", "name", "id", "tel")
 LABELS = ("O", "B-name", "I-name", "B-id", "I-id", "B-tel", "I-tel")
 #: Tokens that are decoded together; a text is cut into such pieces.
 PIECE = 128
 #: Words whose scores a worker remembers.
-MEMORY = 200_000
+MEMORY = 100_000
 #: Marked sentences: [words|kind].
 LABELLED = """
 My name is [Maria Lopez|name] and I live here.
@@ -370,6 +370,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     The counts are of the patterns' spans, base_sha256 is of their list; spans lists those and the field's, n_added counts the latter.
     Null and empty texts have none. Rows may repeat, doc_id may be null, other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     fitted = Field.fit(LABELLED.split("\n") + strange_lines())
     model = (fitted.weight, fitted.step, fitted.known)
     names = ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added"]

@@ -175,7 +175,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     # spans belong to a text, whichever rows have it
     found = scan(docs.select(F.xxhash64("text").alias("doc_id"), "text")).where("is_secret").select(F.col("doc_id").alias("h_"), F.struct("start", "end").alias("span"))
     spans = keep.save(found.groupBy("h_").agg(F.sort_array(F.collect_set("span")).alias("spans_")), "spans")
-    joined = docs.join(small_or_shuffled(spans, spans.count()), F.xxhash64("text") == F.col("h_"), "left")
+    joined = docs.join(small_or_shuffled(spans, 10 * spans.count()), F.xxhash64("text") == F.col("h_"), "left")
     clean = F.aggregate(
         "spans_", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda acc, x: F.struct(x["end"].alias("at"), F.concat(acc["out"], F.substring("text", acc["at"] + 1, x["start"] - acc["at"]), F.lit(mark)).alias("out")),

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, small_or_shuffled, table, texts_of
+from .common import Scratch, give_back, small_or_shuffled, table, texts_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Characters of a chunk; longer documents are giant.
@@ -63,7 +63,7 @@ class Lattice:
     def stable(self, a: str, b: str) -> bool:
         got = self.pairs.get((a, b))
         if got is None:
-            if len(self.pairs) > 1_000_000:
+            if len(self.pairs) > 60_000:
                 self.pairs.clear()
             got = self.pairs[a, b] = self.merge(a + b) == [a, b]
         return got
@@ -201,6 +201,7 @@ def _cut(frames):
                 b = min(len(s), a + CHUNK)
                 lo, hi = max(0, a - MARGIN), min(len(s), b + MARGIN)
                 yield pd.DataFrame({"doc_id": [i], "h": [h], "no": [no], "part": [s[lo:hi]], "a": [a - lo], "b": [b - lo]})
+    give_back()
 
 
 def _combine(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -238,11 +239,15 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
         for pdf in frames:
             got = [transfer(lat, t, a, b) for t, a, b in zip(pdf.part, pdf.a, pdf.b)]
             yield pd.DataFrame({"doc_id": pdf.doc_id, "h": pdf.h, "no": pdf.no, "from": [[f for f, _ in m] for m in got], "to": [[t for _, t in m] for m in got]})
+        lat.pairs.clear()
+        give_back()
 
     def back(frames):
         lat, sp = lattice(model), library(model)
         for pdf in frames:
-            yield pdf[["doc_id", "h", "no"]].assign(ids=[backtrace(lat, sp, *x) for x in zip(pdf.part, pdf.a, pdf.b, pdf.s0, pdf.s1)])
+            yield pdf[["doc_id", "h", "no"]].assign(ids=[np.array(backtrace(lat, sp, *x), np.int32) for x in zip(pdf.part, pdf.a, pdf.b, pdf.s0, pdf.s1)])
+        lat.pairs.clear()
+        give_back()
 
     def whole(pdf: pd.DataFrame) -> pd.DataFrame:
         import hashlib
@@ -254,7 +259,7 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
 
     states = big.mapInPandas(matrices, "doc_id long, h string, no int, from array<string>, to array<string>").groupBy("doc_id", "h").applyInPandas(_combine, "doc_id long, h string, no int, s0 string, s1 string")
     states = keep.save(states, "states")
-    states = small_or_shuffled(states, states.count())
+    states = small_or_shuffled(states, 10 * states.count())  # rows of about 100 bytes
     joined = big.join(states, (big.doc_id.eqNullSafe(states.doc_id)) & (big.h == states.h) & (big.no == states.no)).select(big.doc_id, big.h, big.no, "part", "a", "b", "s0", "s1")
     done = joined.mapInPandas(back, "doc_id long, h string, no int, ids array<int>").groupBy("doc_id", "h").applyInPandas(whole, "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
     return small.unionByName(done)

@@ -11,13 +11,12 @@ from __future__ import annotations
 import string
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, small_or_shuffled, table, texts_of
+from .common import Scratch, small_batches, small_or_shuffled, table, texts_of
 
 BUCKETS = 1 << 20
 #: Rows (least hash first) that the machine is fitted on; terms are chosen over all labelled rows.
@@ -36,13 +35,13 @@ def terms_of(word: str) -> list[int]:
 
 
 class TermCache(dict):
-    """word -> what `known` makes of its terms; emptied at 300,000 words."""
+    """word -> what `known` makes of its terms; emptied at 100,000 words."""
 
     def __init__(self, known=None):
         self.known = known
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) >= 300_000:
+        if len(self) >= 100_000:
             self.clear()
         got = self[word] = tuple(terms_of(word) if self.known is None else (self.known[t] for t in terms_of(word) if t in self.known))
         return got
@@ -109,9 +108,11 @@ def _counts(batches):
     """Labelled texts -> (term, texts with label 0, with label 1), summed over a batch."""
     cache = TermCache()
     for b in batches:
+        labels = iter(b.column("y").to_pylist())
         c = np.zeros((2, BUCKETS), np.int32)
-        for t, y in zip(b.column("text").to_pylist(), b.column("y").to_pylist()):
-            c[y, list(term_set(t or "", cache))] += 1
+        for _, texts in texts_of([b]):
+            for t in texts:
+                c[next(labels), list(term_set(t.decode("utf-8", "surrogatepass"), cache))] += 1
         some = np.flatnonzero(c.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(c[0, some], pa.int64()), pa.array(c[1, some], pa.int64())], names=["term", "n0", "n1"])
 
@@ -134,13 +135,16 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
     terms = [r.term for r in chosen.select("term").collect()]
     known = {t: i for i, t in enumerate(terms)}
 
-    def features(frames):
+    def features(batches):
         cache = TermCache(known)
-        for pdf in frames:
-            yield pd.DataFrame({"y": pdf.y, "x": [sorted(term_set(t or "", cache)) for t in pdf.text]})
+        for b in batches:
+            labels = iter(b.column("y").to_pylist())
+            for _, texts in texts_of([b]):
+                x = [sorted(term_set(t.decode("utf-8", "surrogatepass"), cache)) for t in texts]
+                yield pa.RecordBatch.from_arrays([pa.array([next(labels) for _ in x], pa.int32()), pa.array(x, pa.list_(pa.int32()))], names=["y", "x"])
 
     some = once.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS)
-    got = texts(some).select("text", "y").mapInPandas(features, "y int, x array<int>").toPandas()
+    got = texts(some).select("text", "y").mapInArrow(features, "y int, x array<int>").toPandas()
     return Machine.fit(terms, [list(x) for x in got.x], got.y.to_numpy())
 
 
@@ -150,6 +154,7 @@ def held_out():
 
 def score(docs: DataFrame, model: Machine) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row. Null and empty texts have no terms and get the bias's score."""
+    small_batches(docs.sparkSession)
     known = {t: i for i, t in enumerate(model.terms)}
 
     def run(batches):

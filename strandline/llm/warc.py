@@ -266,7 +266,7 @@ def records(pages: DataFrame) -> DataFrame:
     long = each.where(F.col("payload_bytes") >= REVISIT_BYTES)
     again = long.groupBy("payload_digest").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select(F.col("payload_digest").alias("d"), "first")
     kept = Scratch(pages.sparkSession).save(again, "again")
-    joined = each.join(small_or_shuffled(kept, kept.count()), (F.col("payload_digest") == F.col("d")) & (F.col("payload_bytes") >= REVISIT_BYTES), "left")
+    joined = each.join(small_or_shuffled(kept, 5 * kept.count()), (F.col("payload_digest") == F.col("d")) & (F.col("payload_bytes") >= REVISIT_BYTES), "left")
     revisit = F.coalesce(F.col("first") > F.col("page_id"), F.col("first").isNotNull() & F.col("page_id").isNull())
     urn = lambda c: F.concat(F.lit(URN), F.coalesce(F.col(c).cast("string"), F.lit("")))
     return joined.select(
