@@ -2,7 +2,8 @@
 
 Patterns give e-mail and IP addresses, card and phone numbers. The field adds names (after words such as "name" or "Dear"), numbers of
 documents (id) and telephone numbers without a country code (tel). It is trained on LABELLED, a small table of marked sentences, by
-gradient ascent on the conditional likelihood, and decoded by Viterbi over batches of pieces of PIECE tokens in numpy.
+gradient ascent on the conditional likelihood, and decoded by Viterbi over whole texts: a token whose label is O whatever its neighbours
+are splits a text into chains, and batches of these are decoded in numpy.
 """
 
 from __future__ import annotations
@@ -19,8 +20,8 @@ from .common import small_batches, table, texts_of
 
 KINDS = ("email", "ip", "card", "phone", "name", "id", "tel")
 LABELS = ("O", "B-name", "I-name", "B-id", "I-id", "B-tel", "I-tel")
-#: Tokens that are decoded together; a text is cut into such pieces.
-PIECE = 128
+#: Tokens that are decoded at once, in chains that end where no label but O can be best.
+DECODED = 128_000
 #: Words whose scores a worker remembers.
 MEMORY = 100_000
 #: Marked sentences: [words|kind].
@@ -197,6 +198,8 @@ class Field:
         self.bounds = np.zeros((3, 2 * MEMORY), np.float32)
         self.cache: dict[tuple, np.ndarray] = {}
         self.slack = 2 * max(0.0, float((step - step[0, 0]).max()))
+        # most that the transitions to and from a label can gain over those to and from O, whatever its neighbours are
+        self.reach = max(0.0, float((np.maximum(0, (step - step[:, :1]).max(axis=0)) + (step - step[:1]).max(axis=1))[1:].max()))
 
     def total(self, side: str, feats: list[str]) -> np.ndarray:
         return sum((self.weight[f] for f in (f"{side}{x}" for x in feats) if f in self.weight), np.zeros(len(LABELS)))
@@ -224,36 +227,51 @@ class Field:
 
     def tag(self, texts: list[list[str]]) -> list[list[tuple[int, int, str]]]:
         """(first token, token after the last, kind) of the spans of each text's words."""
-        pieces = [len(ws) // PIECE + 1 for ws in texts]
-        first = np.cumsum([0, *pieces])
-        words = [w for ws, n in zip(texts, pieces) for w in (*ws, *("" for _ in range(n * PIECE - len(ws))))]
-        x = self.ids(words)
+        n = np.array([len(ws) for ws in texts], np.int64)
+        first = np.cumsum(n + 2) - n - 2
+        # two empty words after each text, whose last words are no context of the next
+        x = self.ids([w for ws in texts for w in (*ws, "", "")])
+        out: list[list[tuple[int, int, str]]] = [[] for _ in texts]
         s, p, pp = self.bounds
         most = s[x]
         most[1:] += p[x[:-1]]
         most[2:] += pp[x[:-2]]
-        # a piece in which no label can gain over O, whatever it follows and precedes, is all O
-        open_ = np.flatnonzero((most.reshape(-1, PIECE) + self.slack > 0).any(axis=1))
-        out: list[list[tuple[int, int, str]]] = [[] for _ in texts]
+        # chains: from a token that may be other than O to the last such; those with no label that gains over O are all O
+        loose = np.flatnonzero(most + self.reach > 0)
+        if not len(loose):
+            return out
+        edge = np.flatnonzero(np.diff(loose) > 1) + 1
+        a, z = loose[np.concatenate([[0], edge])], loose[np.concatenate([edge - 1, [len(loose) - 1]])] + 1
+        gain = np.maximum.reduceat(most[loose], np.concatenate([[0], edge])) + self.slack > 0
+        a, z = a[gain], z[gain]
+        order = np.argsort(z - a, kind="stable")
+        a, z = a[order], z[order]
         s, p, pp = self.grids
-        for q in np.array_split(open_, len(open_) // 1000 + 1):
-            if not len(q):
-                continue
-            at = (q[:, None] * PIECE + np.arange(PIECE)).ravel()
-            e = s[x[at]] + np.where((at > 0)[:, None], p[x[at - 1]], 0) + np.where((at > 1)[:, None], pp[x[at - 2]], 0)
-            for k, path in zip(q, self.viterbi(e.reshape(len(q), PIECE, -1))):
-                doc = int(np.searchsorted(first, k, side="right")) - 1
-                base = (int(k) - int(first[doc])) * PIECE
-                for a in np.flatnonzero(path % 2 == 1):
-                    z = a + 1
-                    while z < PIECE and path[z] == path[a] + 1:
-                        z += 1
-                    if base + a < len(texts[doc]):
-                        out[doc].append((base + int(a), min(base + int(z), len(texts[doc])), LABELS[path[a]][2:]))
-        return out
+        at = 0
+        while at < len(a):
+            # chains of about one length, DECODED tokens in all or a single chain; room for an O after the longest
+            k = int(np.searchsorted(np.arange(1, len(a) - at + 1) * (z[at:] - a[at:] + 1), DECODED, side="right"))
+            some = slice(at, at + max(1, k))
+            at = some.stop
+            length = z[some] - a[some]
+            t = a[some, None] + np.arange(length[-1] + 1)
+            inside = np.arange(length[-1] + 1) < length[:, None]
+            t = np.where(inside, t, 0)
+            e = s[x[t]] + np.where((t > 0)[..., None], p[x[t - 1]], 0) + np.where((t > 1)[..., None], pp[x[t - 2]], 0)
+            e[~inside] = np.where(np.arange(len(LABELS)), -100.0, 0.0)
+            doc = np.searchsorted(first, a[some], side="right") - 1
+            e[:, 0] += np.where((a[some] > first[doc])[:, None], self.step[0], 0)
+            path = self.viterbi(e)
+            for i, j in zip(*np.nonzero(path % 2 == 1)):
+                end = j + 1
+                while path[i, end] == path[i, j] + 1:
+                    end += 1
+                base = int(a[some][i] - first[doc[i]])
+                out[doc[i]].append((base + int(j), base + int(end), LABELS[path[i, j]][2:]))
+        return [sorted(spans) for spans in out]
 
     def viterbi(self, e: np.ndarray) -> np.ndarray:
-        """Best labels of pieces (pieces, PIECE, labels)."""
+        """Best labels of chains (chains, tokens, labels)."""
         best, back = e[:, 0], np.zeros(e.shape, np.int8)
         for t in range(1, e.shape[1]):
             s = best[:, :, None] + self.step

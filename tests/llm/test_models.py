@@ -181,6 +181,33 @@ def test_viterbi_is_the_best_path():
         assert np.isclose(total(path), max(map(total, itertools.product(range(7), repeat=4))))
 
 
+def test_spans_do_not_depend_on_their_place():
+    """Names and numbers of several tokens, wherever they lie in a long text, and every label as by Viterbi over the whole text."""
+    f = pii.Field.fit(pii.LABELLED.split("\n") + pii.strange_lines())
+    rng = random.Random(8)
+    for at in range(118, 131):
+        text = ["thonerea"] * at + "My name is Maria Lopez and".split() + ["thonerea"] * 200
+        assert f.tag([text, ["is"], text]) == [[(at + 3, at + 5, "name")], [], [(at + 3, at + 5, "name")]]
+    words = [w for line in pii.LABELLED.split("\n") for w in re.sub(r"\[([^|\]]*)\|\w+\]", r"\1", line).split()]
+    texts = [[rng.choice(words) for _ in range(rng.choice((0, 1, 2, 127, 128, 129, 700)))] for _ in range(60)]
+    got = f.tag(texts)
+    assert sum(map(len, got)) > 100
+    for ws, spans in zip(texts, got):
+        x = f.ids([*ws, ""])
+        s, p, pp = f.grids
+        e = s[x].copy()
+        e[1:] += p[x[:-1]]
+        e[2:] += pp[x[:-2]]
+        path = [*f.viterbi(e[None])[0], 0]
+        want = []
+        for a in (i for i, y in enumerate(path) if y % 2 == 1):
+            z = a + 1
+            while path[z] == path[a] + 1:
+                z += 1
+            want.append((a, z, pii.LABELS[path[a]][2:]))
+        assert spans == want
+
+
 def test_lm_scores_against_plain_counts(spark, monkeypatch):
     monkeypatch.setattr(lm_score, "VOCABULARY", 40)
     rng = random.Random(7)
