@@ -1,9 +1,10 @@
 """Secret scanning with a random forest that removes false positives, in SQL functions only.
 
 Candidates are long runs of key-like characters with letters and digits, and PEM private-key blocks. The features of one are its
-length, transitions between character classes, the share of it that common words cover, signs of a path before it, and the words around
-it. The forest is trained on labelled findings, which labelled() makes by rule (the kinds of keys that leak, and the hashes, ids, paths,
-addresses and names that scanners report by mistake), and is then walked by SQL functions: its nodes are array literals.
+length, transitions between character classes, the share of it that common words cover, signs of a path before it, and the text around
+it, other candidates included. A run such as NAME=value is two candidates. The forest is trained on findings that the scan cuts out of
+labelled texts, which labelled() makes by rule (the kinds of keys that leak, and the hashes, ids, paths, addresses and names that scanners
+report by mistake), and is then walked by SQL functions: its nodes are array literals.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from .common import Scratch, small_or_shuffled, table
 CHARS = "A-Za-z0-9+/=_~.-"
 #: A run of 16 characters or more that doesn't continue one, or the body of a private key.
 CANDIDATE = rf"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]*+(?:-----END [A-Z ]*PRIVATE KEY-----)?|(?<![{CHARS}])[{CHARS}]{{16,}}+"
+#: The name, with its "=", of a candidate whose value would be one by itself.
+NAME = rf"^[{CHARS.replace('=', '')}]++=++(?=[{CHARS}]{{16,}}+$)"
 #: Characters before and after a candidate that features look at.
 BEFORE, AFTER = 48, 24
 WORDS = "the|and|for|with|from|test|example|sample|demo|file|data|user|name|value|list|index|image|page|main|home|lib|src|com|org|net|www|http|html|class|function|version|update|config|default|license|report|document|error|system"
@@ -64,8 +67,8 @@ def labelled(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
     hexes = lambda k, n: F.substring(sha(k), 1, n)
     word = lambda k: pick(k, "report", "image", "index", "default", "update", "license", "document", "test", "sample", "config", "thonerea", "inthereoning", "achlichung")
     dash = lambda k: F.concat_ws("-", *(F.substring(sha(k), a, m) for a, m in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))))
-    key = pick("key", 'token = "', "api_key: ", 'secret="', "password=", "Authorization: Bearer ", 'access_key = "', "auth_token: '", 'client_secret = "', 'TOKEN = "', "TOKEN=", "the api key ")
-    no = pick("no", "commit ", "sha1: ", "checksum=", "md5 ", "see ", "the of and ", "uuid=", "request id ", "etag: ", "build ", "revision ", "was ", "- ")
+    key = pick("key", 'token = "', "api_key: ", 'secret="', "password=", "Authorization: Bearer ", 'access_key = "', "auth_token: '", 'client_secret = "', 'TOKEN = "', "TOKEN=", "the api key ", "GITHUB_ACCESS_TOKEN: ", "AWS_SECRET_ACCESS_KEY=", "export API_KEY=", "DB_PASSWORD=")
+    no = pick("no", "commit ", "sha1: ", "checksum=", "md5 ", "see ", "the of and ", "uuid=", "request id ", "etag: ", "build ", "revision ", "was ", "- ", "GIT_COMMIT_SHA=", "BUILD_REVISION: ")
     short = pick("len", 20, 24, 32, 40)
     secret = [
         (key, hexes("a", 40)), (key, F.substring(alnum("b"), 1, 36)), (key, F.substring(b64("c"), 1, 40)), (key, F.expr("upper(substring(sha2(concat(cast(id AS string), '/d'), 256), 1, 40))")),
@@ -141,29 +144,48 @@ def vote(nodes: dict[str, list], x: Column) -> Column:
 
 
 def model(spark: SparkSession) -> dict[str, list]:
-    """The forest trained on labelled()."""
-    rows = labelled(spark).select("label", *(v.alias(k) for k, v in features(F.col("candidate"), F.col("before"), F.col("after")).items())).orderBy("label", *FEATURES).collect()
+    """The forest trained on what the scan cuts out of the texts of labelled(): a secret is what overlaps a planted one."""
+    texts = labelled(spark).select("label", F.concat("before", "candidate", "after").alias("text"), F.length("before").alias("a"), (F.length("before") + F.length("candidate")).alias("z"))
+    found = cut(texts, "label", "a", "z")
+    label = F.when((F.col("start") < F.col("z")) & (F.col("start") + F.length("candidate") > F.col("a")), F.col("label")).otherwise(0).alias("label")
+    rows = found.select(label, *(v.alias(k) for k, v in features(F.col("candidate"), F.col("before"), F.col("after")).items())).orderBy("label", *FEATURES).collect()
     x = np.array([[r[f] for f in FEATURES] for r in rows])
     return flat(forest(x, np.array([r.label for r in rows])))
 
 
+def cut(texts: DataFrame, *keep: str) -> DataFrame:
+    """(*keep, start, candidate, before, after) of every candidate with letters and digits in the column text of every row."""
+    found = texts.where(F.col("text").rlike(CANDIDATE)).select(*keep, F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("c"), F.split("text", CANDIDATE, -1).alias("s"))
+    # where each candidate starts, and the end of the text before it: summed and carried along
+    before = lambda acc, x: F.right(F.concat(acc["tail"], x["s"]), F.lit(BEFORE))
+    first = F.aggregate(
+        F.arrays_zip(F.slice("s", F.lit(1), F.size("c")).alias("s"), F.col("c").alias("c")),
+        F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), F.expr("cast(array() as array<struct<start: int, before: string>>)").alias("out")),
+        lambda acc, x: F.struct((acc["at"] + F.length(x["s"]) + F.length(x["c"])).alias("at"), F.right(F.concat(before(acc, x), x["c"]), F.lit(BEFORE)).alias("tail"), F.array_append(acc["out"], F.struct((acc["at"] + F.length(x["s"])).alias("start"), before(acc, x).alias("before"))).alias("out")),
+        lambda acc: acc["out"])
+    n = F.size("c")
+    # the text after a candidate, with the next one: together more than AFTER, or up to the one that follows
+    after = F.zip_with(F.slice("s", F.lit(2), n), F.slice(F.array_append("c", F.lit("")), F.lit(2), n), lambda s, c: F.left(F.concat(s, c), F.lit(AFTER)))
+    each = found.select(*keep, F.explode(F.arrays_zip(F.col("c").alias("c"), first.alias("f"), after.alias("after"))).alias("x")).select(*keep, "x.c", "x.f.start", "x.f.before", "x.after")
+    name = F.regexp_extract("c", NAME, 0)
+    value = F.substring("c", F.length("name") + 1, F.length("c"))
+    bare = F.rtrim(F.col("name"), F.lit("="))
+    part = lambda start, candidate, before, after: F.struct(start.alias("start"), candidate.alias("candidate"), F.right(before, F.lit(BEFORE)).alias("before"), F.left(after, F.lit(AFTER)).alias("after"))
+    parts = F.array(
+        part(F.col("start"), bare, F.col("before"), F.concat(F.substring("c", F.length(bare) + 1, F.length("c")), "after")),
+        part(F.col("start") + F.length("name"), value, F.concat("before", "name"), F.col("after")))
+    each = each.withColumn("name", name).select(*keep, F.explode(parts).alias("x")).select(*keep, "x.*")
+    # values without a name are whole; names are candidates if they are as long as one
+    return each.where((F.length("candidate") >= 16) & F.col("candidate").rlike("[0-9]") & F.col("candidate").rlike("[A-Za-z]"))
+
+
 def scan(docs: DataFrame, nodes: dict[str, list] | None = None) -> DataFrame:
     """(doc_id, start, end, candidate, score, is_secret): every candidate of every text; start and end count characters, end exclusive.
 
     Null and empty texts have none. Repeated rows give repeated findings; doc_id may be null; other columns are ignored.
     """
     nodes = nodes or model(docs.sparkSession)
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text").rlike(CANDIDATE))
-    found = text.select("doc_id", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("c"), F.split("text", CANDIDATE, -1).alias("s"))
-    # where each candidate starts: the lengths of what stands before it, summed along
-    first = F.aggregate(
-        F.arrays_zip(F.slice("s", F.lit(1), F.size("c")).alias("s"), F.col("c").alias("c")),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
-        lambda acc, x: F.struct((acc["at"] + F.length(x["s"]) + F.length(x["c"])).alias("at"), F.array_append(acc["out"], acc["at"] + F.length(x["s"])).alias("out")),
-        lambda acc: acc["out"])
-    each = found.select("doc_id", "s", F.explode(F.arrays_zip(F.col("c").alias("candidate"), first.alias("start"), F.slice("s", F.lit(1), F.size("c")).alias("before"), F.slice("s", F.lit(2), F.size("c")).alias("after"))).alias("x"))
-    each = each.select("doc_id", "x.start", "x.candidate", F.right("x.before", F.lit(BEFORE)).alias("before"), F.left("x.after", F.lit(AFTER)).alias("after"))
-    each = each.where(F.col("candidate").rlike("[0-9]") & F.col("candidate").rlike("[A-Za-z]"))
+    each = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id")
     x = F.array(*features(F.col("candidate"), F.col("before"), F.col("after")).values())
     scored = each.select("doc_id", "start", "candidate", x.alias("x")).withColumn("score", vote(nodes, F.col("x")))
     return scored.select("doc_id", "start", (F.col("start") + F.length("candidate")).alias("end"), "candidate", F.round("score", 6).alias("score"), (F.round("score", 6) >= SECRET).alias("is_secret"))

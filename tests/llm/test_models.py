@@ -125,6 +125,24 @@ def test_secrets(spark):
     assert secrets.redact(df).columns == df.columns and secrets.redact(df).count() == len(rows)
 
 
+def test_secrets_assigned_to_names(spark):
+    """Forms of env files: the name is no part of the secret, and counts for it even if it is a candidate or follows one."""
+    aws, ghp = "wJalrXUtnFEMIaK7MDENGbPxRfiCYzQ8rT5vLmNp", "ghp_16C7e42F292c6912E7710c838347Ae178B4a"
+    forms = [("GITHUB_ACCESS_TOKEN: ", KEY), ("TOKEN=", KEY), ("AWS_SECRET_ACCESS_KEY=", aws), ("key=", ghp), (f"commit {KEY} GITHUB_ACCESS_TOKEN: ", KEY), ("MY_SERVICE_2_SECRET_TOKEN: ", KEY), ("GIT_COMMIT_SHA=", None), (f"x token {KEY} and the commit ", None), ("DB_PASSWORD=", "q7Gh2Kd9" * 3 + "==")]
+    rows = [(i, f"Some words. {name}{value or KEY} end") for i, (name, value) in enumerate(forms)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = secrets.scan(df).collect()
+    for i, (name, value) in enumerate(forms):
+        a = 12 + len(name)
+        last = [r for r in got if r.doc_id == i and r.start == a]
+        assert [(r.candidate, r.is_secret) for r in last] == [(value or KEY, value is not None)], name
+        assert all(rows[i][1][r.start : r.end] == r.candidate for r in got if r.doc_id == i)
+    red = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    assert red[1] == "Some words. TOKEN=[SECRET] end" and red[3] == "Some words. key=[SECRET] end" and red[6] == rows[6][1]
+    c = {(r.doc_id, r.start): r for r in secrets.cut(df, "doc_id").collect()}
+    assert c[4, 81].before == rows[4][1][33:81] and c[4, 81].after == " end"
+
+
 def test_secret_walk_equals_trees(spark):
     """The fold over array literals gives what the trees say."""
     rows = secrets.labelled(spark, 400)
