@@ -1,7 +1,8 @@
 """Toxicity by a factorization machine over hashed terms.
 
 Terms are the words of a text and the first 4, 5 and 6 characters of longer words, hashed into BUCKETS. Every labelled row outside the
-held-out fold counts towards the choice of terms: those whose chi-squared with the label is large. The machine has a weight and a short
+held-out fold counts towards the choice of terms: of those with enough texts, the TERMS whose chi-squared with the label is largest, however
+many rows there are, so that all of a small vocabulary are kept. The machine has a weight and a short
 vector for each: log-odds = bias + sum of weights + sum over pairs of the product of their vectors, so that a pair, such as an insult
 beside the mention of a group, can count for more than its parts. It is trained on at most TRAIN_ROWS labelled rows.
 """
@@ -21,8 +22,8 @@ from .common import Scratch, small_batches, small_or_shuffled, table, texts_of
 BUCKETS = 1 << 20
 #: Rows (least hash first) that the machine is fitted on; terms are chosen over all labelled rows.
 TRAIN_ROWS = 30_000
-#: Terms kept at most, their least chi-squared and least number of distinct texts.
-TERMS, LEAST_CHI2, LEAST_DF = 2048, 30.0, 4
+#: Terms kept at most, and their least number of distinct texts.
+TERMS, LEAST_DF = 2048, 4
 FACTORS, EPOCHS, RATE, DECAY = 6, 12, 0.15, 2e-4
 FOLDS = 5
 
@@ -72,6 +73,11 @@ class Machine:
             z[some] += np.add.reduceat(self.w[x], at) + 0.5 * ((s**2).sum(1) - np.add.reduceat((self.v[x] ** 2).sum(1), at))
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
+    @classmethod
+    def prior(cls, n0: int, n1: int) -> Machine:
+        """No terms: the share of toxic texts is every text's score."""
+        return cls([], float(np.log((n1 + 0.5) / (n0 + 0.5))) if n0 or n1 else -3.0, np.zeros(0), np.zeros((0, FACTORS)))
+
     @classmethod
     def fit(cls, terms: list[int], rows: list[list[int]], y: np.ndarray, seed: int = 5) -> Machine:
         """AdaGrad on the logistic loss, both classes weighing the same."""
@@ -128,11 +134,13 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
     total = {r.y: r["count"] for r in once.groupBy("y").count().collect()}
     n0, n1 = total.get(0, 0), total.get(1, 0)
     if not n0 or not n1:
-        return Machine([], float(np.log((n1 + 0.5) / (n0 + 0.5))) if n0 or n1 else -3.0, np.zeros(0), np.zeros((0, FACTORS)))
+        return Machine.prior(n0, n1)
     count = rows.select("text", "y").mapInArrow(_counts, "term long, n0 long, n1 long").groupBy("term").agg(F.sum("n0").cast("double").alias("a"), F.sum("n1").cast("double").alias("b"))
     chi2 = F.expr(f"({n0 + n1}D) * pow(b * ({n0} - a) - a * ({n1} - b), 2) / (({n0}D) * {n1} * (a + b) * ({n0 + n1} - a - b))")
-    chosen = count.where(f"a + b >= {LEAST_DF} and a + b < {n0 + n1}").withColumn("chi2", chi2).where(F.col("chi2") >= LEAST_CHI2).orderBy(F.desc("chi2"), "term").limit(TERMS)
+    chosen = count.where(f"a + b >= {LEAST_DF} and a + b < {n0 + n1}").withColumn("chi2", chi2).orderBy(F.desc("chi2"), "term").limit(TERMS)
     terms = [r.term for r in chosen.select("term").collect()]
+    if not terms:
+        return Machine.prior(n0, n1)
     known = {t: i for i, t in enumerate(terms)}
 
     def features(batches):

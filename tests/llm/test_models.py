@@ -46,6 +46,40 @@ def test_toxicity_held_out(spark):
     assert np.mean([got[i].predicted == truth[i] for i in held]) > 0.97
 
 
+def trained(spark, rows):
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    return docs, toxicity.train(docs, spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic int"))
+
+
+def test_toxicity_learns_a_pair_from_texts(spark):
+    """A group mention is as common in clean as in toxic texts, and toxic only beside an insult."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(3000):
+        group, other = i % 2, rng.random()
+        insult, slur = (other < 0.2 and group), (other < 0.2 and not group)
+        words = [rng.choice("abcdefghij") for _ in range(6)] + ["grup"] * group + ["zork"] * (insult or (not group and 0.2 <= other < 0.6)) + ["qqslur"] * slur + [str(i)]
+        rng.shuffle(words)
+        rows.append((" ".join(words), int(insult or slur)))
+    docs, m = trained(spark, rows)
+    got = {r.doc_id: r for r in toxicity.score(docs, m).collect()}
+    held = [i for i in range(3000) if got[i].held_out]
+    assert set(toxicity.terms_of("grup")) <= set(m.terms)
+    assert np.mean([got[i].predicted == rows[i][1] for i in held]) > 0.97
+
+
+def test_toxicity_of_few_rows(spark):
+    """Terms are found in a few dozen rows too; and if none has enough texts, the prior decides."""
+    rows = [(f"w{i} x{i} zork" if i % 3 == 0 else f"w{i} x{i}", int(i % 3 == 0)) for i in range(27)]
+    docs, m = trained(spark, rows)
+    assert toxicity.terms_of("zork")[0] in m.terms
+    assert [r.predicted for r in toxicity.score(docs, m).orderBy("doc_id").collect()] == [y for _, y in rows]
+    docs, m = trained(spark, [(f"w{i} x{i}", y) for i, (_, y) in enumerate(rows)])
+    fitted = [y for i, (_, y) in enumerate(rows) if zlib.crc32(str(i).encode()) % 5]
+    prior = (sum(fitted) + 0.5) / (len(fitted) + 1)
+    assert not m.terms and [r.score for r in toxicity.score(docs, m).collect()] == pytest.approx([prior] * 27)
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
