@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import chain, islice
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -24,20 +27,33 @@ def scores(a: str, refs: list[str], match: int = 1, mismatch: int = -1, gap: int
     return row[np.arange(len(refs)), [len(r) for r in refs]]
 
 
-def closest(queries: DataFrame, refs: DataFrame, most: int = 20_000) -> DataFrame:
-    """id, ref, score: the best of refs (ref, ref_seq) for each query (id, seq), ties to the lesser ref.
-
-    The references are sent to every task, so more than `most` are an error: index them first.
-    """
-    n = refs.count()
-    if n > most:
-        raise ValueError(f"{n} references; at most {most} can be compared with every query")
-    rows = sorted((r.ref, r.ref_seq) for r in refs.select("ref", "ref_seq").collect())
-    names, seqs = [r for r, _ in rows], [s for _, s in rows]
+def _best(block: list[tuple[str, str]]):
+    names, seqs = [r for r, _ in block], [s for _, s in block]
 
     def run(frames):
         for pdf in frames:
-            got = [scores(s, seqs) for s in pdf.seq] if seqs else []
-            yield pd.DataFrame({"id": pdf.id[: len(got)], "ref": [names[int(g.argmax())] for g in got], "score": [int(g.max()) for g in got]}).astype({"score": "int64"})
+            got = [scores(s, seqs) for s in pdf.seq]
+            yield pd.DataFrame({"id": pdf.id, "seq": pdf.seq, "ref": [names[int(g.argmax())] for g in got], "score": [int(g.max()) for g in got]}).astype({"score": "int64"})
+
+    return run
 
-    return queries.select("id", F.coalesce("seq", F.lit("")).alias("seq")).mapInPandas(run, "id string, ref string, score long")
+
+def closest(queries: DataFrame, refs: DataFrame, most: int = 20_000) -> DataFrame:
+    """id, ref, score: the best of refs (ref, ref_seq) for each query (id, seq), ties to the lesser ref.
+
+    Tasks hold `most` references at a time: more are further passes over the distinct queries, of which the best is kept.
+    """
+    queries = queries.select("id", F.coalesce("seq", F.lit("")).alias("seq"))
+    schema = "id string, seq string, ref string, score long"
+    rows = iter(refs.select("ref", "ref_seq").orderBy("ref", "ref_seq").toLocalIterator())
+    blocks = iter(lambda: [(r.ref, r.ref_seq) for r in islice(rows, most)], [])
+    block, more = next(blocks, None), next(blocks, None)
+    if block is None:
+        return queries.sparkSession.createDataFrame([], schema).select("id", "ref", "score")
+    if more is None:
+        return queries.mapInPandas(_best(block), schema).select("id", "ref", "score")
+    distinct = queries.distinct()
+    found = reduce(DataFrame.unionByName, (distinct.mapInPandas(_best(b), schema) for b in chain([block, more], blocks)))
+    best = found.groupBy("id", "seq").agg(F.min(F.struct((-F.col("score")).alias("minus"), "ref")).alias("best"))
+    q, b = queries.alias("q"), best.alias("b")
+    return q.join(b, F.col("q.id").eqNullSafe(F.col("b.id")) & (F.col("q.seq") == F.col("b.seq"))).select("q.id", "b.best.ref", (-F.col("b.best.minus")).alias("score"))

@@ -140,3 +140,15 @@ def test_empty_tables(spark):
     assert coverage.scaffold_coverage(empty).count() == 0
     assert matrix.jaccard_pairs(spark.createDataFrame([], "sample string, otu string, count long")).count() == 0
     assert sequences.dereplicate(seqs(spark).limit(0) if False else spark.createDataFrame([], "ord long, id string, seq string")).count() == 0
+
+
+def test_closest_over_blocks_of_references(spark):
+    """References beyond those a task holds at a time count as well; ties go to the lesser, repeated queries stay."""
+    from strandline.operators.alignment import closest
+
+    refs = [(f"r{i}", s) for i, s in enumerate(("ACGT", "AC", "GGGG", "ACGT", "TTTTT", "", "CAT"))]
+    queries = [("a", "ACGT"), ("a", "ACGT"), ("a", "GGG"), ("b", "TTT"), ("c", None), (None, "CAT")]
+    got = closest(spark.createDataFrame(queries, "id string, seq string"), spark.createDataFrame(refs, "ref string, ref_seq string"), most=2)
+    want = [(i, *min((-int(scores(s or "", [r])[0]), name) for name, r in refs)[::-1]) for i, s in queries]
+    assert rows(got) == sorted(((i, ref, -minus) for i, ref, minus in want), key=repr)
+    assert rows(closest(got.select("id", F.lit("A").alias("seq")), spark.createDataFrame([], "ref string, ref_seq string"))) == []
