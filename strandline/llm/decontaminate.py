@@ -14,8 +14,8 @@ import re
 import string
 from bisect import bisect_left
 from collections import Counter, defaultdict
-from collections.abc import Iterator
-from itertools import islice
+from collections.abc import Iterable, Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -52,19 +52,31 @@ def parts(text: str) -> tuple[list[str], list[str]]:
     return (words[:cut], words[cut:]) if len(words) > 1 else (words, words)
 
 
+class Statistics:
+    """Of all items that aren't empty: their number, how many hold each term, mean and most words."""
+
+    def __init__(self, texts: Iterable[str | None]):
+        self.n, self.df, words, self.step = 0, Counter(), 0, 1
+        for t in texts:
+            if t and (w := tokens(t)):
+                self.n, words, self.step = self.n + 1, words + len(w), max(self.step, len(w))
+                self.df.update(set(w))
+        self.mean = words / self.n if self.n else 1.0
+
+
 class Index:
-    """items: (item_id, text); empty items are left out."""
+    """items: (item_id, text); empty items are left out. of: the statistics of all items, if these are some of them."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], of: Statistics | None = None):
+        of = of or Statistics(t for _, t in items)
         rows = sorted(((i, t, w) for i, t in items if t and (w := tokens(t))), key=lambda r: (len(set(r[2])), r[0]))
         self.ids = [i for i, _, _ in rows]
         self.term: dict[str, int] = {}
         tf = [Counter(self.term.setdefault(x, len(self.term)) for x in w) for _, _, w in rows]
-        df = Counter(t for c in tf for t in c)
-        mean = np.mean([len(w) for _, _, w in rows]) if rows else 1.0
+        df = {t: of.df[x] for x, t in self.term.items()}
         self.postings: dict[int, list[tuple[int, float]]] = defaultdict(list)
         for k, (c, (_, _, w)) in enumerate(zip(tf, rows)):
-            s = {t: np.log(1 + (len(rows) - df[t] + 0.5) / (df[t] + 0.5)) * n * (K1 + 1) / (n + K1 * (1 - B + B * len(w) / mean)) for t, n in c.items()}
+            s = {t: np.log(1 + (of.n - df[t] + 0.5) / (df[t] + 0.5)) * n * (K1 + 1) / (n + K1 * (1 - B + B * len(w) / of.mean)) for t, n in c.items()}
             own = sum(s.values())
             for t, x in s.items():
                 self.postings[t].append((k, float(x / own)))
@@ -73,7 +85,7 @@ class Index:
         for t, p in self.postings.items():
             for k, x in p:
                 self.bound[t, k // BLOCK] = max(self.bound[t, k // BLOCK], x)
-        self.step = max((len(w) for _, _, w in rows), default=1)
+        self.step = of.step
         self.parts = []
         for _, t, w in rows:
             q, a = parts(t)
@@ -171,10 +183,15 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     null doc_id or item_id stays null. Other columns are ignored; empty tables give none.
     """
     spark = small_batches(docs.sparkSession)
-    rows = iter(items.select("item_id", "text").distinct().orderBy("item_id", "text").toLocalIterator())
+    every = items.select("item_id", "text").distinct().orderBy("item_id", "text")
+    rows = iter(every.toLocalIterator())
+    blocks = iter(lambda: [(r.item_id, r.text) for r in islice(rows, ITEMS)], [])
+    block, more = next(blocks, None), next(blocks, None)
+    # scores and passages are of all items, whichever share an index
+    of = Statistics(r.text for r in every.toLocalIterator()) if more else None
     out = None
-    while block := [(r.item_id, r.text) for r in islice(rows, ITEMS)]:
-        got = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_find(Index(block)), OUT)
+    for b in chain([x for x in (block, more) if x], blocks):
+        got = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_find(Index(b, of)), OUT)
         out = got if out is None else out.unionByName(got)
     return spark.createDataFrame([], OUT) if out is None else out
 

@@ -154,6 +154,24 @@ def test_decontamination_against_all_scores(spark):
     assert decontaminate.contaminated(df, empty).count() == 0
 
 
+def test_decontamination_does_not_depend_on_slices(spark, monkeypatch):
+    """Items of one subject stand together: their words are rare among all items, and common in their slice."""
+    rng = random.Random(12)
+    items = [(i, " ".join(rng.choice("abcdefgh"[i // 20 :][:3]) + rng.choice("uvwxyz") + rng.choice("klm") for _ in range(rng.randint(8, 30))) + ".") for i in range(60)]
+    docs = []
+    for i in range(120):
+        w = rng.choice(items)[1].split()
+        docs.append((i, " ".join(["none"] * rng.randint(0, 9) + w[: rng.randint(len(w) // 2, len(w))] + ["other"] * rng.randint(0, 9))))
+    df, test = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = lambda: {(r.doc_id, r.item_id): (r.score, r.question_overlap, r.answer_overlap) for r in decontaminate.contaminated(df, test).collect()}
+    want = found()
+    assert len(want) > 30
+    for n in (59, 20, 7):
+        monkeypatch.setattr(decontaminate, "ITEMS", n)
+        got = found()
+        assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+
+
 def test_pipeline(spark):
     import corpus_pipeline as c
 
