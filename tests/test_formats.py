@@ -4,7 +4,7 @@ import gzip
 import zipfile
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from strandline.sources import files, formats, sinks
 

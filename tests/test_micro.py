@@ -1,7 +1,7 @@
 """Golden cases of single operators."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from strandline.functions import text as t

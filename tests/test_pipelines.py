@@ -1,7 +1,7 @@
 """Pipelines, settings and SQL functions."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from strandline import config
 from strandline.functions.register import register

@@ -1,6 +1,6 @@
 """The event windows on a stream give what they give on a batch."""
 
-from conftest import rows
+from helpers import rows
 
 from strandline.streaming import events
 
