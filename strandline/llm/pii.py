@@ -1,7 +1,7 @@
 """Personal data: exact patterns, and a linear-chain conditional random field over word shapes for what has no pattern.
 
-Patterns give e-mail and IP addresses, card and phone numbers. The field adds names (after words such as "name" or "Dear"), numbers of
-documents (id) and telephone numbers without a country code (tel). It is trained on LABELLED, a small table of marked sentences, by
+Patterns give e-mail and IP addresses, card and phone numbers. The field adds names (beside words such as "name", "Dear" or "Sincerely"),
+numbers of documents (id) and telephone numbers without a country code (tel). It is trained on LABELLED, a small table of marked sentences, by
 gradient ascent on the conditional likelihood, and decoded by Viterbi over whole texts: a token whose label is O whatever its neighbours
 are splits a text into chains, and batches of these are decoded in numpy.
 """
@@ -22,7 +22,7 @@ KINDS = ("email", "ip", "card", "phone", "name", "id", "tel")
 LABELS = ("O", "B-name", "I-name", "B-id", "I-id", "B-tel", "I-tel")
 #: Tokens that are decoded at once, in chains that end where no label but O can be best.
 DECODED = 128_000
-#: Words whose scores a worker remembers.
+#: Words, and kinds of words, that a worker remembers.
 MEMORY = 100_000
 #: Marked sentences: [words|kind].
 LABELLED = """
@@ -36,6 +36,7 @@ Name [Claire Dubois|name] was entered.
 Dear Mr. [Brown|name], thank you for the order.
 Dear Mrs. [Emma Wilson|name], we write about the bill.
 Dear [Thomas|name], how are you?
+Dear [Priya Nair|name], your parcel is here.
 Signed, Mr. [Alan Grant|name]
 Please ask Ms. [Julia Stein|name] about it.
 Dr. [Hans Weber|name] will see you now.
@@ -43,11 +44,26 @@ Mr [Paul Martin|name] and Mrs [Carla Bruni|name] came.
 Our name is [Mark Twain|name] today.
 Hello, my name is [Sara|name] and
 His name is [Tom Ford|name], she said
+Sincerely, [Helen Moore|name]
+Yours sincerely, [David O'Neil|name]
+Sincerely, [Ana Costa|name]
+Kind regards, [Peter Hall|name]
+Best regards, [Susan Clarke|name]
+Regards, [Omar Haddad|name]
+Patient: [Grace Turner|name]
+Patient: [Ivan Petrov|name] was seen today.
+Patient: [Rosa Diaz|name], born in spring
+Contact: [Frank Lutz|name]
+Contact: [Mei Chen|name] for the keys.
+Tenant: [Nora Jensen|name]
+Applicant: [Samuel Adeyemi|name]
 Mon nom est [Luc Moreau|name] et voila.
 Mein Name ist [Karl Vogel|name] und ich wohne hier.
 Mi nombre es [Juan Perez|name] y vivo aqui.
 Nombre: [Lucia Gomez|name]
 Nom: [Sophie Laurent|name]
+Herr [Otto Kruse|name] kommt morgen.
+Frau [Petra Lang|name] ruft an.
 SSN: [123-45-6789|id]
 Her SSN is [987-65-4321|id] on file.
 social security number [078-05-1120|id] was found
@@ -65,13 +81,21 @@ My phone is [555-867-5309|tel] at home.
 Telephone [020 7946 0958|tel] for help
 Fax: [555-222-1111|tel]
 Call me at [212-555-0142|tel] please.
-Oneaen the and Thntre of. The rest
-Was nd onnd atre thshha. Anwh the that
+The garden and the house. The rest was sold
+Was it late and cold then. Perhaps the train that left
 The name of the rose is long.
 Name the parts of a plant.
 The names are not known. We ask again.
 Dear all, the meeting is off.
 Dear customer, your order has left.
+Sincerely yours, the team
+Best regards from all of us.
+Kind regards to the family.
+Patient care is our aim.
+The patient: a man of forty, slept well.
+Contact us by post. The form is below
+Contact: see the last page.
+The tenant: who pays, decides.
 Call the office on Monday.
 Call 3 people and 12 others.
 Phone calls cost 25 cents.
@@ -82,29 +106,30 @@ Chapter 12 shows 345-12 and more.
 Licensed under the Apache License, Version 2.0.
 Les deux sont la. Une autre fois
 Der Name der Stadt. Die Leute
+Die Frau und der Herr. Sie kamen
 El nombre de la ciudad. Las casas
 Le nom de la rue. Rien
-token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" here
+build = "0f1e2d3c4b5a69788796a5b4c3d2e1f001234567" here
 The passport was lost. It took days
 A social security office. The number rose
 Section 123-45 of the act
-He said 4785380592391139 in the text
-The 152.143.123.13 to and Of
-Und der Das Nicht. Auf der
-THE AND THAT!! WAS!! OF
+They wrote 9876543210987654 in the text
+The 10.20.30.40 to and Of
+Und wenn Der Nicht. Auf dem
+NOW AND THEN!! WAS!! OF
 One | Two | Three | Four
-The The The of of of
+Yes Yes Yes no no no
 No. 12 is Red. No. 7 is not.
 Is Mr. the short form? Yes
-Is. Anat thth and the
-With. Hathanouiner of it
-On. Titi the and
-La. Uequemente de
-Und. Heitbeie der
-Est. Ment et de
-By. Onlyou was the
+Is. Later came and the
+With. Nobody thought of it
+On. Both and the
+La. Cependant de
+Und. Vielleicht der
+Est. Toujours et de
+By. Morning was the
 General Public License
-Thhe of. This. Stenly
+Those of. This. Plainly
 """.strip()
 
 
@@ -321,7 +346,8 @@ class Field:
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
+#: A match starts where a run of digits does, so a search from within one, which would be quadratic, is left out.
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 LONG = re.compile(r"[0-9](?:[ -]?[0-9]){12}")
@@ -349,7 +375,7 @@ def luhn(digits: str) -> bool:
 def base_spans(t: str) -> list[tuple[str, int, int]]:
     out = [("email", a, b) for a, b in emails(t)]
     if t.count(".") > 2:
-        out += [("ip", *m.span()) for m in IP.finditer(t) if all(len(x.lstrip("0")) < 4 and int(x) <= 255 for x in m[0].split("."))]
+        out += [("ip", *m.span()) for m in IP.finditer(t) if all(len(x) < 4 and int(x or "0") <= 255 for x in (y.lstrip("0") for y in m[0].split(".")))]
     if LONG.search(t):
         for m in CARD.finditer(t):
             d = re.sub("[ -]", "", m[0])
@@ -386,7 +412,8 @@ def personal_data(docs: DataFrame) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added) of every row.
 
     The counts are of the patterns' spans, base_sha256 is of their list; spans lists those and the field's, n_added counts the latter.
-    Null and empty texts have none. Rows may repeat, doc_id may be null, other columns are ignored.
+    Null and empty texts have none, and so an empty table gives no rows. Rows may repeat and are each answered, doc_id may be null, other
+    columns are ignored, whatever their names. Texts of any length are read whole, by one task.
     """
     small_batches(docs.sparkSession)
     fitted = Field.fit(LABELLED.split("\n") + strange_lines())
