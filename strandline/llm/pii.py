@@ -203,13 +203,13 @@ def log_sum(x: np.ndarray, axis: int) -> np.ndarray:
 
 
 class Rows(dict):
-    """word -> row of the field's tables, made when it is first asked for."""
+    """word -> its kind: the row of the field's tables that all words of the same features share."""
 
     def __init__(self, field):
         self.field = field
 
     def __missing__(self, word: str) -> int:
-        got = self[word] = self.field.row(word)
+        got = self[word] = self.field.kind(word)
         return got
 
 
@@ -218,10 +218,9 @@ class Field:
 
     def __init__(self, weight: dict[str, np.ndarray], step: np.ndarray, known: set[str]):
         self.weight, self.step, self.known = weight, step, known
-        self.rows = Rows(self)
-        self.grids = np.zeros((3, 2 * MEMORY, len(LABELS)), np.float32)
-        self.bounds = np.zeros((3, 2 * MEMORY), np.float32)
-        self.cache: dict[tuple, np.ndarray] = {}
+        self.rows, self.kinds = Rows(self), {}
+        self.grids = np.zeros((3, 1024, len(LABELS)), np.float32)
+        self.bounds = np.zeros((3, 1024), np.float32)
         self.slack = 2 * max(0.0, float((step - step[0, 0]).max()))
         # most that the transitions to and from a label can gain over those to and from O, whatever its neighbours are
         self.reach = max(0.0, float((np.maximum(0, (step - step[:, :1]).max(axis=0)) + (step - step[:1]).max(axis=1))[1:].max()))
@@ -230,24 +229,26 @@ class Field:
         return sum((self.weight[f] for f in (f"{side}{x}" for x in feats) if f in self.weight), np.zeros(len(LABELS)))
 
     def ids(self, words: list[str]) -> np.ndarray:
-        """Rows of words in the tables of scores, which hold MEMORY words, or those of one text."""
-        rows = self.rows
-        if len(rows) > MEMORY:
-            rows.clear()
-            self.cache.clear()
-        if len(words) + MEMORY >= self.bounds.shape[1]:
-            self.grids, self.bounds = np.zeros((3, len(words) + 2 * MEMORY, len(LABELS)), np.float32), np.zeros((3, len(words) + 2 * MEMORY), np.float32)
-            rows.clear()
-        return np.fromiter(map(rows.__getitem__, words), np.int64, len(words))
-
-    def row(self, w: str) -> int:
-        f = tuple(own(w, self.known)) if w else ()
-        if (got := self.cache.get(f)) is None:
-            got = self.cache[f] = np.array([self.total(side, f) for side in "0-="])
+        """Kinds of words. MEMORY words and as many kinds are remembered from call to call, more only within one."""
+        if len(self.rows) > MEMORY:
+            self.rows.clear()
+        if len(self.kinds) > MEMORY:
+            self.rows.clear()
+            self.kinds.clear()
+            self.grids, self.bounds = self.grids[:, :1024].copy(), self.bounds[:, :1024].copy()
+        return np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
+
+    def kind(self, w: str) -> int:
+        # most words are plain ones that no feature knows by name
+        f = "x" if w.isalpha() and w.islower() and len(w) < 25 and w not in self.known else tuple(own(w, self.known)) if w else ""
+        if (k := self.kinds.get(f)) is None:
+            k = self.kinds[f] = len(self.kinds)
+            if k == self.bounds.shape[1]:
+                self.grids, self.bounds = np.concatenate([self.grids, np.zeros_like(self.grids)], axis=1), np.concatenate([self.bounds, np.zeros_like(self.bounds)], axis=1)
+            got = np.array([self.total(side, own(w, self.known) if w else []) for side in "0-="])
             got[0] += self.weight.get("b", 0) if w else np.where(np.arange(len(LABELS)), -100.0, 0.0)
-        k = len(self.rows)
-        self.grids[:, k] = got
-        self.bounds[:, k] = (got[:, 1:] - got[:, :1]).max(axis=1)
+            self.grids[:, k] = got
+            self.bounds[:, k] = (got[:, 1:] - got[:, :1]).max(axis=1)
         return k
 
     def tag(self, texts: list[list[str]]) -> list[list[tuple[int, int, str]]]:
