@@ -127,6 +127,29 @@ def neighbours_of_clusters(spark):
     assert hot == [100, 5001, 5002, 5003, 5004]
 
 
+def test_ties_of_scaled_copies(spark, monkeypatch):
+    """Copies times powers of two have the same cosine to the bit; the smallest ids win, however many there are."""
+    monkeypatch.setattr(ann_tree, "PAIRS", 15)
+    v = [0.3, -1.7, 2.9, 0.11]
+    rows = [(i, [x * 2.0 ** (i % 23 - 11) for x in v]) for i in range(1, 41)] + [(50, v), (100, [1.0, 2.0, 3.0, 4.0])]
+    got = ann_tree.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("query_id", "rank").collect()
+    assert [r.vec_id for r in got if r.query_id == 50] == [1, 2, 3, 4, 5]
+    assert [r.vec_id for r in got if r.query_id == 100] == [i for q, _, i in brute(rows) if q == 100]
+
+
+def test_doubles_are_not_narrowed(spark):
+    """Components that differ beyond float precision, or lie beyond its range; and vectors of several dimensions."""
+    rows = [(0, [1.0, 1.0]), (1, [1.0, 1.0 + 1e-9]), (2, [1.0, 1.0 + 1e-12]), (3, [1e300, 1.00001e300]), (4, [1e-300, -1e-300]), (5, [1.0, 0.0]), (6, [2.0, 2.1]), (50, [1.0, 2.0, 3.0]), (51, [1.0, 2.0, 3.5])]
+    got = ann_tree.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("query_id", "rank").collect()
+    assert [r.vec_id for r in got] == [2, 1, 3, 6, 5, 51] and all(-1 <= r.score <= 1.0000001 for r in got)
+
+
+def test_repeated_rows_and_clashing_columns(spark):
+    s = "vec_id long, embedding array<float>, q string, leaf string, ids string"
+    rows = [(0, [1.0, 0.0], "a", "b", "c")] * 3 + [(1, [1.0, 0.5], "a", "b", "c")] * 2 + [(2, [1.0, 0.1], "a", "b", "c")]
+    assert [(r.query_id, r.vec_id) for r in ann_tree.nearest(spark.createDataFrame(rows, s)).orderBy("rank").collect()] == [(0, 2), (0, 1)]
+
+
 def test_few_and_no_vectors(spark):
     s = "vec_id long, embedding array<float>, score string"
     assert ann_tree.nearest(spark.createDataFrame([], s)).count() == 0
