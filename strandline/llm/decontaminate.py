@@ -28,7 +28,7 @@ K1, B = 1.2, 0.75
 #: Least share of an item's own score, least share of the 3-grams of question and answer each, or of the whole item.
 THRESHOLD, OVERLAP, WHOLE = 0.5, 0.5, 0.6
 GRAM = 3
-#: Items of a posting block; items of one index: more items are searched in further passes, so that a task's index is bounded.
+#: Items of a posting block; items of one index: more items are in further indexes, of which a task holds one at a time.
 BLOCK, ITEMS = 8, 4000
 OUT = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
 
@@ -161,15 +161,32 @@ class TermIds(dict):
         return got
 
 
-def _find(index: Index):
+def words_of(text: bytes) -> list[bytes]:
+    return text.lower().split() if text.isascii() else text.decode("utf-8", "surrogatepass").lower().encode("utf-8", "surrogatepass").split()
+
+
+def _hits(index: Index, ids_of: TermIds, ids: list[int], words: list[list[bytes]]) -> list[tuple]:
+    rows = []
+    for i, ws in zip(ids, words):
+        x = np.fromiter(map(ids_of.__getitem__, ws), np.int64, len(ws))
+        rows += [(i, index.ids[k], *s) for k, s in index.found(x[x > -2]).items()]
+    return rows
+
+
+def _find(indexes: list):
+    """indexes: one index, or broadcasts of several, of which a task holds one at a time: each batch of texts is read by all in turn."""
     def run(batches):
-        ids_of = TermIds(index.term)
-        for ids, texts in texts_of(batches):
-            rows = []
-            for i, t in zip(ids, texts):
-                words = t.lower().split() if t.isascii() else t.decode("utf-8", "surrogatepass").lower().encode("utf-8", "surrogatepass").split()
-                x = np.array([ids_of[w] for w in words], np.int64)
-                rows += [(i, index.ids[k], *s) for k, s in index.found(x[x > -2]).items()]
+        ids_of = TermIds(indexes[0].term) if len(indexes) == 1 else None
+        for ids, texts in texts_of(batches, 300_000 if ids_of is not None else 3_000_000):
+            if ids_of is not None:
+                rows = _hits(indexes[0], ids_of, ids, [words_of(t) for t in texts])
+            else:
+                rows = []
+                for b in indexes:
+                    index = b.value
+                    rows += _hits(index, TermIds(index.term), ids, map(words_of, texts))
+                    # the worker's copy goes, and comes again from the executor's file
+                    del index, b._value
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()))], names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
 
@@ -180,20 +197,23 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id, score, question_overlap, answer_overlap) for each document that holds a test item, with its best passage.
 
     Null and empty texts and items hold nothing. Rows of items that repeat give repeated results once; repeated documents are found each. A
-    null doc_id or item_id stays null. Other columns are ignored; empty tables give none.
+    null doc_id or item_id stays null. Other columns are ignored, whatever their names; empty tables give none. The documents are read
+    once, whatever the number of items.
     """
     spark = small_batches(docs.sparkSession)
     every = items.select("item_id", "text").distinct().orderBy("item_id", "text")
     rows = iter(every.toLocalIterator())
     blocks = iter(lambda: [(r.item_id, r.text) for r in islice(rows, ITEMS)], [])
     block, more = next(blocks, None), next(blocks, None)
-    # scores and passages are of all items, whichever share an index
-    of = Statistics(r.text for r in every.toLocalIterator()) if more else None
-    out = None
-    for b in chain([x for x in (block, more) if x], blocks):
-        got = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_find(Index(b, of)), OUT)
-        out = got if out is None else out.unionByName(got)
-    return spark.createDataFrame([], OUT) if out is None else out
+    if block is None:
+        return spark.createDataFrame([], OUT)
+    if more is None:
+        indexes = [Index(block)]
+    else:
+        # scores and passages are of all items, whichever share an index
+        of = Statistics(r.text for r in every.toLocalIterator())
+        indexes = [spark.sparkContext.broadcast(Index(b, of)) for b in chain([block, more], blocks)]
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_find(indexes), OUT)
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import hashlib
 import html
+import math
 import random
 import re
 
@@ -172,6 +173,60 @@ def test_decontamination_does_not_depend_on_slices(spark, monkeypatch):
         assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
 
 
+def plain_contaminated(docs, items):
+    """All items against all passages of all documents, with sets and sums."""
+    d = decontaminate
+    texts = sorted({(i, t) for i, t in items if t and d.tokens(t)})
+    words = {k: d.tokens(t) for k, (_, t) in enumerate(texts)}
+    n, mean, step = len(texts), sum(map(len, words.values())) / len(texts), max(map(len, words.values()))
+    df = {}
+    for w in words.values():
+        for x in set(w):
+            df[x] = df.get(x, 0) + 1
+    impact = lambda k, x: math.log(1 + (n - df[x] + 0.5) / (df[x] + 0.5)) * words[k].count(x) * (d.K1 + 1) / (words[k].count(x) + d.K1 * (1 - d.B + d.B * len(words[k]) / mean))
+    out = {}
+    for i, t in docs:
+        ws = d.tokens(t or "")
+        for at in range(0, len(ws), step):
+            here = ws[at : at + 2 * step]
+            for k, (item, text) in enumerate(texts):
+                share = sum(impact(k, x) for x in set(words[k]) & set(here)) / sum(impact(k, x) for x in set(words[k]))
+                if share < d.THRESHOLD - 1e-9:
+                    continue
+                has = {tuple(here[a : a + m]) for m in (1, 2, 3) for a in range(len(here) - m + 1)}
+                q, a, w = (len(d.grams(x) & has) / len(d.grams(x)) for x in (*d.parts(text), words[k]))
+                if q >= d.OVERLAP and (a >= d.OVERLAP or w >= d.WHOLE):
+                    out[i, item] = max(out.get((i, item), (0, 0, 0)), (round(share, 6), round(q, 6), round(a, 6)))
+    return out
+
+
+def test_verified_items_against_plain_sets(spark, monkeypatch):
+    """Whole, edited and cut items, repeated and empty documents, very long items, clashing columns; one item an index or all in one."""
+    rng = random.Random(14)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 4)))
+    items = [(i, " ".join(word() for _ in range(rng.randint(3, 25))) + "? " + " ".join(word() for _ in range(rng.randint(2, 9))) + ".") for i in range(25)] + [(30, " ".join(word() for _ in range(400)) + "."), (31, None), (32, "É à ü. Ñ")]
+    docs = []
+    for i in range(80):
+        w = rng.choice(items[:26])[1].split()
+        w = w[rng.randint(0, len(w) // 3) :] if i % 2 else w
+        for _ in range(len(w) // 6 if i % 3 == 0 else 0):
+            w[rng.randrange(len(w))] = word()
+        docs.append((i, " ".join([word() for _ in range(rng.randint(0, 60))] + w + [word() for _ in range(rng.randint(0, 60))])))
+    docs += [(100, None), (101, ""), (102, "x É à ü. ñ, y"), (103, "É à ü. Ñ"), (104, "word " * 200_000 + items[0][1])]
+    want = plain_contaminated(docs, items)
+    assert len(want) > 40
+    schema = "doc_id long, text string, item_id string, score string"
+    df = spark.createDataFrame([(*r, "s", "t") for r in docs + docs[:1]], schema)
+    test = spark.createDataFrame([(*r, "d") for r in items + items[:2]], "item_id long, text string, doc_id string")
+    for n in (4000, 1):
+        monkeypatch.setattr(decontaminate, "ITEMS", n)
+        rows = decontaminate.contaminated(df, test).collect()
+        got = {(r.doc_id, r.item_id): (r.score, r.question_overlap, r.answer_overlap) for r in rows}
+        assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=2e-6) for k in want)
+        assert len(rows) == len(want) + sum(i == 0 for i, _ in want)
+        assert decontaminate.contaminated(spark.createDataFrame([], schema), test).count() == 0
+
+
 def test_pipeline(spark):
     import corpus_pipeline as c
 
