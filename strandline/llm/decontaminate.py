@@ -149,14 +149,19 @@ class Index:
         return out
 
 
+PUNCTUATION = string.punctuation.encode()
+
+
 class TermIds(dict):
+    """word (lower case, UTF-8) -> its term, -1 if no item has it, -2 if it is punctuation only."""
+
     def __init__(self, term: dict[str, int]):
-        self.term = term
+        self.term = {w.encode("utf-8", "surrogatepass"): k for w, k in term.items()}
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= 120_000:
             self.clear()
-        w = word.decode("utf-8", "surrogatepass").lower().strip(string.punctuation)
+        w = word.strip(PUNCTUATION)
         got = self[word] = self.term.get(w, -1) if w else -2
         return got
 
