@@ -5,13 +5,16 @@ model all documents. A token's loss is -log(L c(h, w) / c(h) + (1 - L) p(w)), p(
 token at hand is left out of the counts it belongs to, so that a document isn't judged by itself. A document's score is the mean over
 its tokens of background loss minus target loss: the higher, the more it is like the target.
 
-The vocabulary is the VOCABULARY most frequent words of the corpus and UNKNOWN classes of the others, by hash; it bounds what is
-broadcast. Bigrams are not bounded: a batch of documents sends its distinct ones with their counts, packed, to the range of their hash,
-where they are summed over all documents, and the sums return to the batch. A frequent bigram is one entry of each batch, no more.
+The vocabulary is every word of the corpus, by 64-bit hash, and no table of words or bigrams is ever in one place. A batch of documents
+sends its distinct words and bigrams with their counts, packed, to the range of their hash, where they are summed over all documents, and
+the sums return to the batch. A frequent word is one entry of each batch, no more. Ranges grow in number with the text, and so do batches,
+which else would send each range next to nothing.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -19,154 +22,173 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORDS, Scratch, small_or_shuffled, table, texts_of
+from .common import WORDS, mix, small_batches, small_or_shuffled, table, texts_of
 
-UNKNOWN, START = 4096, 4096
-VOCABULARY = 65_536 - UNKNOWN - 1
 #: Weight of the bigram in the mixture.
 L = 0.6
+#: Words of text that a range of hashes is for, and words of a batch at least and at most.
+RANGE_WORDS, BATCH, BATCH_MOST = 2_000_000, 500_000, 8_000_000
+#: Keys are told apart by so many bytes within their range.
+KEY = 6
+#: History of a document's first word; what makes keys of words differ from those of bigrams.
+START, WORD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+SENT = "p long, r long, k binary, b binary, t binary, w binary"
 
 
-def words_of(text: bytes) -> list[bytes]:
-    return text.lower().split()
-
-
-def _word_counts(batches):
-    """(hash, count in all, count in the target) of the words of a batch; "t" marks the target."""
-    for b in batches:
-        marks = iter(b.column("t").to_pylist())
-        for _, texts in texts_of([b]):
-            each = [words_of(x) for x in texts]
-            n = [len(w) for w in each]
-            h = np.fromiter((WORDS[w] for ws in each for w in ws), np.uint64, sum(n))
-            del each
-            u, at = np.unique(h, return_inverse=True)
-            t = np.repeat(np.array([next(marks) for _ in texts], bool), n)
-            yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(np.bincount(at, minlength=len(u))), pa.array(np.bincount(at, weights=t, minlength=len(u)).astype(np.int64))], names=["w", "b", "t"])
-
-
-class Unigrams:
-    """known: (hash, count in background, in target) of the vocabulary; every: (class, counts) of all words by class of their hash."""
-
-    def __init__(self, known: list[tuple[int, int, int]], every: list[tuple[int, int, int]], docs: tuple[int, int]):
-        self.hashes = np.array([h for h, _, _ in known], np.int64)
-        c = np.array([r[1:] for r in known], np.float64).reshape(-1, 2)
-        rest = np.zeros((UNKNOWN, 2))
-        for k, x, y in every:
-            rest[k] = x, y
-        np.subtract.at(rest, self.hashes % UNKNOWN, c)
-        self.total = tuple(rest.sum(axis=0) + c.sum(axis=0))
-        self.b, self.t = np.concatenate([rest, [docs], c]).T.copy()
-
-    def table(self) -> tuple[np.ndarray, np.ndarray]:
-        order = np.argsort(self.hashes)
-        return self.hashes[order], order + UNKNOWN + 1
-
-    def losses(self, h: np.ndarray, w: np.ndarray, pair: np.ndarray, minus: np.ndarray, target: bool) -> np.ndarray:
-        """Loss of each token w after h, given the pair's count; minus: 1 where the token itself is among the counts."""
-        c, total = (self.t, self.total[1]) if target else (self.b, self.total[0])
-        uni = (c[w] - minus + 1) / (total - minus + len(c))
-        before = c[h] - minus
-        bi = np.divide(pair - minus, before, out=np.zeros(len(w)), where=before > 0)
-        return -np.log(L * np.minimum(bi, 1) + (1 - L) * uni)
-
-
-def bigrams(w: np.ndarray, n: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct bigrams of a batch (history << 16 | word) by range, where each range starts, and the place of each token's bigram.
-
-    w: ids of the documents' words, one document after the other; n: how many each has.
-    """
-    w = w.astype(np.uint64)
-    h = np.empty_like(w)
-    h[1:] = w[:-1]
-    h[(np.cumsum(n) - n)[n > 0]] = START
-    key = h << np.uint64(16) | w
-    r = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) % np.uint64(ranges)
-    u, at = np.unique(r << np.uint64(32) | key, return_inverse=True)
-    return u.astype(np.uint32), np.searchsorted(u, np.arange(ranges + 1).astype(np.uint64) << np.uint64(32)), at
-
+def hashed(batches, words: int) -> Iterator[tuple[list, np.ndarray, np.ndarray, np.ndarray]]:
+    """Arrow batches (doc_id, text, t) -> ids, marks t, words of each document, and the words' hashes, about `words` at a time."""
+    marks: list[bool] = []
 
-def _scatter(ranges: int, hashes: np.ndarray, ids: np.ndarray):
+    def noted():
+        for b in batches:
+            marks.extend(b.column("t").to_pylist())
+            yield b
+
+    for ids, texts in texts_of(noted(), words):
+        t = np.array(marks[: len(ids)], bool)
+        del marks[: len(ids)]
+        each = [x.lower().split() for x in texts]
+        n = np.array([len(w) for w in each], np.int64)
+        yield ids, t, n, np.fromiter((WORDS[w] for ws in each for w in ws), np.uint64, int(n.sum()))
+
+
+def _vocabulary(batches):
+    """The distinct words of each batch, and a row without a word for its counts of tokens, in all and in the target."""
+    for _, t, n, h in hashed(batches, BATCH):
+        u = np.unique(h).view(np.int64)
+        last = lambda x: pa.array(np.append(np.zeros(len(u), np.int64), x))
+        yield pa.RecordBatch.from_arrays([pa.concat_arrays([pa.array(u), pa.nulls(1, pa.int64())]), last(len(h)), last(int(n[t].sum()))], names=["w", "b", "t"])
+
+
+class Batch:
+    """The distinct words u (sorted) of some documents, w the place of each token's; their bigrams and the place of each token's; all keys
+    in the order of their ranges, with where each range starts."""
+
+    def __init__(self, u: np.ndarray, w: np.ndarray, n: np.ndarray, ranges: int):
+        self.w = w
+        h = np.empty(len(w), np.uint64)
+        h[1:] = u[w[:-1]]
+        first = (np.cumsum(n) - n)[n > 0]
+        h[first] = START
+        pairs, some, self.pair = np.unique(mix(h * np.uint64(0xD6E8FEB86659FD93) + u[w]), return_index=True, return_inverse=True)
+        # of each distinct bigram: the places of its history (-1: start) and word
+        self.word = w[some]
+        before = np.concatenate([[-1], w[:-1]])[: len(w)]
+        before[first] = -1
+        self.history = before[some]
+        keys = np.concatenate([mix(u ^ WORD), pairs])
+        r = (keys >> np.uint64(40)) % np.uint64(ranges)
+        self.order = np.argsort(r, kind="stable")
+        self.keys = keys[self.order]
+        self.ranges, self.cut = np.unique(r[self.order], return_index=True)
+
+    def counts(self, weights: np.ndarray | None = None) -> np.ndarray:
+        """How often each key occurs, in their order; weights: of each token."""
+        each = [np.bincount(x, weights, size) for x, size in ((self.w, len(self.order) - len(self.word)), (self.pair, len(self.word)))]
+        return np.concatenate(each).astype(np.uint32)[self.order]
+
+
+def packed(keys: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY])
+
+
+def unpacked(parts) -> np.ndarray:
+    some = np.concatenate([np.frombuffer(x, np.uint8).reshape(-1, KEY) for x in parts])
+    out = np.zeros((len(some), 8), np.uint8)
+    out[:, :KEY] = some
+    return out.view("<u8").ravel()
+
+
+def _scatter(ranges: int, words: int):
     def run(batches):
         part, seq = TaskContext.get().partitionId(), 0
-        for b in batches:
-            marks = iter(b.column("t").to_pylist())
-            for docs, texts in texts_of([b], 500_000):
-                t = np.array([next(marks) for _ in docs], bool)
-                each = [words_of(x) for x in texts]
-                n = np.array([len(w) for w in each])
-                w = np.fromiter((WORDS[x] for ws in each for x in ws), np.uint64, int(n.sum())).view(np.int64)
-                del each
-                if len(hashes):
-                    k = np.searchsorted(hashes, w)
-                    k[k == len(hashes)] = 0
-                    w = np.where(hashes[k] == w, ids[k], w % UNKNOWN)
-                else:
-                    w = w % UNKNOWN
-                u, cut, at = bigrams(w, n, ranges)
-                x, y = np.bincount(at, minlength=len(u)).astype(np.uint32), np.bincount(at, weights=np.repeat(t, n), minlength=len(u)).astype(np.uint32)
-                p = (part << 24) + seq
-                seq += 1
-                rows = [(p, -1 - p % 64, w.astype(np.uint16).tobytes(), np.concatenate([np.array(docs, np.int64), n]).tobytes(), t.tobytes())]
-                rows += [(p, j, u[a:z].tobytes(), x[a:z].tobytes(), y[a:z].tobytes()) for j, (a, z) in enumerate(zip(cut, cut[1:])) if a < z]
-                yield pa.RecordBatch.from_arrays([pa.array(x, y) for x, y in zip(zip(*rows), (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names=["p", "r", "k", "b", "t"])
+        for docs, t, n, h in hashed(batches, words):
+            u, w = np.unique(h, return_inverse=True)
+            of = Batch(u, w, n, ranges)
+            b, g, k = of.counts(), of.counts(np.repeat(t, n).astype(float)), packed(of.keys)
+            p = (part << 32) + seq
+            seq += 1
+            head = np.array([[i or 0, i is None, x, m] for i, x, m in zip(docs, t, n)], np.int64)
+            rows = [(p, -1 - p, u.tobytes(), head.tobytes(), b"", w.astype(np.uint32).tobytes())]
+            rows += [(p, int(r), k[a:z].tobytes(), b[a:z].tobytes(), g[a:z].tobytes(), b"") for r, a, z in zip(of.ranges, of.cut, [*of.cut[1:], len(k)])]
+            for a in range(0, len(rows), 10_000):
+                yield pa.RecordBatch.from_arrays([pa.array(x, y) for x, y in zip(zip(*rows[a : a + 10_000]), (pa.int64(), pa.int64(), *[pa.binary()] * 4))], names=["p", "r", "k", "b", "t", "w"])
 
     return run
 
 
 def _count(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The bigrams of one range, summed over all batches, each batch getting the sums of those it sent. Heads pass through."""
+    """The keys of one range, summed over all batches, each batch getting the sums of those it sent. Heads pass through."""
     if pdf.r.iat[0] < 0:
         return pdf
-    u, at = np.unique(np.concatenate([np.frombuffer(k, np.uint32) for k in pdf.k]), return_inverse=True)
-    whole = lambda col: np.bincount(at, weights=np.concatenate([np.frombuffer(x, np.uint32) for x in col]), minlength=len(u)).astype(np.uint64)[at]
-    cut = np.cumsum([len(k) // 4 for k in pdf.k])[:-1]
-    split = lambda x: [v.tobytes() for v in np.split(x, cut)]
-    return pd.DataFrame({"p": pdf.p, "r": pdf.r, "k": b"", "b": split(whole(pdf.b)), "t": split(whole(pdf.t))})
+    u, at = np.unique(unpacked(pdf.k), return_inverse=True)
+    cut = np.cumsum([len(k) // KEY for k in pdf.k])[:-1]
+
+    def whole(col) -> list[bytes]:
+        s = np.bincount(at, weights=np.concatenate([np.frombuffer(x, np.uint32) for x in col]), minlength=len(u))[at]
+        return [v.astype(np.uint32 if v.max(initial=0) < 1 << 32 else np.uint64).tobytes() for v in np.split(s, cut)]
+
+    return pd.DataFrame({"p": pdf.p, "r": pdf.r, "k": [np.uint32(len(k) // KEY).tobytes() for k in pdf.k], "b": whole(pdf.b), "t": whole(pdf.t), "w": b""})
+
+
+class Model:
+    """Losses of one model: words of the vocabulary, documents and tokens that it counts."""
 
+    def __init__(self, vocabulary: int, docs: int, tokens: int):
+        self.vocabulary, self.docs, self.tokens = vocabulary, docs, tokens
 
-def _gather(ranges: int, model: Unigrams):
+    def losses(self, of: Batch, counts: np.ndarray, minus: int) -> np.ndarray:
+        """Loss of each distinct bigram's word, given the counts of words and bigrams; minus: 1 if the token itself is among them."""
+        words, pairs = counts[: len(counts) - len(of.word)], counts[len(counts) - len(of.word) :]
+        before = np.where(of.history < 0, self.docs, words[of.history]) - minus if len(words) else np.zeros(0)
+        uni = np.maximum(words[of.word] - minus + 1, 1) / (self.tokens - minus + self.vocabulary)
+        bi = np.divide(pairs - minus, before, out=np.zeros(len(pairs)), where=before > 0)
+        return -np.log(L * np.clip(bi, 0, 1) + (1 - L) * uni)
+
+
+def _gather(ranges: int, background: Model, target: Model):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         head, rest = pdf[pdf.r < 0], pdf[pdf.r >= 0].sort_values("r")
-        w = np.frombuffer(head.k.iat[0], np.uint16)
-        ids, n = np.frombuffer(head.b.iat[0], np.int64).reshape(2, -1)
-        t = np.frombuffer(head.t.iat[0], bool).astype(np.float64)
-        u, _, at = bigrams(w, n, ranges)
+        ids, none, t, n = np.frombuffer(head.b.iat[0], np.int64).reshape(-1, 4).T
+        of = Batch(np.frombuffer(head.k.iat[0], np.uint64), np.frombuffer(head.w.iat[0], np.uint32).astype(np.int64), n, ranges)
+        size = [int(np.frombuffer(k, np.uint32)[0]) for k in rest.k]
+
+        def sums(col) -> np.ndarray:
+            out = np.zeros(len(of.order))
+            if len(size):
+                out[of.order] = np.concatenate([np.frombuffer(x, np.uint32 if len(x) == 4 * m else np.uint64) for x, m in zip(col, size)])
+            return out
+
         doc = np.repeat(np.arange(len(ids)), n)
-        pair = lambda col: np.concatenate([np.frombuffer(x, np.uint64) for x in col]).astype(np.float64)[at] if len(at) else np.zeros(0)
-        h, word, mine = (u >> np.uint32(16)).astype(int)[at], w.astype(int), t[doc]
-        b = np.bincount(doc, model.losses(h, word, pair(rest.b), np.ones(len(w)), False), len(ids))
-        g = np.bincount(doc, model.losses(h, word, pair(rest.t), mine, True), len(ids))
+        b = np.bincount(doc, background.losses(of, sums(rest.b), 1)[of.pair], len(ids))
+        c = sums(rest.t)
+        own, other = (target.losses(of, c, m)[of.pair] for m in (1, 0))
+        g = np.bincount(doc, np.where(t[doc] == 1, own, other), len(ids))
         n1 = np.maximum(n, 1)
-        return pd.DataFrame({"doc_id": ids, "n_tokens": n, "loss_target": g / n1, "loss_background": b / n1, "score": (b - g) / n1})
+        return pd.DataFrame({"doc_id": pd.array(np.where(none == 1, None, ids), "Int64"), "n_tokens": n, "loss_target": g / n1, "loss_background": b / n1, "score": (b - g) / n1})
 
     return run
 
 
-NOBODY = -(1 << 63)
-
-
 def cross_entropy_difference(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, loss_target, loss_background, score) of every row of docs; wanted: doc_id of the target documents.
 
     Null and empty texts have no tokens and zeros. With no target document the target model knows nothing but the vocabulary. Rows may
-    repeat and count each time, doc_id may be null, other columns are ignored.
+    repeat and count each time, doc_id may be null, other columns are ignored, whatever their names; an empty table gives no rows. Texts
+    of any length are read whole.
     """
-    spark = docs.sparkSession
+    spark = small_batches(docs.sparkSession)
     good = wanted.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     good = small_or_shuffled(good, good.count()).withColumn("t", F.lit(True))
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NOBODY)).alias("doc_id"), "text").join(good, "doc_id", "left").select("doc_id", "text", F.coalesce("t", F.lit(False)).alias("t"))
-    counts = rows.mapInArrow(_word_counts, "w long, b long, t long").groupBy("w").agg(F.sum("b").alias("b"), F.sum("t").alias("t"))
-    counts = Scratch(spark).save(counts, "words")
-    every = counts.groupBy(F.pmod("w", F.lit(UNKNOWN)).alias("k")).agg(F.sum("b"), F.sum("t")).collect()
-    size = rows.agg(F.count("*"), F.count_if("t")).first()
-    known = counts.orderBy(F.desc("b"), "w").limit(VOCABULARY).collect()
-    model = Unigrams([tuple(r) for r in known], [tuple(r) for r in every], (size[0], size[1]))
-    ranges = min(60_000, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    sent = rows.mapInArrow(_scatter(ranges, *model.table()), "p long, r int, k binary, b binary, t binary")
-    summed = sent.groupBy("r").applyInPandas(_count, "p long, r int, k binary, b binary, t binary")
-    got = summed.groupBy("p").applyInPandas(_gather(ranges, model), "doc_id long, n_tokens long, loss_target double, loss_background double, score double")
-    return got.withColumn("doc_id", F.nullif("doc_id", F.lit(NOBODY)))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(good, "doc_id", "left").select("doc_id", "text", F.coalesce("t", F.lit(False)).alias("t"))
+    seen = rows.agg(F.count("*").alias("docs"), F.count_if("t").alias("good")).first()
+    words = rows.mapInArrow(_vocabulary, "w long, b long, t long").groupBy("w").agg(F.sum("b").alias("b"), F.sum("t").alias("t"))
+    size = words.agg(F.count("w").alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b"), F.coalesce(F.sum("t"), F.lit(0)).alias("t")).first()
+    ranges = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size.b // RANGE_WORDS))
+    sent = rows.mapInArrow(_scatter(ranges, min(BATCH_MOST, max(BATCH, 8 * ranges))), SENT)
+    summed = sent.groupBy("r").applyInPandas(_count, SENT)
+    models = Model(size.n, seen.docs, size.b), Model(size.n, seen.good, size.t)
+    return summed.groupBy("p").applyInPandas(_gather(ranges, *models), "doc_id long, n_tokens long, loss_target double, loss_background double, score double")
 
 
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -386,43 +386,57 @@ def test_spans_do_not_depend_on_their_place():
         assert spans == want
 
 
-def test_lm_scores_against_plain_counts(spark, monkeypatch):
-    monkeypatch.setattr(lm_score, "VOCABULARY", 40)
-    rng = random.Random(7)
-    rows = [(i, " ".join(rng.choice("abcdefgh") + rng.choice(("", "", "x", rng.choice("pqrstuv") * 2)) for _ in range(rng.randint(0, 30)))) for i in range(60)]
-    rows += [(100, None), (101, "")]
-    good = {i for i, _ in rows if i % 3 == 0}
-    docs = spark.createDataFrame([(i, t, "z") for i, t in rows], "doc_id long, text string, t string").repartition(4)
-    got = {r.doc_id: r for r in lm_score.cross_entropy_difference(docs, spark.createDataFrame([(i,) for i in good], "doc_id long")).collect()}
-    words = {i: [int(np.uint64(lm_score.WORDS[w]).astype(np.int64)) for w in (t or "").encode().split()] for i, t in rows}
-    count = {}
-    for ws in words.values():
-        for w in ws:
-            count[w] = count.get(w, 0) + 1
-    known = sorted(count, key=lambda w: (-count[w], w))[:40]
-    ids = {i: [known.index(w) if w in known else ("?", w % lm_score.UNKNOWN) for w in ws] for i, ws in words.items()}
-    size = lm_score.UNKNOWN + 1 + len(known)
+def plain_losses(rows, good, doc):
+    """Losses of a document by the target's and the background's counts, kept in dictionaries."""
+    words = [(i, (t or "").lower().split()) for i, t in rows]
+    size = len({w for _, ws in words for w in ws})
 
-    def loss(doc, docs_):
+    def loss(inside):
         uni, bi, n = {}, {}, 0
-        for i in docs_:
-            h = "^"
-            uni[h] = uni.get(h, 0) + 1
-            for w in ids[i]:
-                uni[w] = uni.get(w, 0) + 1
-                bi[h, w] = bi.get((h, w), 0) + 1
-                n, h = n + 1, w
-        out, h, mine = 0.0, "^", int(doc in docs_)
-        for w in ids[doc]:
+        for i, ws in words:
+            if inside(i):
+                h = "^"
+                uni[h] = uni.get(h, 0) + 1
+                for w in ws:
+                    uni[w], bi[h, w] = uni.get(w, 0) + 1, bi.get((h, w), 0) + 1
+                    n, h = n + 1, w
+        out, h, mine, ws = 0.0, "^", int(inside(doc)), dict(words)[doc]
+        for w in ws:
             before = uni.get(h, 0) - mine
             p = min(1, (bi.get((h, w), 0) - mine) / before) if before > 0 else 0.0
             out -= math.log(lm_score.L * p + (1 - lm_score.L) * (uni.get(w, 0) - mine + 1) / (n - mine + size))
             h = w
-        return out / max(1, len(ids[doc]))
+        return out / max(1, len(ws))
 
-    every = [i for i, _ in rows]
-    for i in (0, 1, 5, 9, 33, 100, 101):
-        assert got[i].n_tokens == len(ids[i])
-        assert got[i].loss_target == pytest.approx(loss(i, good & set(every)), abs=1e-6)
-        assert got[i].loss_background == pytest.approx(loss(i, every), abs=1e-6)
+    return loss(lambda i: i in good), loss(lambda i: True)
+
+
+@pytest.mark.parametrize("batch, range_words", [(500_000, 2_000_000), (10, 2_000_000), (10, 20)])
+def test_lm_scores_against_plain_counts(spark, monkeypatch, batch, range_words):
+    """One batch or many, few ranges or more than there are words."""
+    monkeypatch.setattr(lm_score, "BATCH_MOST", batch)
+    monkeypatch.setattr(lm_score, "RANGE_WORDS", range_words)
+    rng = random.Random(7)
+    rows = [(i, " ".join(rng.choice("abcdefgH") + rng.choice(("", "", "x", rng.choice("pqrstuv") * 2)) for _ in range(rng.randint(0, 30)))) for i in range(60)]
+    rows += [(100, None), (101, ""), (102, " \n"), (-(1 << 63), "only here"), (103, "a " * 20_000 + "é")]
+    good = {i for i, _ in rows if i % 3 == 0}
+    docs = spark.createDataFrame([(i, t, "z", "w") for i, t in rows], "doc_id long, text string, t string, w string").repartition(4)
+    got = {r.doc_id: r for r in lm_score.cross_entropy_difference(docs, spark.createDataFrame([(i,) for i in good] + [(None,)], "doc_id long")).collect()}
     assert len(got) == len(rows)
+    for i, t in rows:
+        if i % 7 == 0 or not 0 <= i < 60:
+            target, background = plain_losses(rows, good, i)
+            assert got[i].n_tokens == len((t or "").split())
+            assert got[i].loss_target == pytest.approx(target, abs=1e-6) and got[i].loss_background == pytest.approx(background, abs=1e-6)
+            assert got[i].score == pytest.approx(background - target, abs=1e-6)
+
+
+def test_lm_scores_of_repeated_rows_and_of_none(spark):
+    schema = "doc_id long, text string"
+    rows = [(1, "a b c"), (1, "a b c"), (None, "b c"), (2, "x y")]
+    got = sorted(((r.doc_id, r.n_tokens, r.score) for r in lm_score.cross_entropy_difference(spark.createDataFrame(rows, schema), spark.createDataFrame([(1,)], "doc_id long")).collect()), key=repr)
+    assert [r[:2] for r in got] == [(1, 3), (1, 3), (2, 2), (None, 2)] and got[0] == got[1] and got[0][2] > got[2][2]
+    nobody = spark.createDataFrame([], "doc_id long")
+    assert lm_score.cross_entropy_difference(spark.createDataFrame([], schema), nobody).count() == 0
+    assert [r.n_tokens for r in lm_score.cross_entropy_difference(spark.createDataFrame([(5, None)], schema), nobody).collect()] == [0]
+    assert len(lm_score.cross_entropy_difference(spark.createDataFrame(rows, schema), nobody).collect()) == 4
