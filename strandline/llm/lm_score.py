@@ -5,7 +5,7 @@ model all documents. A token's loss is -log(L c(h, w) / c(h) + (1 - L) p(w)), p(
 token at hand is left out of the counts it belongs to, so that a document isn't judged by itself. A document's score is the mean over
 its tokens of background loss minus target loss: the higher, the more it is like the target.
 
-The vocabulary is every word of the corpus, by 64-bit hash, and no table of words or bigrams is ever in one place. A batch of documents
+The vocabulary is every word of the corpus, by 56-bit hash, and no table of words or bigrams is ever in one place. A batch of documents
 sends its distinct words and bigrams with their counts, packed, to the range of their hash, where they are summed over all documents, and
 the sums return to the batch. A frequent word is one entry of each batch, no more. Ranges grow in number with the text, and so do batches,
 which else would send each range next to nothing.
@@ -27,9 +27,11 @@ from .common import WORDS, mix, small_batches, small_or_shuffled, table, texts_o
 #: Weight of the bigram in the mixture.
 L = 0.6
 #: Words of text that a range of hashes is for, and words of a batch at least and at most.
-RANGE_WORDS, BATCH, BATCH_MOST = 2_000_000, 500_000, 8_000_000
-#: Keys are told apart by so many bytes within their range.
-KEY = 6
+RANGE_WORDS, BATCH, BATCH_MOST = 2_000_000, 800_000, 8_000_000
+#: Keys are told apart by so many bits within their range.
+BITS = 48
+#: Bytes of a word's hash.
+WIDTH = 7
 #: History of a document's first word; what makes keys of words differ from those of bigrams.
 START, WORD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 SENT = "p long, r long, k binary, b binary, t binary, w binary"
@@ -49,7 +51,7 @@ def hashed(batches, words: int) -> Iterator[tuple[list, np.ndarray, np.ndarray,
         del marks[: len(ids)]
         each = [x.lower().split() for x in texts]
         n = np.array([len(w) for w in each], np.int64)
-        yield ids, t, n, np.fromiter((WORDS[w] for ws in each for w in ws), np.uint64, int(n.sum()))
+        yield ids, t, n, np.fromiter((WORDS[w] for ws in each for w in ws), np.uint64, int(n.sum())) >> np.uint64(64 - 8 * WIDTH)
 
 
 def _vocabulary(batches):
@@ -60,8 +62,55 @@ def _vocabulary(batches):
         yield pa.RecordBatch.from_arrays([pa.concat_arrays([pa.array(u), pa.nulls(1, pa.int64())]), last(len(h)), last(int(n[t].sum()))], names=["w", "b", "t"])
 
 
+def short(v: np.ndarray, kind=np.uint8) -> bytes:
+    """Whole numbers, most of them small, as `kind`, the largest of which stands for those that follow at the end; compressed."""
+    top = np.iinfo(kind).max
+    size = np.uint32 if v.max(initial=0) < 1 << 32 else np.uint64
+    # low bytes apart from high ones, which are mostly zero
+    x = np.minimum(v, top).astype(kind).view(np.uint8).reshape(len(v), kind().nbytes).T.tobytes() + v[v >= top].astype(size).tobytes()
+    return np.array([len(v), size().nbytes, len(x)], np.uint32).tobytes() + pa.compress(x, codec="zstd", asbytes=True)
+
+
+def long(x: bytes, kind=np.uint8) -> np.ndarray:
+    """What short() was given."""
+    n, size, m = np.frombuffer(x, np.uint32, 3).tolist()
+    x = pa.decompress(x[12:], m, codec="zstd", asbytes=True)
+    v = np.ascontiguousarray(np.frombuffer(x, np.uint8, n * kind().nbytes).reshape(kind().nbytes, n).T).view(kind).ravel().astype(np.int64)
+    v[v == np.iinfo(kind).max] = np.frombuffer(x, np.uint32 if size == 4 else np.uint64, offset=n * kind().nbytes)
+    return v
+
+
+def narrow(u: np.ndarray) -> bytes:
+    return np.ascontiguousarray(u.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WIDTH]).tobytes()
+
+
+def wide(x: bytes) -> np.ndarray:
+    some = np.frombuffer(x, np.uint8).reshape(-1, WIDTH)
+    out = np.zeros((len(some), 8), np.uint8)
+    out[:, :WIDTH] = some
+    return out.view("<u8").ravel()
+
+
+def steps(k: np.ndarray) -> bytes:
+    """Rising keys as the first and the steps between them, in as few bytes each as the widest needs."""
+    d = np.diff(k)
+    width = max(1, (int(d.max(initial=0)).bit_length() + 7) // 8)
+    return np.array([k[0], width], "<u8").tobytes() + np.ascontiguousarray(d.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+
+
+def keys_of(x: bytes) -> np.ndarray:
+    """What steps() was given."""
+    first, width = np.frombuffer(x, "<u8", 2)
+    some = np.frombuffer(x, np.uint8, offset=16).reshape(-1, int(width))
+    d = np.zeros((len(some) + 1, 8), np.uint8)
+    d[1:, : int(width)] = some
+    d = d.view("<u8").ravel()
+    d[0] = first
+    return np.cumsum(d, dtype=np.uint64)
+
+
 class Batch:
-    """The distinct words u (sorted) of some documents, w the place of each token's; their bigrams and the place of each token's; all keys
+    """The distinct words u of some documents, w the place of each token's; their bigrams and the place of each token's; all keys
     in the order of their ranges, with where each range starts."""
 
     def __init__(self, u: np.ndarray, w: np.ndarray, n: np.ndarray, ranges: int):
@@ -77,40 +126,35 @@ class Batch:
         before[first] = -1
         self.history = before[some]
         keys = np.concatenate([mix(u ^ WORD), pairs])
-        r = (keys >> np.uint64(40)) % np.uint64(ranges)
-        self.order = np.argsort(r, kind="stable")
-        self.keys = keys[self.order]
-        self.ranges, self.cut = np.unique(r[self.order], return_index=True)
+        self.order = np.argsort(keys)
+        keys = keys[self.order]
+        # ranges are equal parts of all hashes; a key has BITS within its range, or all it has
+        self.ranges, self.cut = np.unique(((keys >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32), return_index=True)
+        self.keys = keys >> np.uint64(max(0, 64 - BITS - (ranges - 1).bit_length()))
 
     def counts(self, weights: np.ndarray | None = None) -> np.ndarray:
         """How often each key occurs, in their order; weights: of each token."""
         each = [np.bincount(x, weights, size) for x, size in ((self.w, len(self.order) - len(self.word)), (self.pair, len(self.word)))]
-        return np.concatenate(each).astype(np.uint32)[self.order]
-
-
-def packed(keys: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY])
-
-
-def unpacked(parts) -> np.ndarray:
-    some = np.concatenate([np.frombuffer(x, np.uint8).reshape(-1, KEY) for x in parts])
-    out = np.zeros((len(some), 8), np.uint8)
-    out[:, :KEY] = some
-    return out.view("<u8").ravel()
+        return np.concatenate(each).astype(np.int64)[self.order]
 
 
 def _scatter(ranges: int, words: int):
     def run(batches):
         part, seq = TaskContext.get().partitionId(), 0
         for docs, t, n, h in hashed(batches, words):
-            u, w = np.unique(h, return_inverse=True)
+            u, w, c = np.unique(h, return_inverse=True, return_counts=True)
+            # frequent words first, whose places are small numbers
+            first = np.argsort(-c, kind="stable")
+            place = np.empty(len(u), np.int64)
+            place[first] = np.arange(len(u))
+            u, w = u[first], place[w]
             of = Batch(u, w, n, ranges)
-            b, g, k = of.counts(), of.counts(np.repeat(t, n).astype(float)), packed(of.keys)
+            b, g, k = of.counts(), of.counts(np.repeat(t, n).astype(float)), of.keys
             p = (part << 32) + seq
             seq += 1
             head = np.array([[i or 0, i is None, x, m] for i, x, m in zip(docs, t, n)], np.int64)
-            rows = [(p, -1 - p, u.tobytes(), head.tobytes(), b"", w.astype(np.uint32).tobytes())]
-            rows += [(p, int(r), k[a:z].tobytes(), b[a:z].tobytes(), g[a:z].tobytes(), b"") for r, a, z in zip(of.ranges, of.cut, [*of.cut[1:], len(k)])]
+            rows = [(p, -1 - p, narrow(u), head.tobytes(), b"", short(w, np.uint16))]
+            rows += [(p, int(r), steps(k[a:z]), short(b[a:z]), short(g[a:z]), b"") for r, a, z in zip(of.ranges, of.cut, [*of.cut[1:], len(k)])]
             for a in range(0, len(rows), 10_000):
                 yield pa.RecordBatch.from_arrays([pa.array(x, y) for x, y in zip(zip(*rows[a : a + 10_000]), (pa.int64(), pa.int64(), *[pa.binary()] * 4))], names=["p", "r", "k", "b", "t", "w"])
 
@@ -118,17 +162,19 @@ def _scatter(ranges: int, words: int):
 
 
 def _count(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The keys of one range, summed over all batches, each batch getting the sums of those it sent. Heads pass through."""
+    """The keys of one range, summed over all batches, each batch getting what others have of those it sent. Heads pass through."""
     if pdf.r.iat[0] < 0:
         return pdf
-    u, at = np.unique(unpacked(pdf.k), return_inverse=True)
-    cut = np.cumsum([len(k) // KEY for k in pdf.k])[:-1]
+    each = [keys_of(k) for k in pdf.k]
+    cut = np.cumsum([len(k) for k in each])[:-1]
+    u, at = np.unique(np.concatenate(each), return_inverse=True)
+    del each
 
-    def whole(col) -> list[bytes]:
-        s = np.bincount(at, weights=np.concatenate([np.frombuffer(x, np.uint32) for x in col]), minlength=len(u))[at]
-        return [v.astype(np.uint32 if v.max(initial=0) < 1 << 32 else np.uint64).tobytes() for v in np.split(s, cut)]
+    def others(col) -> list[bytes]:
+        own = np.concatenate([long(x) for x in col])
+        return [short(v) for v in np.split(np.bincount(at, weights=own, minlength=len(u)).astype(np.int64)[at] - own, cut)]
 
-    return pd.DataFrame({"p": pdf.p, "r": pdf.r, "k": [np.uint32(len(k) // KEY).tobytes() for k in pdf.k], "b": whole(pdf.b), "t": whole(pdf.t), "w": b""})
+    return pd.DataFrame({"p": pdf.p, "r": pdf.r, "k": b"", "b": others(pdf.b), "t": others(pdf.t), "w": b""})
 
 
 class Model:
@@ -150,18 +196,17 @@ def _gather(ranges: int, background: Model, target: Model):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         head, rest = pdf[pdf.r < 0], pdf[pdf.r >= 0].sort_values("r")
         ids, none, t, n = np.frombuffer(head.b.iat[0], np.int64).reshape(-1, 4).T
-        of = Batch(np.frombuffer(head.k.iat[0], np.uint64), np.frombuffer(head.w.iat[0], np.uint32).astype(np.int64), n, ranges)
-        size = [int(np.frombuffer(k, np.uint32)[0]) for k in rest.k]
+        of = Batch(wide(head.k.iat[0]), long(head.w.iat[0], np.uint16), n, ranges)
 
-        def sums(col) -> np.ndarray:
+        def sums(col, weights: np.ndarray | None = None) -> np.ndarray:
             out = np.zeros(len(of.order))
-            if len(size):
-                out[of.order] = np.concatenate([np.frombuffer(x, np.uint32 if len(x) == 4 * m else np.uint64) for x, m in zip(col, size)])
+            if len(out):
+                out[of.order] = np.concatenate([long(x) for x in col]) + of.counts(weights)
             return out
 
         doc = np.repeat(np.arange(len(ids)), n)
         b = np.bincount(doc, background.losses(of, sums(rest.b), 1)[of.pair], len(ids))
-        c = sums(rest.t)
+        c = sums(rest.t, np.repeat(t, n).astype(float))
         own, other = (target.losses(of, c, m)[of.pair] for m in (1, 0))
         g = np.bincount(doc, np.where(t[doc] == 1, own, other), len(ids))
         n1 = np.maximum(n, 1)

@@ -411,6 +411,14 @@ def plain_losses(rows, good, doc):
     return loss(lambda i: i in good), loss(lambda i: True)
 
 
+def test_short_numbers():
+    for v in ([], [0, 1, 254, 255, 256], [70_000, 65_535, 3], [1 << 40, 2]):
+        for kind in (np.uint8, np.uint16):
+            assert lm_score.long(lm_score.short(np.array(v, np.int64), kind), kind).tolist() == v
+    for k in ([0], [5], [1, 2, 300, 1 << 63], list(range(0, 1000, 7))):
+        assert lm_score.keys_of(lm_score.steps(np.array(k, np.uint64))).tolist() == k
+
+
 @pytest.mark.parametrize("batch, range_words", [(500_000, 2_000_000), (10, 2_000_000), (10, 20)])
 def test_lm_scores_against_plain_counts(spark, monkeypatch, batch, range_words):
     """One batch or many, few ranges or more than there are words."""
