@@ -34,6 +34,8 @@ N = 5
 NUM, DEN = 80, 100
 #: Light sets are at most this large, whatever the costs say: beyond it one set would enumerate thousands of subsets.
 LIGHT_MOST = 20
+#: Elements that a range of hashes is for, words of a batch at least and at most.
+RANGE_ELEMENTS, BATCH, BATCH_MOST = 4_000_000, 300_000, 8_000_000
 #: Lists are compared with a new hub, round by round, until what is left is under this many comparisons a document.
 LEFT_A_DOC = 1000
 ROUNDS = 6
@@ -74,33 +76,41 @@ def shingle_sets(texts: list[bytes], n: int = N) -> list[np.ndarray]:
     return out
 
 
-def _scatter(ranges: int):
+def _scatter(ranges: int, words: int):
     """Arrow batches -> for each batch a head (ids, sizes, fingerprints), and for each range of hashes four bytes an element."""
 
     def run(batches):
         part, seq = TaskContext.get().partitionId(), 0
-        for ids, texts in texts_of(batches):
+        for ids, texts in texts_of(batches, words):
             sets = shingle_sets(texts)
-            p = (part << 24) + seq
+            p = (part << 32) + seq
             seq += 1
             n = np.array([len(s) for s in sets], np.int64)
             marks = np.array([np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64) for s in sets], np.int64)
             every = np.concatenate(sets)
             doc = np.repeat(np.arange(len(ids)), n)
-            r = ((every >> np.uint64(32)) % np.uint64(ranges)).astype(np.uint16)
+            r = ((every >> np.uint64(32)) % np.uint64(ranges)).astype(np.uint32)
             order = np.argsort(r, kind="stable")
             low, doc = every.astype(np.uint32)[order], doc[order]
-            at = np.searchsorted(r[order], np.arange(ranges + 1))
-            rows = [(p, -1 - p % 64, np.concatenate([np.array(ids, np.int64), n]).tobytes(), marks.tobytes())]
-            for k in range(ranges):
-                a, b = at[k], at[k + 1]
-                if a < b:
-                    rows.append((p, k, np.bincount(doc[a:b], minlength=len(ids)).astype(np.uint32).tobytes(), low[a:b].tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.binary(), pa.binary()))], names=["p", "r", "a", "b"])
+            some, at = np.unique(r[order], return_index=True)
+            rows = [(p, -1 - p, np.concatenate([np.array(ids, np.int64), n]).tobytes(), marks.tobytes(), b"")]
+            for k, a, b in zip(some, at, [*at[1:], len(low)]):
+                # elements of each document, or of those that have any
+                which, c = np.unique(doc[a:b], return_counts=True)
+                few = 2 * len(which) < len(ids)
+                rows.append((p, int(k), (c if few else np.bincount(doc[a:b], minlength=len(ids))).astype(np.uint32).tobytes(), low[a:b].tobytes(), which.astype(np.uint32).tobytes() if few else b""))
+                if len(rows) >= 10_000:
+                    yield _rows(rows)
+                    rows = []
+            yield _rows(rows)
 
     return run
 
 
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [()] * 5, (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], names=["p", "r", "a", "b", "which"])
+
+
 def _shared(pdf: pd.DataFrame) -> pd.DataFrame:
     """One range of hashes: per batch, how many elements of each document occur in any other document too. Heads pass through."""
     if pdf.r.iat[0] < 0:
@@ -119,7 +129,7 @@ def _shared(pdf: pd.DataFrame) -> pd.DataFrame:
             np.cumsum(twice[i] == h, out=hit[1:])
         end = np.cumsum(c, dtype=np.int64)
         out.append((hit[end] - hit[end - c]).astype(np.uint32).tobytes())
-    return pd.DataFrame({"p": pdf.p, "head": False, "a": out, "b": b""})
+    return pd.DataFrame({"p": pdf.p, "head": False, "a": out, "b": pdf.which})
 
 
 def _gather(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -128,17 +138,20 @@ def _gather(pdf: pd.DataFrame) -> pd.DataFrame:
     ids, n = np.frombuffer(head.a.iat[0], np.int64).reshape(2, -1)
     marks = np.frombuffer(head.b.iat[0], np.int64).reshape(-1, 2)
     shared = np.zeros(len(ids), np.int64)
-    for a in pdf.a[~pdf["head"]]:
-        shared += np.frombuffer(a, np.uint32)
+    for a, which in zip(pdf.a[~pdf["head"]], pdf.b[~pdf["head"]]):
+        shared[np.frombuffer(which, np.uint32) if which else slice(None)] += np.frombuffer(a, np.uint32)
     return pd.DataFrame({"doc_id": ids, "n": n, "f1": marks[:, 0], "f2": marks[:, 1], "shared": shared})
 
 
-def sizes_and_shared(docs: DataFrame, ranges: int) -> DataFrame:
+def sizes_and_shared(docs: DataFrame) -> DataFrame:
     """(doc_id, n, f1, f2, shared) of documents: the set's size, its 128-bit fingerprint, its elements that other documents have.
 
-    Elements are told apart by 32 bits within one of `ranges` ranges: a collision can raise `shared`, never lower it.
+    Elements are told apart by 32 bits within one of the ranges: a collision can raise `shared`, never lower it. Ranges grow in number
+    with the text (six bytes a word), and so do batches, which else would send each range next to nothing.
     """
-    sent = docs.select("doc_id", "text").mapInArrow(_scatter(ranges), "p long, r int, a binary, b binary")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = max(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // 6 // RANGE_ELEMENTS + 1)
+    sent = docs.select("doc_id", "text").mapInArrow(_scatter(ranges, min(BATCH_MOST, max(BATCH, 8 * ranges))), "p long, r long, a binary, b binary, which binary")
     return sent.groupBy("r").applyInPandas(_shared, "p long, head boolean, a binary, b binary").groupBy("p").applyInPandas(_gather, "doc_id long, n long, f1 long, f2 long, shared long")
 
 
@@ -268,7 +281,10 @@ def heavy_edges(sets: DataFrame, least: int, keep: Scratch) -> DataFrame:
     edges, labels = None, None
     for r in range(ROUNDS):
         now = lists.withColumn("component", F.col("d")) if labels is None else lists.join(labels.select(F.col("id").alias("d"), "component"), "d", "left").withColumn("component", F.coalesce("component", "d"))
-        hub = now.groupBy("e").agg(F.min_by(F.struct("d", "n", "component"), F.xxhash64("d", F.lit(r))).alias("hub"), F.count("*").alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+        hub = now.groupBy("e").agg(F.min_by(F.struct("d", "n", "component"), F.xxhash64("d", F.lit(r))).alias("hub"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("e", "hub")
+        # counted, so that long lists need not be sent to one task to meet theirs
+        hub = keep.save(hub, "hubs")
+        hub = small_or_shuffled(hub, 3 * hub.count())
         if r:
             now = keep.save(now.join(hub.select("e"), "e", "left_semi"), "open")
             per = now.groupBy("e", "component").agg(F.count("*").alias("c")).groupBy("e").agg(F.sum("c").alias("m"), F.max_by("component", "c").alias("main"))
@@ -293,8 +309,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     keep = Scratch(spark)
-    ranges = min(60_000, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    marks = keep.save(sizes_and_shared(docs.where("doc_id is not null"), ranges), "marks")
+    marks = keep.save(sizes_and_shared(docs.where("doc_id is not null")), "marks")
     need = F.ceil(F.col("n") * NUM / DEN)
     classes = keep.save(marks.where((F.col("n") > 0) & (F.col("shared") >= need)).groupBy("f1", "f2").agg(F.min("doc_id").alias("rep")), "classes")
     reps = classes.select(F.col("rep").alias("doc_id"))

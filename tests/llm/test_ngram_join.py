@@ -65,6 +65,25 @@ def test_exhaustive_rest_alone(spark, monkeypatch):
     assert sorted(map(tuple, m.near_duplicates(df).collect())) == brute(rows)
 
 
+def test_many_ranges_and_small_batches(spark, monkeypatch):
+    """More ranges than a batch has elements: few documents have any in one."""
+    monkeypatch.setattr(m, "RANGE_ELEMENTS", 1)
+    monkeypatch.setattr(m, "BATCH_MOST", 50)
+    rows = corpus(6, 120)
+    assert sorted(map(tuple, m.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())) == brute(rows)
+
+
+def test_very_long_texts(spark):
+    """A giant, its near copy and another giant, beside short texts; ties of size."""
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(150_000)]
+    near = list(words)
+    near[::5_000] = ["zzz"] * 30
+    rows = [(9, " ".join(words)), (4, " ".join(near)), (7, " ".join(words[::-1])), (1, "a b c d e f"), (2, "a b c d e g"), (3, "x")]
+    got = {r.doc_id: r.component_id for r in m.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {9: 4, 4: 4, 7: 7, 1: 1, 2: 2, 3: 3}
+
+
 def test_edges(spark):
     rows = [(1, None), (2, ""), (3, " \t\n"), (4, "one"), (5, "ONE"), (6, "a b c d"), (7, "a b c d e"), (8, "A b c D e"), (9, "É a b c d"), (10, "é a b c d"), (None, "a b c d e")]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in m.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
