@@ -5,8 +5,9 @@ neighbours are stable, that is, encode to themselves when put together; with wei
 others it is the best path of a max-plus product, and the encoding of any split can be combined from its parts. Documents of at most
 CHUNK characters are one part, and the library encodes them. Longer ones are cut blindly into chunks. A chunk's transfer matrix has
 an entry for each boundary state at its start (a piece that lies over or ends at the cut, and how far) and at its end, finite where
-stable neighbours lead from one to the other. Matrices are combined associatively per document, which tells each chunk its true
-states, and chunks are then traced back independently. Results equal the library's on the whole text.
+stable neighbours lead from one to the other. The product of matrices is associative: SEGMENT neighbouring ones are combined to one, in
+as many rounds as a document needs, and the true states come back down the same rounds to its chunks, which are then traced back
+independently. Results equal the library's on the whole text. decode() turns ids into text again.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, give_back, small_or_shuffled, table, texts_of
+from .common import Scratch, give_back, small_batches, small_or_shuffled, table, texts_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Characters of a chunk; longer documents are giant.
@@ -29,6 +30,8 @@ SPACE = "▁"
 BREAK = re.compile("[^▁](?=▁)")
 #: Characters around a chunk, longer than any piece.
 MARGIN = 64
+#: Neighbouring matrices that are combined to one.
+SEGMENT = 64
 
 
 @functools.lru_cache(maxsize=2)
@@ -204,31 +207,77 @@ def _cut(frames):
     give_back()
 
 
-def _combine(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The matrices of one document -> each chunk's states on the one finite path from "0:" to "end".
+def product(matrices: list[list[tuple[str, str]]]) -> list[tuple[str, str]]:
+    """Finite entries of the max-plus product; all weights are zero, so it is the composition of the relations."""
+    out = matrices[0]
+    for m in matrices[1:]:
+        step: dict[str, list[str]] = {}
+        for f, t in m:
+            step.setdefault(f, []).append(t)
+        out = sorted({(f, u) for f, t in out for u in step.get(t, ())})
+    return out
 
-    Reachable states from the left, then from the right: the product of the matrices applied to the two unit vectors.
-    """
-    some = pdf.sort_values("no").drop_duplicates("no")
-    matrices = [list(zip(f, t)) for f, t in zip(some["from"], some["to"])]
-    left = [{"0:"}]
+
+def path(matrices: list[list[tuple[str, str]]], first: str, last: str) -> list[str]:
+    """The states between matrices on the one finite path from `first` to `last`: those reached from the left, traced from the right."""
+    left = [{first}]
     for m in matrices:
         left.append({t for f, t in m if f in left[-1]})
-    at, path = "end", ["end"]
+    out = [last]
     for m, reach in zip(matrices[::-1], left[-2::-1]):
-        at = next(f for f, t in m if t == at and f in reach)
-        path.append(at)
-    path.reverse()
-    return pd.DataFrame({"doc_id": some.doc_id, "h": some.h, "no": some.no, "s0": path[:-1], "s1": path[1:]})
+        out.append(next(f for f, t in m if t == out[-1] and f in reach))
+    return out[::-1]
+
+
+def _matrices(pdf: pd.DataFrame) -> tuple[pd.DataFrame, list[list[tuple[str, str]]]]:
+    """Matrices in order, those of repeated rows of a document once."""
+    some = pdf.sort_values("no").drop_duplicates("no")
+    return some, [list(zip(f, t)) for f, t in zip(some["from"], some["to"])]
+
+
+def _up(pdf: pd.DataFrame) -> pd.DataFrame:
+    """SEGMENT neighbours as one."""
+    some, ms = _matrices(pdf)
+    m = product(ms)
+    return pd.DataFrame({"doc_id": some.doc_id[:1], "h": some.h[:1], "no": some.no[:1] // SEGMENT, "from": [[f for f, _ in m]], "to": [[t for _, t in m]]})
+
+
+def _down(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The states at both ends of each of a segment's matrices, given those of the segment as first and last."""
+    some, ms = _matrices(pdf)
+    states = path(ms, some["first"].iat[0], some["last"].iat[0])
+    return pd.DataFrame({"doc_id": some.doc_id, "h": some.h, "no": some.no, "s0": states[:-1], "s1": states[1:]})
+
+
+def _states(matrices: DataFrame, most: int, keep: Scratch) -> DataFrame:
+    """(doc_id, h, no, s0, s1) of every chunk: rounds up to one matrix a document, and down again. most: the largest number of a chunk."""
+    shape = "doc_id long, h string, no int, from array<string>, to array<string>"
+    levels = [keep.save(matrices, "matrices")]
+    while most >= SEGMENT:
+        levels.append(keep.save(levels[-1].groupBy("doc_id", "h", F.expr(f"no div {SEGMENT}")).applyInPandas(_up, shape), "segments"))
+        most //= SEGMENT
+    states = None
+    for level in levels[::-1]:
+        if states is None:
+            ends = level.withColumn("first", F.lit("0:")).withColumn("last", F.lit("end"))
+        else:
+            up = states.select(F.col("doc_id").alias("d"), F.col("h").alias("g"), F.col("no").alias("up"), F.col("s0").alias("first"), F.col("s1").alias("last"))
+            ends = level.join(up, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g")) & (F.expr(f"no div {SEGMENT}") == F.col("up"))).drop("d", "g", "up")
+        states = ends.groupBy("doc_id", "h", F.expr(f"no div {SEGMENT}")).applyInPandas(_down, "doc_id long, h string, no int, s0 string, s1 string")
+        states = keep.save(states, "states")
+    return states
 
 
 def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """(doc_id, n_tokens, ids, round_trip) of every row: the ids of the whole text, and whether decoding them gives the text again.
 
     Null and empty texts have no ids and round-trip to the empty text. A text that holds U+2581 itself decodes to spaces there. Rows
-    may repeat, and doc_id may be null. Other columns are ignored.
+    may repeat and are each answered, and doc_id may be null. Other columns are ignored, whatever their names; an empty table gives no rows.
     """
     keep = Scratch(docs.sparkSession)
+    sp = library(model)
+    if (longest := max(len(sp.id_to_piece(i)) for i in range(sp.get_piece_size()))) > MARGIN:
+        raise ValueError(f"a piece of {longest} characters is longer than MARGIN")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     giant = F.coalesce(F.length("text") > CHUNK, F.lit(False))
     small = rows.where(~giant).mapInArrow(_encode_small(model), "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
@@ -257,13 +306,31 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
         ok = hashlib.sha256(library(model).decode(ids.tolist()).encode()).hexdigest() == pdf.h.iat[0]
         return pd.DataFrame({"doc_id": [pdf.doc_id.iat[0]] * copies, "n_tokens": len(ids), "ids": [ids] * copies, "round_trip": ok})
 
-    states = big.mapInPandas(matrices, "doc_id long, h string, no int, from array<string>, to array<string>").groupBy("doc_id", "h").applyInPandas(_combine, "doc_id long, h string, no int, s0 string, s1 string")
-    states = keep.save(states, "states")
+    most = big.agg(F.max("no")).first()[0] or 0
+    states = _states(big.mapInPandas(matrices, "doc_id long, h string, no int, from array<string>, to array<string>"), most, keep)
     states = small_or_shuffled(states, 10 * states.count())  # rows of about 100 bytes
     joined = big.join(states, (big.doc_id.eqNullSafe(states.doc_id)) & (big.h == states.h) & (big.no == states.no)).select(big.doc_id, big.h, big.no, "part", "a", "b", "s0", "s1")
     done = joined.mapInPandas(back, "doc_id long, h string, no int, ids array<int>").groupBy("doc_id", "h").applyInPandas(whole, "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
     return small.unionByName(done)
 
 
+def decode(tokens: DataFrame, model: str = MODEL) -> DataFrame:
+    """(doc_id, text) of every row of tokens (doc_id, ids): the text that the ids stand for.
+
+    No ids, or null, are the empty text, and null ids among others are left out. Bytes that are no UTF-8 become U+FFFD; an id that the
+    model lacks is an error. Rows may repeat, doc_id may be null, other columns are ignored; an empty table gives no rows.
+    """
+    small_batches(tokens.sparkSession)
+
+    def run(batches):
+        sp = library(model)
+        for b in batches:
+            ids = [[i for i in x or () if i is not None] for x in b.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([sp.decode(x) if x else "" for x in ids], pa.string())], names=["doc_id", "text"])
+        give_back()
+
+    return tokens.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ids").cast("array<int>").alias("ids")).mapInArrow(run, "doc_id long, text string")
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"))

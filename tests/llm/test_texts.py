@@ -192,9 +192,15 @@ def test_scan_equals_library(spark, model, monkeypatch):
     for t in filter(None, texts):
         p = pd.concat(sentencepiece_scan._cut([pd.DataFrame({"doc_id": [1], "h": ["h"], "text": [t]})]), ignore_index=True)
         m = [sentencepiece_scan.transfer(lat, *x) for x in zip(p.part, p.a, p.b)]
-        s = sentencepiece_scan._combine(p.assign(**{"from": [[f for f, _ in x] for x in m], "to": [[g for _, g in x] for x in m]}))
-        ids = [i for x in zip(p.part, p.a, p.b, s.s0, s.s1) for i in sentencepiece_scan.backtrace(lat, model, *x)]
+        s = sentencepiece_scan.path(m, "0:", "end")
+        ids = [i for x in zip(p.part, p.a, p.b, s, s[1:]) for i in sentencepiece_scan.backtrace(lat, model, *x)]
         assert ids == model.encode(t), t
+        # however they are put in brackets, the product is one, and its path the same
+        whole = sentencepiece_scan.product(m)
+        assert ("0:", "end") in whole
+        for k in range(1, len(m)):
+            halves = [sentencepiece_scan.product(m[:k]), sentencepiece_scan.product(m[k:])]
+            assert sentencepiece_scan.product(halves) == whole and sentencepiece_scan.path(halves, "0:", "end")[1] == s[k]
 
 
 def test_encode_giant_documents(spark, model):
@@ -204,9 +210,44 @@ def test_encode_giant_documents(spark, model):
     got = sentencepiece_scan.encode(spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, ids int")).collect()
     assert len(got) == len(rows) and all(r.round_trip for r in got)
     want = {i: model.encode(t or "") for i, t in rows}
+    back = {r.doc_id: r.text for r in sentencepiece_scan.decode(sentencepiece_scan.encode(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert back == {i: t or "" for i, t in rows}
     assert all(list(r.ids) == want[r.doc_id] and r.n_tokens == len(r.ids) for r in got)
 
 
+def test_states_come_down_many_rounds(spark, model, monkeypatch):
+    """A segment is one round; two hundred chunks, with two paths of which one reaches the end, take two rounds up and down."""
+    import pandas as pd
+
+    from strandline.llm.common import Scratch
+
+    m = sentencepiece_scan
+    monkeypatch.setattr(m, "CHUNK", 30)
+    lat, rows, want = m.lattice(m.MODEL), [], {}
+    for i, t in ((1, "the theory of abc bca thering " * 20), (None, "ab" * 90), (3, "short text of one chunk")):
+        p = pd.concat(m._cut([pd.DataFrame({"doc_id": [i], "h": ["h"], "text": [t]})]), ignore_index=True)
+        ms = [m.transfer(lat, *x) for x in zip(p.part, p.a, p.b)]
+        rows += [(i, "h", k, [f for f, _ in x], [g for _, g in x]) for k, x in enumerate(ms)] * (2 if i == 1 else 1)
+        s = m.path(ms, "0:", "end")
+        want |= {(i, k): x for k, x in enumerate(zip(s, s[1:]))}
+    table = spark.createDataFrame(rows, "doc_id long, h string, no int, from array<string>, to array<string>")
+    got = {(r.doc_id, r.no): (r.s0, r.s1) for r in m._states(table, 40, Scratch(spark)).collect()}
+    assert got == want
+    far = spark.createDataFrame([(1, "h", k, ["a", "b"] if k else ["0:"], (["a", "b"] if k else ["a"]) if k < 199 else ["end", "x"]) for k in range(200)], table.schema)
+    assert {(r.no, r.s0, r.s1) for r in m._states(far, 199, Scratch(spark)).collect()} == {(k, "a" if k else "0:", "a" if k < 199 else "end") for k in range(200)}
+
+
+def test_encode_and_decode_edges(spark, model):
+    m, schema = sentencepiece_scan, "doc_id long, text string, h string, n_tokens string"
+    assert m.encode(spark.createDataFrame([], schema)).count() == 0
+    assert m.decode(spark.createDataFrame([], "doc_id long, ids array<int>")).count() == 0
+    texts = ["a  b", " lead", "tab\tand\nline", "漢字 😀 \u0000 é", "x" * 5_000, "", None]
+    got = m.encode(spark.createDataFrame([(i, t, "h", "n") for i, t in enumerate(texts)] * 2, schema))
+    assert sorted((r.doc_id, r.text) for r in m.decode(got).collect()) == sorted([(i, t or "") for i, t in enumerate(texts)] * 2)
+    rows = [(1, None), (None, []), (2, [None, 300])]
+    assert {r.doc_id: r.text for r in m.decode(spark.createDataFrame(rows, "doc_id long, ids array<int>")).collect()} == {1: "", None: "", 2: model.decode([300])}
+
+
 def test_decontamination_against_all_scores(spark):
     rng = random.Random(10)
     word = lambda: "".join(rng.choice("abcdef") for _ in range(rng.randint(1, 4)))
