@@ -1,14 +1,17 @@
 """Secret scanning with a random forest that removes false positives, in SQL functions only.
 
-Candidates are long runs of key-like characters with letters and digits, and PEM private-key blocks. The features of one are its
-length, transitions between character classes, the share of it that common words cover, signs of a path before it, and the text around
-it, other candidates included. A run such as NAME=value is two candidates. The forest is trained on findings that the scan cuts out of
-labelled texts, which labelled() makes by rule (the kinds of keys that leak, and the hashes, ids, paths, addresses and names that scanners
-report by mistake), and is then walked by SQL functions: its nodes are array literals.
+Candidates are runs of 16 or more key-like characters with letters and digits, PEM private-key blocks, and what is assigned to a
+password or the like, from 8 characters on. The features of one are its length, transitions between character classes, the share of it
+that dictionary words cover, signs of a path before it, and the text around it, other candidates included. A run such as NAME=value is two
+candidates. The forest is trained on findings that the scan cuts out of labelled texts, which labelled() makes by rule (the kinds of keys
+that leak, and the hashes, ids, paths, addresses, names and placeholders that scanners report by mistake), and is then walked by SQL
+functions: its nodes are array literals.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,15 +23,36 @@ CHARS = "A-Za-z0-9+/=_~.-"
 CANDIDATE = rf"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]*+(?:-----END [A-Z ]*PRIVATE KEY-----)?|(?<![{CHARS}])[{CHARS}]{{16,}}+"
 #: The name, with its "=", of a candidate whose value would be one by itself.
 NAME = rf"^[{CHARS.replace('=', '')}]++=++(?=[{CHARS}]{{16,}}+$)"
+#: What a password or the like is set to; PREFIX is all of it before the value.
+PREFIX = r"(?i)(?:password|passwd|passphrase|pwd|secret)[\"']?[ \t]{0,3}[:=][ \t]{0,3}[\"'`]?"
+ASSIGNED = PREFIX + r"[^\s\"'`<>,;]{8,200}+"
 #: Characters before and after a candidate that features look at.
 BEFORE, AFTER = 48, 24
-WORDS = "the|and|for|with|from|test|example|sample|demo|file|data|user|name|value|list|index|image|page|main|home|lib|src|com|org|net|www|http|html|class|function|version|update|config|default|license|report|document|error|system"
+#: Words that names, paths and placeholders are made of.
+DICTIONARY = """
+access account action address admin alpha api app apple array asset author auto avatar back backup bar base batch beta bin black blog blue
+board body book bool box branch browser bucket build bundle button byte cache call card case cert change chapter char chart check child
+class client close cloud code color com commit common config content control copy core count create css current custom daily data date
+default delete demo deploy detail device dev dist doc document domain down draft edit email end engine entry error event example export
+extra feature field file filter final first folder font footer form format forum frame from full func function game get global graph green
+group guide handler hash header help hidden home host html http icon image import index info init input install int internal issue item
+java job json key label lang large last layer layout lib library license line link list load local lock log login main manager map master
+media member menu message meta method mobile mode model module month name net network new news next node note null number object old open
+option order org output package page panel parent part pass patch path photo place player plugin point policy port post print private
+product profile project prod public query queue random read record red region release remote report request reset resource result return
+role root route row rule run sample save scale schema screen script search section select send server service session set setting shared
+shop short show side sign site size small source space sql staging start state static status store stream string style sub sum super
+support sync system table tag target task team temp template test text theme thread thumb time title token tool top total track tree type
+unit update upload url user util valid value vendor version video view web week white widget width window word work world wrap write year
+your zip zone
+"""
+WORDS = "|".join(sorted((w for w in DICTIONARY.split() if len(w) > 2), key=len, reverse=True))
 KEYWORDS = r"(?i)(secret|token|passw|pwd|api.?key|access.?key|private.?key|auth|credential|bearer)\W{0,12}$"
 HASHWORDS = r"(?i)(sha\d*|md5|commit|checksum|digest|etag|hash|revision|rev|uuid|guid|trace|session|request|build)\W{0,12}$"
-FEATURES = ("length", "digits", "lower_digit", "upper_lower", "symbols", "distinct", "words", "hex", "uuid", "keyword", "hashword", "path", "assigned", "quoted", "known", "pem")
+FEATURES = ("length", "digits", "lower_digit", "upper_lower", "symbols", "distinct", "words", "hex", "uuid", "keyword", "hashword", "path", "assigned", "quoted", "known", "pem", "called", "upper", "repeats")
 #: Score from which a candidate is a secret.
 SECRET = 0.5
-FINDINGS, TREES, DEPTH = 3200, 15, 7
+FINDINGS, TREES, DEPTH = 4800, 25, 8
 
 
 def features(c: Column, before: Column, after: Column) -> dict[str, Column]:
@@ -51,8 +75,11 @@ def features(c: Column, before: Column, after: Column) -> dict[str, Column]:
         "path": flag(before.rlike(r"[/\\:@]$|(?i)(https?|path|file|href|src)\W{0,6}$")) + flag(c.rlike(r"^[./~]|/.*/|\.[a-z]{2,4}$")),
         "assigned": flag(before.rlike(r"[=:]\s*[\"'`]?$")),
         "quoted": flag(before.rlike(r"[\"'`]$") & after.rlike(r"^[\"'`]")),
-        "known": flag(c.rlike(r"^(AKIA[0-9A-Z]{16}$|gh[pousr]_[A-Za-z0-9]{30,}|sk[-_][A-Za-z0-9_-]{20,}|xox[abprs]-|glpat-|eyJ[A-Za-z0-9_-]+\.)")),
+        "known": flag(c.rlike(r"^(AKIA[0-9A-Z]{16}$|gh[pousr]_[A-Za-z0-9]{30,}|sk[-_][A-Za-z0-9_-]{20,}|rk_live_|xox[abprs]-|glpat-|npm_[A-Za-z0-9]{30,}|AIza[A-Za-z0-9_-]{30,}|SG\.[A-Za-z0-9_-]{16,}|eyJ[A-Za-z0-9_-]+\.)")),
         "pem": flag(c.rlike("^-----BEGIN")),
+        "called": flag(c.rlike(r"[(){}\[\]$%*]")),
+        "upper": count("[A-Z]") / n,
+        "repeats": count(r"(.)(?=\1)") / n,
     }
     return {k: v.cast("double") for k, v in out.items()}
 
@@ -65,26 +92,34 @@ def labelled(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
     pick = lambda k, *xs: F.element_at(F.array(*map(F.lit, xs)), (F.pmod(F.xxhash64(i, F.lit(k)), F.lit(len(xs))) + 1).cast("int"))
     alnum = lambda k: F.regexp_replace(b64(k), "[+/]", "x")
     hexes = lambda k, n: F.substring(sha(k), 1, n)
-    word = lambda k: pick(k, "report", "image", "index", "default", "update", "license", "document", "test", "sample", "config", "thonerea", "inthereoning", "achlichung")
+    known = DICTIONARY.split()
+    word = lambda k: F.element_at(F.lit(known), (F.pmod(F.xxhash64(i, F.lit(f"w{k}")), F.lit(len(known))) + 1).cast("int"))
+    # words that are in no dictionary
+    odd = lambda k: F.translate(F.substring(sha(f"odd{k}"), F.lit(1), pick(f"n{k}", 5, 7, 9, 12)), "0123456789", "aeiouthlns")
     dash = lambda k: F.concat_ws("-", *(F.substring(sha(k), a, m) for a, m in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))))
     key = pick("key", 'token = "', "api_key: ", 'secret="', "password=", "Authorization: Bearer ", 'access_key = "', "auth_token: '", 'client_secret = "', 'TOKEN = "', "TOKEN=", "the api key ", "GITHUB_ACCESS_TOKEN: ", "AWS_SECRET_ACCESS_KEY=", "export API_KEY=", "DB_PASSWORD=")
     no = pick("no", "commit ", "sha1: ", "checksum=", "md5 ", "see ", "the of and ", "uuid=", "request id ", "etag: ", "build ", "revision ", "was ", "- ", "GIT_COMMIT_SHA=", "BUILD_REVISION: ")
     short = pick("len", 20, 24, 32, 40)
+    pw = pick("pw", "password = ", 'password: "', "DB_PASSWORD=", "passwd=", "pwd: ", "secret = '", "passphrase: ", "Password: ")
+    mixed = F.translate(F.substring(b64("pw"), F.lit(1), pick("pwlen", 8, 9, 10, 12, 14, 18)), "+/", "!#")
     secret = [
         (key, hexes("a", 40)), (key, F.substring(alnum("b"), 1, 36)), (key, F.substring(b64("c"), 1, 40)), (key, F.expr("upper(substring(sha2(concat(cast(id AS string), '/d'), 256), 1, 40))")),
         (no, F.concat(F.lit("AKIA"), F.upper(F.substring(alnum("e"), 1, 16)))), (no, F.concat(F.lit("ghp_"), F.substring(alnum("f"), 1, 36))), (key, F.concat(F.lit("sk-"), F.substring(alnum("g"), 1, 40))),
         (pick("k", "key ", "\n", "text "), F.concat(F.lit("-----BEGIN RSA PRIVATE KEY-----"), b64("h"), F.lit("-----END RSA PRIVATE KEY-----"))), (key, F.substring(sha("i"), F.lit(1), short)), (key, hexes("j", 32)),
+        (pw, mixed), (pw, F.concat(F.initcap(word(5)), hexes("k", 3), pick("mark", "!", "#", "_", "%", "$"), word(6))), (pw, F.concat(odd(1), odd(2), hexes("l", 2))),
+        (pick("url", "postgres://admin:", "mongodb://root:", "redis://:"), F.concat(F.substring(alnum("m"), 1, 20), F.lit("@host"))), (key, F.concat_ws(".", F.concat(F.lit("eyJ"), F.substring(alnum("n"), 1, 17)), F.substring(alnum("o"), 1, 30), F.substring(alnum("p"), 1, 30))),
     ]
     false = [
         (no, hexes("a", 40)), (no, F.substring(sha("b"), F.lit(1), short)), (pick("u", "uuid ", "id: ", "token ", "session="), dash("c")), (pick("h", "https://", "http://", "href=", "/"), F.concat_ws("/", F.lit("www.site.com"), word(1), hexes("d", 8), word(2))),
         (no, F.concat(word(1), F.lit("-"), word(2), F.lit("-"), hexes("e", 4))), (key, F.concat(F.lit("example_"), word(3), F.lit("_value1"))), (pick("p", "/", "path: ", "file ", "C:\\"), F.concat(F.lit("usr/lib/"), word(1), F.lit("-"), hexes("f", 3), F.lit("/"), word(2), F.lit(".html"))),
         (no, F.concat_ws(".", word(1), word(2), hexes("g", 2), F.lit("com"))), (no, F.concat(F.lit("2024-01-02T03:04:05."), hexes("h", 4))), (no, F.repeat(F.concat(word(4), F.lit("1=")), 3)),
+        (pw, pick("place", "changeme", "your_password_here", "xxxxxxxxxxxx", "********", "${DB_PASSWORD}", "%(password)s", "$PASSWORD_FILE", "undefined", "required", "password", "examplepassword", "placeholder", "redacted")), (pw, F.concat(word(5), pick("dot", ".", "_", "("), word(6), pick("end", "()", ".value", "_name", "[0]"))), (pw, F.concat(word(7), F.lit("-"), word(8), F.lit("-"), word(9))),
+        (no, F.concat(F.lit("sha512-"), F.substring(b64("q"), 1, 40), F.lit("=="))), (pick("css", "class=", "div.", "id=", "import "), F.concat_ws("_", odd(3), word(1), hexes("r", 5))),
     ]
-    kind = F.pmod(F.floor(i / 2), F.lit(len(secret)))
-    label = i % 2
-    case = lambda j: F.coalesce(*(F.when((label == y) & (kind == k), row[j]) for y, rows in ((1, secret), (0, false)) for k, row in enumerate(rows)))
-    rows = spark.range(n).select(case(1).alias("candidate"), case(0).alias("before"), label.cast("int").alias("label"))
-    return rows.withColumn("after", F.when(F.col("before").rlike("[\"']$"), F.substring("before", -1, 1)).otherwise(" the"))
+    # a range of numbers for each kind: all kinds in one expression would be too much code to compile
+    rows = lambda y, k, kinds: spark.range(2 * k + y, n, 2 * len(kinds), 1).select(kinds[k][1].alias("candidate"), kinds[k][0].alias("before"), F.lit(y).alias("label"))
+    every = reduce(DataFrame.unionByName, [rows(y, k, kinds) for y, kinds in ((1, secret), (0, false)) for k in range(len(kinds))])
+    return every.withColumn("after", F.when(F.col("before").rlike("[\"']$"), F.substring("before", -1, 1)).otherwise(" the"))
 
 
 def grow(x: np.ndarray, y: np.ndarray, rng, depth: int = DEPTH, least: int = 4):
@@ -153,10 +188,10 @@ def model(spark: SparkSession) -> dict[str, list]:
     return flat(forest(x, np.array([r.label for r in rows])))
 
 
-def cut(texts: DataFrame, *keep: str) -> DataFrame:
-    """(*keep, start, candidate, before, after) of every candidate with letters and digits in the column text of every row."""
-    found = texts.where(F.col("text").rlike(CANDIDATE)).select(*keep, F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("c"), F.split("text", CANDIDATE, -1).alias("s"))
-    # where each candidate starts, and the end of the text before it: summed and carried along
+def matches(texts: DataFrame, pattern: str, *keep: str) -> DataFrame:
+    """(*keep, c, start, before, after) of every match in the column text of every row."""
+    found = texts.where(F.col("text").rlike(pattern)).select(*keep, F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("c"), F.split("text", pattern, -1).alias("s"))
+    # where each match starts, and the end of the text before it: summed and carried along
     before = lambda acc, x: F.right(F.concat(acc["tail"], x["s"]), F.lit(BEFORE))
     first = F.aggregate(
         F.arrays_zip(F.slice("s", F.lit(1), F.size("c")).alias("s"), F.col("c").alias("c")),
@@ -164,25 +199,36 @@ def cut(texts: DataFrame, *keep: str) -> DataFrame:
         lambda acc, x: F.struct((acc["at"] + F.length(x["s"]) + F.length(x["c"])).alias("at"), F.right(F.concat(before(acc, x), x["c"]), F.lit(BEFORE)).alias("tail"), F.array_append(acc["out"], F.struct((acc["at"] + F.length(x["s"])).alias("start"), before(acc, x).alias("before"))).alias("out")),
         lambda acc: acc["out"])
     n = F.size("c")
-    # the text after a candidate, with the next one: together more than AFTER, or up to the one that follows
+    # the text after a match, with the next one: together more than AFTER, or up to the one that follows
     after = F.zip_with(F.slice("s", F.lit(2), n), F.slice(F.array_append("c", F.lit("")), F.lit(2), n), lambda s, c: F.left(F.concat(s, c), F.lit(AFTER)))
-    each = found.select(*keep, F.explode(F.arrays_zip(F.col("c").alias("c"), first.alias("f"), after.alias("after"))).alias("x")).select(*keep, "x.c", "x.f.start", "x.f.before", "x.after")
-    name = F.regexp_extract("c", NAME, 0)
-    value = F.substring("c", F.length("name") + 1, F.length("c"))
-    bare = F.rtrim(F.col("name"), F.lit("="))
+    each = found.select(*keep, F.explode(F.arrays_zip(F.col("c").alias("c"), first.alias("f"), after.alias("after"))).alias("x"))
+    return each.select(*keep, "x.c", "x.f.start", "x.f.before", "x.after")
+
+
+def cut(texts: DataFrame, *keep: str) -> DataFrame:
+    """(*keep, start, candidate, before, after) of every candidate in the column text of every row."""
     part = lambda start, candidate, before, after: F.struct(start.alias("start"), candidate.alias("candidate"), F.right(before, F.lit(BEFORE)).alias("before"), F.left(after, F.lit(AFTER)).alias("after"))
+    out = ("start", "candidate", "before", "after")
+    rest = lambda n: F.substring("c", n + 1, F.length("c"))
+    bare = F.rtrim(F.col("name"), F.lit("="))
     parts = F.array(
-        part(F.col("start"), bare, F.col("before"), F.concat(F.substring("c", F.length(bare) + 1, F.length("c")), "after")),
-        part(F.col("start") + F.length("name"), value, F.concat("before", "name"), F.col("after")))
-    each = each.withColumn("name", name).select(*keep, F.explode(parts).alias("x")).select(*keep, "x.*")
+        part(F.col("start"), bare, F.col("before"), F.concat(rest(F.length(bare)), "after")),
+        part(F.col("start") + F.length("name"), rest(F.length("name")), F.concat("before", "name"), F.col("after")))
+    runs = matches(texts, CANDIDATE, *keep).withColumn("name", F.regexp_extract("c", NAME, 0)).select(*keep, F.explode(parts).alias("x")).select(*keep, "x.*")
     # values without a name are whole; names are candidates if they are as long as one
-    return each.where((F.length("candidate") >= 16) & F.col("candidate").rlike("[0-9]") & F.col("candidate").rlike("[A-Za-z]"))
+    runs = runs.where((F.length("candidate") >= 16) & F.col("candidate").rlike("[0-9]") & F.col("candidate").rlike("[A-Za-z]")).select(*keep, *out)
+    # passwords: those that a run is or is in are left to it
+    name = F.regexp_extract("c", "^" + PREFIX, 0)
+    words = matches(texts, ASSIGNED, *keep).withColumn("name", name).select(*keep, (F.col("start") + F.length("name")).alias("start"), rest(F.length("name")).alias("candidate"), F.right(F.concat("before", "name"), F.lit(BEFORE)).alias("before"), "after")
+    return runs.unionByName(words.where(~F.col("candidate").rlike(f"(?=[{CHARS}]*[0-9])(?=[{CHARS}]*[A-Za-z])[{CHARS}]{{16}}")).select(*keep, *out))
 
 
 def scan(docs: DataFrame, nodes: dict[str, list] | None = None) -> DataFrame:
     """(doc_id, start, end, candidate, score, is_secret): every candidate of every text; start and end count characters, end exclusive.
 
-    Null and empty texts have none. Repeated rows give repeated findings; doc_id may be null; other columns are ignored.
+    A password within a run such as NAME_1=pass is found both ways. Null and empty texts have none, nor does an empty table. Repeated rows
+    give repeated findings; doc_id may be null; other columns are ignored, whatever their names. What is neither a run of 16 characters
+    with letters and digits nor assigned to a name of PREFIX is no candidate.
     """
     nodes = nodes or model(docs.sparkSession)
     each = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id")
@@ -192,7 +238,10 @@ def scan(docs: DataFrame, nodes: dict[str, list] | None = None) -> DataFrame:
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """docs with every secret replaced by `mark`, and n_chars (if there is one) to match; all rows and columns stay."""
+    """docs with every secret replaced by `mark`, and n_chars (if there is one) to match; all rows and columns stay.
+
+    Null texts stay null; repeated rows are each cleaned; an empty table stays empty.
+    """
     keep = Scratch(docs.sparkSession)
     # spans belong to a text, whichever rows have it
     found = scan(docs.select(F.xxhash64("text").alias("doc_id"), "text")).where("is_secret").select(F.col("doc_id").alias("h_"), F.struct("start", "end").alias("span"))
@@ -200,7 +249,8 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     joined = docs.join(small_or_shuffled(spans, 10 * spans.count()), F.xxhash64("text") == F.col("h_"), "left")
     clean = F.aggregate(
         "spans_", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, x: F.struct(x["end"].alias("at"), F.concat(acc["out"], F.substring("text", acc["at"] + 1, x["start"] - acc["at"]), F.lit(mark)).alias("out")),
+        # of findings that overlap, each adds what it has beyond those before it
+        lambda acc, x: F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.when(x["start"] >= acc["at"], F.concat(acc["out"], F.substring("text", acc["at"] + 1, x["start"] - acc["at"]), F.lit(mark))).otherwise(acc["out"]).alias("out")),
         lambda acc: F.concat(acc["out"], F.substring("text", acc["at"] + 1, F.length("text"))))
     out = joined.withColumn("text", F.when(F.col("spans_").isNotNull(), clean).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
