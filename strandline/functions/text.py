@@ -20,7 +20,7 @@ def dna(seq: Column) -> Column:
 
 def reverse_complement(seq: Column) -> Column:
     """Upper case, reversed, A<->T and C<->G; other letters stay."""
-    return F.translate(F.reverse(F.upper(seq)), "GTCA", "CAGT")
+    return F.translate(F.reverse(F.upper(seq)), "ACGT", "TGCA")
 
 
 def base_count(seq: Column, bases: str) -> Column:
@@ -54,6 +54,28 @@ def degap(seq: Column) -> Column:
     return F.btrim(F.replace(seq, F.lit("-"), F.lit("")), F.lit("."))
 
 
+#: Five-bit digits of base32 in order.
+BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+
+def base32(text: Column) -> Column:
+    """RFC 4648 base32 of a text's UTF-8 bytes, without padding: a header as letters and digits that every tool keeps."""
+    bits = F.array_join(F.transform(F.filter(F.split(F.hex(F.encode(text, "UTF-8")), ""), lambda c: c != ""), lambda c: F.lpad(F.conv(c, 16, 2), 4, "0")), "")
+    return F.array_join(F.transform(_groups(bits, 5, F.ceil), lambda i: F.substring(F.lit(BASE32), F.conv(F.rpad(F.substring(bits, i * 5 + 1, F.lit(5)), 5, "0"), 2, 10).cast("int") + 1, F.lit(1))), "")
+
+
+def from_base32(code: Column) -> Column:
+    """The text that base32() was given; letters of either case, other characters are ignored."""
+    digits = F.filter(F.split(F.upper(code), ""), lambda c: (c != "") & F.lit(BASE32).contains(c))
+    bits = F.array_join(F.transform(digits, lambda c: F.lpad(F.conv((F.position(c, F.lit(BASE32)) - 1).cast("string"), 10, 2), 5, "0")), "")
+    return F.decode(F.unhex(F.array_join(F.transform(_groups(bits, 8, F.floor), lambda i: F.lpad(F.conv(F.substring(bits, i * 8 + 1, F.lit(8)), 2, 16), 2, "0")), "")), "UTF-8")
+
+
+def _groups(bits: Column, size: int, whole) -> Column:
+    n = whole(F.length(bits) / size).cast("int")
+    return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+
+
 def dna_letters(seq: Column) -> Column:
     """U to T, and no dots, dashes or blanks."""
     return F.translate(seq, "U.- \t\n\r", "T")

@@ -52,7 +52,7 @@ def renamed(df: DataFrame, column: str, *maps: DataFrame) -> DataFrame:
 
 
 def climb(nodes: DataFrame, start: DataFrame, ranks: Sequence[str], most: int = 64) -> DataFrame:
-    """The first ancestor of each taxid with one of the ranks: taxid, name, rank, depth. The tree is as deep as `most` at most.
+    """The first ancestor of each taxid with one of the ranks: taxid, name, rank, depth. A walk of more than `most` steps is an error.
 
     Every step is a join of those still climbing; the ones that arrived drop out.
     """
@@ -64,7 +64,8 @@ def climb(nodes: DataFrame, start: DataFrame, ranks: Sequence[str], most: int =
         hit = here.where(F.col("rank").isin(*ranks)).select("taxid", "name", "rank", F.lit(depth).alias("depth"))
         out = hit if out is None else out.unionByName(hit)
         up = here.where(~F.col("rank").isin(*ranks) & (F.col("parent") != F.col("node"))).select("taxid", F.col("parent").alias("node"))
-    return out
+    far = F.raise_error(F.concat(F.lit(f"more than {most} steps up from "), F.col("taxid").cast("string")))
+    return out.unionByName(up.select("taxid", far.cast("string").alias("name"), F.lit("").alias("rank"), F.lit(most).alias("depth")))
 
 
 def attribute_map(attributes: Column, pair: str = ";", is_: str = "=") -> Column:
@@ -78,9 +79,13 @@ def attribute_keys(df: DataFrame, column: str) -> DataFrame:
     return df.select(F.explode(F.map_keys(attribute_map(F.col(column)))).alias("key")).groupBy("key").agg(F.count("*").alias("n"))
 
 
-def expanded(df: DataFrame, column: str, keys: Sequence[str] | None = None) -> DataFrame:
-    """One column a key. Without keys they are found first, which is a pass over df; the map is the form that needs none."""
-    keys = keys if keys is not None else [r.key for r in attribute_keys(df, column).orderBy("key").collect()]
+def expanded(df: DataFrame, column: str, keys: Sequence[str] | None = None, most: int = 2000) -> DataFrame:
+    """One column a key. Without keys they are found first, which is a pass over df; over `most` of them are an error, as a table of so
+    many columns is of no use: attribute_map() is the form that needs none."""
+    if keys is None:
+        keys = [r.key for r in attribute_keys(df, column).orderBy("key").limit(most + 1).collect()]
+        if len(keys) > most:
+            raise ValueError(f"more than {most} keys")
     m = df.withColumn("_m", attribute_map(F.col(column)))
     return m.select(*(c for c in df.columns if c != column), *(F.col("_m")[k].alias(k) for k in keys))
 

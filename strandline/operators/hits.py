@@ -131,6 +131,17 @@ def group_others(df: DataFrame, key: str, keep: int) -> DataFrame:
     return n.join(F.broadcast(ranked), key, "left").groupBy(F.when(F.col("_top"), F.col(key)).otherwise("others").alias(key)).agg(F.sum("n").alias("n"))
 
 
+def as_of(left: DataFrame, right: DataFrame, key: str, time: str, values: Sequence[str]) -> DataFrame:
+    """left with the `values` of right's last row at or before it on the same key, nulls if there is none.
+
+    Both sides are sorted together and the last row of right is carried along: one shuffle, no pairs. right has one row a key and time.
+    """
+    both = left.select("*", F.lit(1).alias("_side"), F.lit(None).cast(right.select(F.struct(*values)).schema[0].dataType).alias("_v")).unionByName(
+        right.select(key, time, F.lit(0).alias("_side"), F.struct(*values).alias("_v")), allowMissingColumns=True)
+    last = F.last("_v", ignorenulls=True).over(W.partitionBy(key).orderBy(time, "_side").rowsBetween(W.unboundedPreceding, 0))
+    return both.withColumn("_v", last).where("_side = 1").select(*left.columns, *(F.col("_v")[c].alias(c) for c in values))
+
+
 def matched_pairs(df: DataFrame, name: str, value: str) -> DataFrame:
     """Values that exactly two names share, with both."""
     d = df.select(name, value).where(F.col(value).isNotNull()).distinct()

@@ -184,21 +184,31 @@ def quality_classes(values: DataFrame, column: str = "q") -> DataFrame:
     return n.crossJoin(F.broadcast(n.agg(F.sum("n").alias("_t")))).select("class", "n", F.round(100.0 * F.col("n") / F.col("_t"), 6).alias("percent"))
 
 
+def _draw(key: str, seed: int) -> Column:
+    """A row's number in the draw, in hexadecimal: the same on every engine."""
+    return F.md5(F.concat_ws("/", F.lit(str(seed)), F.col(key).cast("string")))
+
+
 def sampled(df: DataFrame, key: str, fraction: float, seed: int = 1) -> DataFrame:
     """A reproducible sample: rows (or pairs) whose hash falls under the fraction."""
-    return df.where(F.pmod(F.crc32(F.concat_ws("/", F.lit(str(seed)), F.col(key).cast("string"))), F.lit(1_000_000)) < int(fraction * 1_000_000))
+    return df if fraction >= 1 else df.where(F.left(_draw(key, seed), F.lit(8)) < f"{int(fraction * (1 << 32)):08x}")
 
 
 def exact_sample(df: DataFrame, key: str, n: int, seed: int = 1) -> DataFrame:
     """n rows by least hash, ties by key."""
-    return df.orderBy(F.crc32(F.concat_ws("/", F.lit(str(seed)), F.col(key).cast("string"))), key).limit(n)
+    return df.orderBy(_draw(key, seed), key).limit(n)
 
 
 def without_gap_columns(alignment: DataFrame, gap: str = "-") -> DataFrame:
-    """An alignment (id, seq) without the columns that are gaps in every row."""
-    c = alignment.select("id", F.posexplode(F.filter(F.split("seq", ""), lambda x: x != "")).alias("pos", "c"))
-    keep = c.groupBy("pos").agg(F.bool_or(F.col("c") != gap).alias("k")).where("k").select("pos")
-    return c.join(keep, "pos").groupBy("id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "c"))), lambda x: x["c"]), "").alias("seq"))
+    """An alignment (id, seq) without the columns that are gaps in every row.
+
+    Columns are counted within tasks first; which of them stay, one list as wide as the alignment, goes to every row.
+    """
+    c = alignment.select(F.posexplode(F.filter(F.split("seq", ""), lambda x: x != "")).alias("pos", "c"))
+    columns = c.groupBy("pos").agg(F.bool_or(F.col("c") != gap).alias("keep"))
+    flags = columns.agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "keep"))), lambda x: x["keep"]).alias("keep"))
+    kept = F.array_join(F.filter(F.transform(F.filter(F.split("seq", ""), lambda x: x != ""), lambda x, i: F.when(F.get("keep", i), x)), lambda x: x.isNotNull()), "")
+    return alignment.crossJoin(F.broadcast(flags)).select("id", kept.alias("seq"))
 
 
 def column_ranks(alignment: DataFrame) -> DataFrame:

@@ -38,9 +38,9 @@ def _(v):
     return v.table("customer").select(F.col("c_custkey").alias("cluster"), n.cast("long").alias("nodes"), F.round(n / d, 6).alias("density"))
 
 
-@query("a33_taxon_tags", "WITH t AS (SELECT bin, string_agg(DISTINCT domain, ',' ORDER BY domain) AS tag FROM lineage WHERE gene % 5 = 0 GROUP BY bin) SELECT tag, count(*) AS n, round(100.0 * count(*) / (SELECT count(*) FROM t), 6) AS percent FROM t GROUP BY 1", "lineage")
+@query("a33_taxon_tags", "WITH t AS (SELECT bin, string_agg(DISTINCT domain, ',' ORDER BY domain) AS tag FROM lineage GROUP BY bin) SELECT tag, count(*) AS n, round(100.0 * count(*) / (SELECT count(*) FROM t), 6) AS percent FROM t GROUP BY 1", "lineage")
 def _(v):
-    return ops.tags(v.lineage.where("gene % 5 = 0"), "bin", "domain")
+    return ops.tags(v.lineage, "bin", "domain")
 
 
 @query("a36_gene_coverage", "SELECT c.kind AS aro, c.bin, round(sum(s.coverage * (1 + c.contig % 3)), 6) AS coverage FROM contigs c JOIN (SELECT contig, round(sum(depth * bases) / CAST(max(len) AS DOUBLE), 6) AS coverage FROM cov GROUP BY 1) s ON s.contig = c.contig GROUP BY 1, 2", "contigs cov")
@@ -158,10 +158,10 @@ def _(v):
 @query("j20_seed_by_genome", "SELECT r_name AS seed, n_name AS genome FROM region, nation WHERE n_regionkey <> r_regionkey")
 def _(v):
     r = v.table("region").select(F.col("r_name").alias("seed"), "r_regionkey")
-    return v.table("nation").crossJoin(F.broadcast(r)).where("n_regionkey <> r_regionkey").select("seed", F.col("n_name").alias("genome"))
+    return v.table("nation").crossJoin(r).where("n_regionkey <> r_regionkey").select("seed", F.col("n_name").alias("genome"))
 
 
 @query("j21_scan_small_side", "SELECT p_partkey, r_name FROM part, region WHERE strpos(upper(p_name), left(r_name, 1)) > 0")
 def _(v):
     r = v.table("region").select("r_name")
-    return v.table("part").select("p_partkey", "p_name").join(F.broadcast(r), F.upper("p_name").contains(F.left("r_name", F.lit(1)))).select("p_partkey", "r_name")
+    return v.table("part").select("p_partkey", "p_name").join(r, F.upper("p_name").contains(F.left("r_name", F.lit(1)))).select("p_partkey", "r_name")

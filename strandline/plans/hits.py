@@ -163,10 +163,10 @@ def _(v):
     return v.hits.groupBy("subject").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "subject").limit(20)
 
 
-@query("o2_three_key_sort", "SELECT query, subject, row_number() OVER (ORDER BY bitscore DESC, evalue, length DESC, query, subject) AS place FROM hits WHERE bitscore > 99000", "hits")
+@query("o2_three_key_sort", "SELECT query, subject, row_number() OVER (ORDER BY bitscore DESC, evalue, length DESC, query, subject) AS place FROM hits", "hits")
 def _(v):
     # the sort is a range partitioning; places come from per-partition counts, not from one task
-    return ranked_globally(v.hits.where("bitscore > 99000"), [F.desc("bitscore"), "evalue", F.desc("length"), "query", "subject"]).select("query", "subject", "place")
+    return ranked_globally(v.hits, [F.desc("bitscore"), "evalue", F.desc("length"), "query", "subject"]).select("query", "subject", "place")
 
 
 def ranked_globally(df, order):
@@ -194,6 +194,33 @@ def _(v):
     return ops.families(h)
 
 
+@query("j22_asof", """
+    SELECT h.locus, h.scaffold, h.start, b.gene FROM features h ASOF LEFT JOIN (SELECT scaffold, start, max(gene) AS gene FROM genes GROUP BY 1, 2) b ON h.scaffold = b.scaffold AND h.start >= b.start""", "features genes")
+def _(v):
+    """The last gene that starts at or before each feature on its scaffold; of genes with one start, the largest."""
+    g = v.genes.groupBy("scaffold", "start").agg(F.max("gene").alias("gene"))
+    return ops.as_of(v.features.select("locus", "scaffold", "start"), g, "scaffold", "start", ["gene"])
+
+
+@query("j22_full_and_right", "SELECT coalesce(a.query, b.subject) AS id, coalesce(a.n, 0) AS queries, coalesce(b.n, 0) AS subjects FROM (SELECT query, count(*) AS n FROM hits GROUP BY 1) a FULL JOIN (SELECT subject, count(*) AS n FROM hits GROUP BY 1) b ON a.query = b.subject", "hits")
+def _(v):
+    a, b = (v.hits.groupBy(F.col(c).alias("id")).agg(F.count("*").alias(n)) for c, n in (("query", "queries"), ("subject", "subjects")))
+    return a.join(b, "id", "full").na.fill(0, ["queries", "subjects"])
+
+
+@query("d4_array_difference", "SELECT query, array_to_string(list_sort(list_filter(['A', 'N', 'R'], lambda x: NOT list_contains(list(DISTINCT dataset), x))), ',') AS missing FROM hits GROUP BY 1", "hits")
+def _(v):
+    """The datasets that a query has no hit in."""
+    return v.hits.groupBy("query").agg(F.array_join(F.array_sort(F.array_except(F.array(*map(F.lit, "ANR")), F.collect_set("dataset"))), ",").alias("missing"))
+
+
+@query("a50_approx_distinct", "SELECT dataset, true AS near FROM hits GROUP BY 1", "hits")
+def _(v):
+    """Extra: a sketch of distinct subjects, within a tenth of their number."""
+    n = v.hits.groupBy("dataset").agg(F.approx_count_distinct("subject", 0.02).alias("sketch"), F.count_distinct("subject").alias("exact"))
+    return n.select("dataset", (F.abs(F.col("sketch") - F.col("exact")) <= 0.1 * F.col("exact")).alias("near"))
+
+
 @query("a40_subject_range", "SELECT subject, min(least(sstart, send)) AS lo, max(greatest(sstart, send)) AS hi, count(*) AS n FROM hits GROUP BY 1", "hits")
 def _(v):
     return v.hits.groupBy("subject").agg(F.min(F.least("sstart", "send")).alias("lo"), F.max(F.greatest("sstart", "send")).alias("hi"), F.count("*").alias("n"))

@@ -48,19 +48,19 @@ def _(v):
     return ops.merged(v.matrix, groups)
 
 
-PAIRS = """p AS (SELECT sample, otu FROM matrix WHERE otu LIKE '%\\_1%' ESCAPE '\\' GROUP BY 1, 2), n AS (SELECT sample, count(*) AS n FROM p GROUP BY 1),
+PAIRS = """p AS (SELECT sample, otu FROM matrix GROUP BY 1, 2), n AS (SELECT sample, count(*) AS n FROM p GROUP BY 1),
     b AS (SELECT x.sample AS a, y.sample AS b, count(*) AS shared FROM p x JOIN p y ON x.otu = y.otu AND x.sample < y.sample GROUP BY 1, 2),
     j AS (SELECT a, b, shared, round(shared / CAST(na.n + nb.n - shared AS DOUBLE), 6) AS jaccard FROM b JOIN n na ON na.sample = a JOIN n nb ON nb.sample = b)"""
 
 
 @query("m6_jaccard_pairs", f"WITH {PAIRS} SELECT * FROM j", "matrix")
 def _(v):
-    return ops.jaccard_pairs(v.matrix.where("otu like '%\\\\_1%'"))
+    return ops.jaccard_pairs(v.matrix)
 
 
 @query("m6_jaccard_by_group", f"WITH {PAIRS} SELECT ga.grp, round(avg(jaccard), 6) AS mean, count(*) AS pairs FROM j JOIN meta ga ON ga.sample = a JOIN meta gb ON gb.sample = b AND gb.grp = ga.grp GROUP BY 1", "matrix meta")
 def _(v):
-    return ops.jaccard_by_group(v.matrix.where("otu like '%\\\\_1%'"), v.meta)
+    return ops.jaccard_by_group(v.matrix, v.meta)
 
 
 @query("m7_select_by_metadata", f"SELECT 'x-' || s.sample AS sample, otu, count FROM {SIZED} s JOIN meta m ON m.sample = s.sample WHERE grp = 'g1' AND site <> '0' AND size >= 100", "matrix meta")
@@ -182,10 +182,10 @@ def _(v):
     return ops.longest_prefix(v.matrix, p, "otu", "prefix")
 
 
-@query("o13_group_reference")
+@query("o13_group_reference", "SELECT grp, arg_min(sample, md5(sample)) AS sample FROM meta GROUP BY 1", "meta")
 def _(v):
     """One sample of each group, by least hash: repeatable, not the reference's draw."""
-    return v.meta.groupBy("grp").agg(F.min_by("sample", F.crc32("sample")).alias("sample"))
+    return v.meta.groupBy("grp").agg(F.min_by("sample", F.md5("sample")).alias("sample"))
 
 
 @query("o4_multi_key_order", "SELECT otu, n, row_number() OVER (ORDER BY n DESC, otu) AS place FROM (SELECT otu, count(*) AS n FROM matrix GROUP BY 1)", "matrix")
@@ -246,6 +246,17 @@ def _(v):
     return v.contigs.groupBy(F.floor(F.log10("len") * 10).alias("bucket")).agg(F.count("*").alias("n"))
 
 
+@query("w17_frames", """
+    SELECT locus, scaffold, lag(start) OVER w AS before, lead(start) OVER w AS next, ntile(4) OVER w AS quarter, sum(stop - start) OVER (PARTITION BY scaffold ORDER BY start RANGE BETWEEN 30 PRECEDING AND CURRENT ROW) AS near,
+      last_value(CASE WHEN strand = 'F' THEN locus END IGNORE NULLS) OVER (PARTITION BY scaffold ORDER BY start, locus ROWS UNBOUNDED PRECEDING) AS last_forward FROM features WINDOW w AS (PARTITION BY scaffold ORDER BY start, locus)""", "features")
+def _(v):
+    """Extra: neighbours, quarters, ranges of values, and the last value that isn't null."""
+    w = W.partitionBy("scaffold").orderBy("start", "locus")
+    near = W.partitionBy("scaffold").orderBy("start").rangeBetween(-30, 0)
+    forward = F.last(F.when(F.col("strand") == "F", F.col("locus")), ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, 0))
+    return v.features.select("locus", "scaffold", F.lag("start").over(w).alias("before"), F.lead("start").over(w).alias("next"), F.ntile(4).over(w).cast("long").alias("quarter"), F.sum(F.col("stop") - F.col("start")).over(near).alias("near"), forward.alias("last_forward"))
+
+
 @query("a49_rollup", "SELECT domain, family, count(*) AS n FROM lineage GROUP BY ROLLUP (domain, family)", "lineage")
 def _(v):
     """Extra: grouping sets."""

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions import text as t
 from ..operators import coverage, hits, sequences
 from ..sources import files, formats
 
@@ -35,6 +37,39 @@ def quality_control(pairs: DataFrame, least: int) -> DataFrame:
     return best.where((F.length("a") >= least) & (F.length("b") >= least)).drop("score", "a", "b")
 
 
+def trimmed(reads: DataFrame, quality: float, ambiguous: int) -> DataFrame:
+    """Reads (pair, mate 0 or 1, seq, qual) of at least a mean quality, and with at most so many N."""
+    n = F.length("seq") - F.length(F.replace("seq", F.lit("N"), F.lit("")))
+    return reads.where((F.coalesce(t.mean_phred(F.col("qual")), F.lit(0.0)) >= quality) & (n <= ambiguous))
+
+
+def repaired(reads: DataFrame) -> DataFrame:
+    """Reads as pairs again: pair, fwd, rev, each with seq and qual. A mate that was dropped is an N of quality 0."""
+    side = lambda m, c: reads.where(F.col("mate") == m).select("pair", F.struct("seq", "qual").alias(c))
+    filler = F.struct(F.lit("N").alias("seq"), F.lit("!").alias("qual"))
+    return side(0, "fwd").join(side(1, "rev"), "pair", "full").select("pair", F.coalesce("fwd", filler).alias("fwd"), F.coalesce("rev", filler).alias("rev"))
+
+
+def quality_steps(reads: DataFrame, least: int, quality: float, ambiguous: int) -> tuple[DataFrame, DataFrame]:
+    """Of reads (pair, mate, seq, qual): pairs that are distinct, good and long enough, and how many reads each step leaves (step, reads)."""
+    pairs = quality_control(repaired(reads), 1)
+    mates = pairs.select("pair", F.lit(0).alias("mate"), "fwd.seq", "fwd.qual").unionByName(pairs.select("pair", F.lit(1).alias("mate"), "rev.seq", "rev.qual")).where("seq <> 'N'")
+    good = trimmed(mates, quality, ambiguous)
+    long = good.where(F.length("seq") >= least)
+    count = lambda name, df: df.agg(F.count("*").alias("reads")).select(F.lit(name).alias("step"), "reads")
+    steps = count("raw", reads).unionByName(count("distinct", mates)).unionByName(count("good", good)).unionByName(count("long", long))
+    return repaired(long), steps
+
+
+def assembly_report(contigs: DataFrame, blast: DataFrame, k: int = 5) -> DataFrame:
+    """The first k hits of each contig with the stretch of it that they align: query, subject, rank, start, stop, seq. contigs: id, seq;
+    blast: query, subject, qstart, qend and ord."""
+    w = W.partitionBy("query").orderBy("ord")
+    top = blast.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(F.col("query").alias("id"), "subject", "rank", F.col("qstart").alias("start"), F.col("qend").alias("stop"))
+    cut = sequences.subsequences(contigs, top.select("id", "start", "stop").distinct())
+    return top.join(cut, ["id", "start", "stop"]).select(F.col("id").alias("query"), "subject", "rank", "start", "stop", "seq")
+
+
 def taxonomic_summary(blast: DataFrame, evalue: float, names: DataFrame) -> DataFrame:
     """Contigs' first hits under an e-value, counted by subject with its name (names: subject, name)."""
     first = hits.first_of(blast.where(F.col("evalue") <= evalue), "query", ["ord"])

@@ -87,9 +87,9 @@ def _(v):
     return v.quality.groupBy("id").agg(F.round(F.avg("q"), 6).alias("mean"), F.avg("q").alias("m")).where("m >= 20").drop("m")
 
 
-@query("f8_string_quality", "SELECT ord, round(list_sum(list_transform(string_split(seq, ''), lambda c: ascii(c) - 33)) / CAST(length(seq) AS DOUBLE), 6) AS mean FROM (SELECT ord, left(seq, 50) AS seq FROM seqs WHERE length(seq) > 0)", "seqs")
+@query("f8_string_quality", "SELECT ord, round(list_sum(list_transform(string_split(seq, ''), lambda c: ascii(c) - 33)) / CAST(length(seq) AS DOUBLE), 6) AS mean FROM seqs WHERE length(seq) > 0", "seqs")
 def _(v):
-    return v.seqs.where("length(seq) > 0").select("ord", F.round(t.mean_phred(F.left("seq", F.lit(50))), 6).alias("mean"))
+    return v.seqs.where("length(seq) > 0").select("ord", F.round(t.mean_phred(F.col("seq")), 6).alias("mean"))
 
 
 @query("f6_length_at_least", "SELECT id, length(seq) AS len FROM seqs WHERE length(seq) >= 1000", "seqs")
@@ -102,35 +102,36 @@ def _(v):
     return v.seqs.select("id", F.length("seq").cast("long").alias("len")).where("len <= 300")
 
 
-@query("f10_empty_sequences", "SELECT id FROM seqs WHERE length(seq) = 0 OR ord % 97 = 0", "seqs")
+@query("f10_empty_sequences", "SELECT id FROM seqs WHERE length(regexp_replace(seq, '[^JKQXYZ]', '', 'g')) = 0", "seqs")
 def _(v):
-    return v.seqs.where((F.length("seq") == 0) | (F.col("ord") % 97 == 0)).select("id")
+    """Of each sequence the rare letters; those without any are empty."""
+    return v.seqs.where(F.length(F.regexp_replace("seq", "[^JKQXYZ]", "")) == 0).select("id")
 
 
-@query("f2_header_tokens", "SELECT doc_id FROM documents WHERE list_has_any(string_split_regex(trim(upper(left(regexp_replace(text, '[^A-Za-z ]', ' ', 'g'), 60))), '\\s+'), ['THE', 'WITH'])")
+@query("f2_header_tokens", "SELECT doc_id FROM documents WHERE list_has_any(string_split_regex(trim(upper(regexp_replace(text, '[^A-Za-z ]', ' ', 'g'))), '\\s+'), ['THE', 'WITH'])")
 def _(v):
     from ..operators.hits import listed_tokens
 
-    d = v.table("documents").select("doc_id", F.left(F.regexp_replace("text", "[^A-Za-z ]", " "), F.lit(60)).alias("header"))
+    d = v.table("documents").select("doc_id", F.regexp_replace("text", "[^A-Za-z ]", " ").alias("header"))
     ids = v.spark.createDataFrame([("the",), ("with",)], "name string")
     return listed_tokens(d, ids, "header", "name").select("doc_id")
 
 
-@query("f2_header_tokens_excluded", "SELECT doc_id FROM documents WHERE NOT list_has_any(string_split_regex(trim(upper(left(regexp_replace(text, '[^A-Za-z ]', ' ', 'g'), 60))), '\\s+'), ['THE', 'WITH'])")
+@query("f2_header_tokens_excluded", "SELECT doc_id FROM documents WHERE NOT list_has_any(string_split_regex(trim(upper(regexp_replace(text, '[^A-Za-z ]', ' ', 'g'))), '\\s+'), ['THE', 'WITH'])")
 def _(v):
     from ..operators.hits import listed_tokens
 
-    d = v.table("documents").select("doc_id", F.left(F.regexp_replace("text", "[^A-Za-z ]", " "), F.lit(60)).alias("header"))
+    d = v.table("documents").select("doc_id", F.regexp_replace("text", "[^A-Za-z ]", " ").alias("header"))
     ids = v.spark.createDataFrame([("the",), ("with",)], "name string")
     return listed_tokens(d, ids, "header", "name", exclude=True).select("doc_id")
 
 
-@query("f3_fuzzy_tokens", "SELECT s_suppkey FROM supplier WHERE list_has_any(string_split_regex(trim(regexp_replace(upper(s_name), '[^A-Z0-9=_/.]', ' ', 'g')), '\\s+'), ['SUPPLIER', '000000007']) AND s_suppkey % 2 = 1")
+@query("f3_fuzzy_tokens", "SELECT s_suppkey FROM supplier WHERE list_has_any(string_split_regex(trim(regexp_replace(upper(s_name), '[^A-Z0-9=_/.]', ' ', 'g')), '\\s+'), ['SUPPLIER', '000000007'])")
 def _(v):
     from ..operators.hits import listed_tokens
 
     ids = v.spark.createDataFrame([("Supplier",), ("000000007",)], "name string")
-    return listed_tokens(v.table("supplier").withColumn("s_name", F.replace("s_name", F.lit("#"), F.lit(" "))), ids, "s_name", "name", fuzzy=True).where("s_suppkey % 2 = 1").select("s_suppkey")
+    return listed_tokens(v.table("supplier").withColumn("s_name", F.replace("s_name", F.lit("#"), F.lit(" "))), ids, "s_name", "name", fuzzy=True).select("s_suppkey")
 
 
 @query("f7_length_and_gc", f"SELECT id, length(seq) AS len, round(100.0 * {GC} / length(seq), 4) AS gc FROM bases WHERE length(seq) >= 500", "bases")
@@ -181,22 +182,22 @@ def _(v):
     return v.seqs.select("id", F.md5(t.dna_letters(F.col("seq"))).alias("seq"))
 
 
-@query("p10_degap", "SELECT doc_id, trim(replace(left(text, 80), '-', ''), '.') AS seq FROM documents")
+@query("p10_degap", "SELECT doc_id, md5(trim(replace(text, '-', ''), '.')) AS seq FROM documents")
 def _(v):
-    return v.table("documents").select("doc_id", t.degap(F.left("text", F.lit(80))).alias("seq"))
+    return v.table("documents").select("doc_id", F.md5(t.degap(F.col("text"))).alias("seq"))
 
 
-@query("p11_reverse_complement", "SELECT id, md5(translate(reverse(upper(seq)), 'GTCA', 'CAGT')) AS rc FROM bases", "bases")
+@query("p11_reverse_complement", "SELECT id, md5(translate(reverse(upper(seq)), 'ACGT', 'TGCA')) AS rc FROM bases", "bases")
 def _(v):
     return v.bases.select("id", F.md5(t.reverse_complement(F.col("seq"))).alias("rc"))
 
 
 @query("p12_gap_columns", """
-    WITH a AS (SELECT ord, id, left(seq, 30) AS seq FROM bases WHERE length(seq) >= 30 AND ord < 60), c AS (SELECT id, p, CASE WHEN p % 3 = 0 OR substr(seq, p, 1) = 'N' THEN '-' ELSE substr(seq, p, 1) END AS c FROM a, range(1, 31) t(p)),
-    k AS (SELECT p FROM c GROUP BY 1 HAVING bool_or(c <> '-')) SELECT id, string_agg(c, '' ORDER BY p) AS seq FROM c JOIN k USING (p) GROUP BY 1""", "bases")
+    WITH c AS (SELECT ord, id, unnest(range(1, length(seq) + 1)) AS p, unnest(string_split(seq, '')) AS base FROM bases WHERE length(seq) > 0), a AS (SELECT id, p, CASE WHEN p % 3 = 0 OR base = 'N' THEN '-' ELSE base END AS c FROM c),
+    k AS (SELECT DISTINCT p FROM a WHERE c <> '-') SELECT id, md5(coalesce(string_agg(c, '' ORDER BY a.p) FILTER (k.p IS NOT NULL), '')) AS seq FROM a LEFT JOIN k ON k.p = a.p GROUP BY 1""", "bases")
 def _(v):
-    a = v.bases.where("length(seq) >= 30 and ord < 60").select("id", F.regexp_replace(F.regexp_replace(F.left("seq", F.lit(30)), "(..).", "$1-"), "N", "-").alias("seq"))
-    return ops.without_gap_columns(a)
+    a = v.bases.where("length(seq) > 0").select("id", F.regexp_replace(F.regexp_replace("seq", "(..).", "$1-"), "N", "-").alias("seq"))
+    return ops.without_gap_columns(a).withColumn("seq", F.md5("seq"))
 
 
 @query("p17_size_annotation", "SELECT replace(arg_min(file || ' ' || id, ord), ' ', '_') || ';size=' || count(*) || ';' AS header FROM seqs GROUP BY seq", "seqs")
@@ -265,14 +266,14 @@ def _(v):
 
 
 @query("a41_kmer_both_strands", """
-    WITH k AS (SELECT kmer, translate(reverse(kmer), 'GTCA', 'CAGT') AS rc, count(*) AS n FROM (SELECT substr(seq, CAST(i AS INTEGER), 4) AS kmer FROM bases, LATERAL (SELECT unnest(range(1, length(seq) - 2)) AS i)) WHERE NOT contains(kmer, 'N') GROUP BY 1)
+    WITH k AS (SELECT kmer, translate(reverse(kmer), 'ACGT', 'TGCA') AS rc, count(*) AS n FROM (SELECT substr(seq, CAST(i AS INTEGER), 4) AS kmer FROM bases, LATERAL (SELECT unnest(range(1, length(seq) - 2)) AS i)) WHERE NOT contains(kmer, 'N') GROUP BY 1)
     SELECT least(kmer, rc) AS kmer, CAST(sum(CASE WHEN kmer = rc THEN 2 * n ELSE n END) AS BIGINT) AS n FROM k GROUP BY 1""", "bases")
 def _(v):
     return ops.kmer_counts(v.bases, 4, both_strands=True)
 
 
 @query("a42_kmer_frequencies", """
-    WITH k AS (SELECT id, least(kmer, translate(reverse(kmer), 'GTCA', 'CAGT')) AS kmer, count(*) AS n FROM (SELECT id, substr(seq, CAST(i AS INTEGER), 2) AS kmer FROM bases, LATERAL (SELECT unnest(range(1, length(seq))) AS i)) WHERE NOT contains(kmer, 'N') GROUP BY 1, 2)
+    WITH k AS (SELECT id, least(kmer, translate(reverse(kmer), 'ACGT', 'TGCA')) AS kmer, count(*) AS n FROM (SELECT id, substr(seq, CAST(i AS INTEGER), 2) AS kmer FROM bases, LATERAL (SELECT unnest(range(1, length(seq))) AS i)) WHERE NOT contains(kmer, 'N') GROUP BY 1, 2)
     SELECT id, kmer, n / CAST(sum(n) OVER (PARTITION BY id) AS DOUBLE) AS share FROM k""", "bases")
 def _(v):
     return ops.kmer_frequencies(v.bases, 2)
@@ -283,9 +284,17 @@ def _(v):
     return ops.kmer_counts(v.bases, 4).where(~F.col("kmer").rlike("^(ATG|TAG|TAA|TGA)|(ATG|TAG|TAA|TGA)$"))
 
 
-@query("r1_find_runs")
+def places(pattern: str, select: str) -> str:
+    """SQL for where a pattern matches: the lengths of matches and of what lies between, summed."""
+    return f"""
+    WITH m AS (SELECT id, regexp_extract_all(seq, '{pattern}') AS r, string_split_regex(seq, '{pattern}') AS s FROM bases), e AS (SELECT id, generate_subscripts(r, 1) AS k, unnest(r) AS r, unnest(s[1:len(r)]) AS s FROM m WHERE len(r) > 0),
+    p AS (SELECT id, CAST(length(r) AS INTEGER) AS len, CAST(sum(length(r) + length(s)) OVER (PARTITION BY id ORDER BY k ROWS UNBOUNDED PRECEDING) AS BIGINT) AS stop FROM e)
+    {select}"""
+
+
+@query("r1_find_runs", places("[ACN]{6,}", "SELECT id, stop - len AS start, stop, len FROM p"), "bases")
 def _(v):
-    """Runs of A, C or N of six and more: places of regex matches, which the SQL at hand can't give."""
+    """Runs of A, C or N of six and more."""
     return ops.character_runs(v.bases, "ACN", 6)
 
 
@@ -299,13 +308,13 @@ def _(v):
     return ops.split_at_runs(v.bases, "ACN", 8, 40).select("id", F.md5("seq").alias("seq"))
 
 
-@query("r3_pattern_positions")
+@query("r3_pattern_positions", places("ACGT", "SELECT id, stop - len AS start, stop FROM p"), "bases")
 def _(v):
     """Places of ACGT in each sequence."""
     return ops.find_all(v.bases, "ACGT")
 
 
-@query("r4_spacers")
+@query("r4_spacers", places("ACGT", "SELECT id, start, stop FROM (SELECT id, lag(stop, 1, 0) OVER (PARTITION BY id ORDER BY stop) AS start, stop - len AS stop FROM p) WHERE stop - start <= 200 AND stop >= start"), "bases")
 def _(v):
     return ops.spacers(ops.find_all(v.bases, "ACGT"), 200)
 
@@ -316,18 +325,18 @@ def _(v):
     return s.agg((F.count("*") > 0).alias("some"))
 
 
-@query("o10_sampled_pairs")
+@query("o10_sampled_pairs", "SELECT pair, mate FROM reads WHERE left(md5('1/' || pair), 8) < '80000000'", "reads")
 def _(v):
     """Half of the pairs, both mates or none."""
     return ops.sampled(v.reads, "pair", 0.5).select("pair", "mate")
 
 
-@query("o11_exact_sample")
+@query("o11_exact_sample", "SELECT id FROM seqs ORDER BY md5('1/' || id), id LIMIT 50", "seqs")
 def _(v):
     return ops.exact_sample(v.seqs.select("id"), "id", 50)
 
 
-@query("o12_sampled_groups")
+@query("o12_sampled_groups", "SELECT id, file FROM seqs WHERE file IN (SELECT file FROM (SELECT DISTINCT file FROM seqs) ORDER BY md5('1/' || file), file LIMIT 5)", "seqs")
 def _(v):
     """All rows of 5 of the files, chosen by hash."""
     files = ops.exact_sample(v.seqs.select("file").distinct(), "file", 5)
@@ -335,10 +344,10 @@ def _(v):
 
 
 @query("w10_column_ranks", """
-    WITH a AS (SELECT ord, left(seq, 25) AS seq FROM bases WHERE length(seq) >= 25 AND ord < 150), c AS (SELECT ord, CAST(p - 1 AS INTEGER) AS pos, substr(seq, CAST(p AS INTEGER), 1) AS base FROM a, range(1, 26) t(p)),
+    WITH c AS (SELECT ord, CAST(unnest(range(length(seq))) AS INTEGER) AS pos, unnest(string_split(seq, '')) AS base FROM bases WHERE length(seq) > 0),
     n AS (SELECT pos, base, count(*) AS n, min(ord) AS seen FROM c GROUP BY 1, 2) SELECT pos, base, n, row_number() OVER (PARTITION BY pos ORDER BY n DESC, seen) AS rank FROM n""", "bases")
 def _(v):
-    return ops.column_ranks(v.bases.where("length(seq) >= 25 and ord < 150").select("ord", F.left("seq", F.lit(25)).alias("seq"))).withColumn("rank", F.col("rank").cast("long"))
+    return ops.column_ranks(v.bases.select("ord", "seq")).withColumn("rank", F.col("rank").cast("long"))
 
 
 @query("w11_frequency_labels", "SELECT grp, chr(CAST(96 + row_number() OVER (ORDER BY count(*) DESC, grp) AS INTEGER)) AS label, count(*) AS n FROM seqs GROUP BY 1", "seqs")
@@ -353,11 +362,21 @@ def _(v):
 
 @query("m11_closest_sequence")
 def _(v):
-    """Global alignment score (match 1, mismatch -1, gap -1) of short sequences against 20 references, the best first."""
+    """Global alignment score (match 1, mismatch -1, gap -1) of every part's name against the names of all nations, the best first."""
     from ..operators.alignment import closest
 
-    s = v.bases.where("length(seq) >= 60").select("id", "ord", F.left("seq", F.lit(60)).alias("seq"))
-    return closest(s.where("ord >= 20").select("id", "seq"), s.where("ord < 20").select(F.col("id").alias("ref"), F.col("seq").alias("ref_seq")))
+    names = v.table("part").select(F.col("p_partkey").cast("string").alias("id"), F.upper("p_name").alias("seq"))
+    return closest(names, v.table("nation").select(F.col("n_name").alias("ref"), F.col("n_name").alias("ref_seq")))
+
+
+@query("x10_header_codec", """
+    WITH h AS (SELECT id, file || ' ' || id AS header FROM seqs), b AS (SELECT id, header, list_reduce(list_transform(range(0, octet_length(encode(header))), lambda i: lpad(bin(CAST('0x' || substr(hex(encode(header)), CAST(2 * i + 1 AS INTEGER), 2) AS INTEGER)), 8, '0')), lambda x, y: x || y) AS bits FROM h),
+    g AS (SELECT id, header, list_transform(range(0, CAST(ceil(length(bits) / 5.0) AS BIGINT)), lambda i: rpad(substr(bits, CAST(5 * i + 1 AS INTEGER), 5), 5, '0')) AS g FROM b)
+    SELECT id, list_reduce(list_transform(g, lambda x: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(list_sum(list_transform(range(1, 6), lambda j: CAST(substr(x, CAST(j AS INTEGER), 1) AS INTEGER) * (CASE j WHEN 1 THEN 16 WHEN 2 THEN 8 WHEN 3 THEN 4 WHEN 4 THEN 2 ELSE 1 END))) + 1 AS INTEGER), 1)), lambda x, y: x || y) AS code, header FROM g""", "seqs")
+def _(v):
+    """Headers as base32 and back."""
+    h = F.concat_ws(" ", "file", "id")
+    return v.seqs.select("id", t.base32(h).alias("code"), t.from_base32(t.base32(h)).alias("header"))
 
 
 @query("r5_masked_islands", "SELECT id, md5(regexp_replace(seq, 'N([ACGT]{1,5})N', 'NZN', 'g')) AS seq FROM bases", "bases")
@@ -366,12 +385,12 @@ def _(v):
     return v.bases.select("id", F.md5(F.regexp_replace("seq", "N([ACGT]{1,5})N", "NZN")).alias("seq"))
 
 
-@query("u5_sql_functions", "SELECT id, translate(reverse(upper(left(seq, 40))), 'GTCA', 'CAGT') AS rc, len(regexp_extract_all(seq, '[AC]{5,}')) AS runs FROM bases", "bases")
+@query("u5_sql_functions", "SELECT id, md5(translate(reverse(upper(seq)), 'ACGT', 'TGCA')) AS rc, len(regexp_extract_all(seq, '[AC]{5,}')) AS runs FROM bases", "bases")
 def _(v):
     from ..functions.register import register
 
     register(v.spark)
-    return v.bases.select("id", F.expr("revcomp(left(seq, 40))").alias("rc"), F.expr("cast(count_runs(seq, 'AC', 5) as long)").alias("runs"))
+    return v.bases.select("id", F.expr("md5(revcomp(seq))").alias("rc"), F.expr("cast(count_runs(seq, 'AC', 5) as long)").alias("runs"))
 
 
 @query("a42_kmer_vectors", """

@@ -43,7 +43,7 @@ VIEW_SQL: dict[str, tuple[tuple[str, ...], str]] = {
           CAST(date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) + o_orderkey % 30 AS INTEGER) AS stop, o_orderpriority AS type, o_orderstatus AS strand FROM orders"""),
     "genes": ((), """
         SELECT l_partkey AS gene, o_custkey AS scaffold, CAST(date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) AS INTEGER) AS start,
-          CAST(date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) + l_linenumber * 2 AS INTEGER) AS stop FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber <= 2"""),
+          CAST(date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) + l_linenumber * 2 AS INTEGER) AS stop FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""),
     "lineage": ((), """
         SELECT c_custkey AS gene, 'b' || (c_custkey % 7) AS bin, r_name AS domain, n_name AS phylum, c_mktsegment AS family, CAST(c_acctbal AS DOUBLE) AS pid
         FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""),
@@ -52,7 +52,7 @@ VIEW_SQL: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT 10 + r_regionkey, 1, 'phylum', r_name FROM region UNION ALL SELECT 100 + n_nationkey, 10 + n_regionkey, 'family', n_name FROM nation UNION ALL
         SELECT CAST(1000 + s_suppkey AS INTEGER), 100 + s_nationkey, 'species', s_name FROM supplier"""),
     "quality": ((), """
-        SELECT l_orderkey AS id, CAST(l_linenumber AS INTEGER) AS pos, CAST(l_quantity - 9 AS INTEGER) AS q FROM lineitem WHERE l_quantity BETWEEN 9 AND 50"""),
+        SELECT l_orderkey AS id, CAST(l_linenumber AS INTEGER) AS pos, CAST(least(l_quantity, 42) - 1 AS INTEGER) AS q FROM lineitem"""),
     "attributes": ((), "SELECT event_id AS ord, event_type AS type, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events"),
 }
 
@@ -120,7 +120,7 @@ class Views:
     @cached_property
     def genes(self) -> DataFrame:
         day = F.datediff(F.to_date("l_shipdate"), F.lit("1995-01-01").cast("date"))
-        j = self.table("lineitem").where("l_linenumber <= 2").join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        j = self.table("lineitem").join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         return j.select(F.col("l_partkey").alias("gene"), F.col("o_custkey").alias("scaffold"), day.alias("start"), (day + F.col("l_linenumber") * 2).cast("int").alias("stop"))
 
     @cached_property
@@ -138,7 +138,7 @@ class Views:
 
     @cached_property
     def quality(self) -> DataFrame:
-        return self.table("lineitem").where("l_quantity between 9 and 50").select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").cast("int").alias("pos"), (F.col("l_quantity") - 9).cast("int").alias("q"))
+        return self.table("lineitem").select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").cast("int").alias("pos"), (F.least("l_quantity", F.lit(42.0)) - 1).cast("int").alias("q"))
 
     @cached_property
     def attributes(self) -> DataFrame:

@@ -152,3 +152,51 @@ def test_closest_over_blocks_of_references(spark):
     want = [(i, *min((-int(scores(s or "", [r])[0]), name) for name, r in refs)[::-1]) for i, s in queries]
     assert rows(got) == sorted(((i, ref, -minus) for i, ref, minus in want), key=repr)
     assert rows(closest(got.select("id", F.lit("A").alias("seq")), spark.createDataFrame([], "ref string, ref_seq string"))) == []
+
+
+@pytest.mark.parametrize("s, want", [("", ""), ("f", "MY"), ("foobar", "MZXW6YTBOI"), ("read 1;é", None), ("\u6f22", None)])
+def test_base32(spark, s, want):
+    import base64
+
+    code = base64.b32encode(s.encode()).decode().rstrip("=")
+    assert one(spark, t.base32(F.lit(s))) == code and (want is None or want == code)
+    assert one(spark, t.from_base32(F.lit(code.lower() + "==="))) == s
+
+
+def test_families_against_a_plain_walk(spark):
+    import random
+
+    rng = random.Random(3)
+    h = [(p, rng.randrange(40), rng.randrange(40), float(rng.randrange(30))) for p in (0, 1) for _ in range(150)]
+    want = set()
+    for part in (0, 1):
+        family = {}
+        for _, q, s, _ in sorted((x for x in h if x[0] == part), key=lambda x: (-x[3], x[1], x[2])):
+            family.setdefault(q, family.get(s, q))
+            family.setdefault(s, family[q])
+        want |= {(part, g, f) for g, f in family.items()}
+    assert set(rows(hits.families(spark.createDataFrame(h, "part long, query long, subject long, bitscore double")))) == want
+
+
+def test_closest_against_a_plain_table(spark):
+    from strandline.operators.alignment import closest
+
+    def score(a, b):
+        row = [-j for j in range(len(b) + 1)]
+        for i, x in enumerate(a, 1):
+            now = [-i]
+            for j, y in enumerate(b, 1):
+                now.append(max(row[j - 1] + (1 if x == y else -1), row[j] - 1, now[-1] - 1))
+            row = now
+        return row[-1]
+
+    q, r = ["red apple", "", "green pear", "plum"], ["APPLE", "pear", "plums", ""]
+    got = closest(spark.createDataFrame([(str(i), s) for i, s in enumerate(q)], "id string, seq string"), spark.createDataFrame([(x, x) for x in r], "ref string, ref_seq string"))
+    assert rows(got) == [(str(i), *max(((x, score(s, x)) for x in sorted(r)), key=lambda y: y[1])) for i, s in enumerate(q)]
+
+
+def test_a_walk_too_far_is_an_error(spark):
+    nodes = spark.createDataFrame([(i, i - 1, "x", f"n{i}") for i in range(1, 9)] + [(0, 0, "phylum", "top")], "taxid int, parent int, rank string, name string")
+    assert annotation.climb(nodes, nodes.where("taxid = 8").select("taxid"), ("phylum",), 9).first().depth == 8
+    with pytest.raises(Exception, match="more than 5 steps up from 8"):
+        annotation.climb(nodes, nodes.where("taxid = 8").select("taxid"), ("phylum",), 5).collect()

@@ -51,3 +51,21 @@ def test_sql_functions(spark):
     assert "revcomp" in register(spark)
     r = spark.sql("SELECT revcomp('ACGTN') a, gc_percent('GGCA') b, kmers('ACG', 2) c, canonical_kmer('TTT') d, mean_phred('!I') e, degap('.A-C.') f, gc_percent('') g").first()
     assert tuple(r) == ("NACGT", 75.0, ["AC", "CG"], "AAA", 20.0, "AC", None)
+
+
+def test_quality_steps(spark):
+    read = lambda p, m, s, q: (p, m, s, q * len(s))
+    rows = [read(1, 0, "ACGTACGT", "I"), read(1, 1, "TTTTCCCC", "I"), read(2, 0, "ACGTACGT", "5"), read(2, 1, "TTTTCCCC", "5"), read(3, 0, "GGGGNNNN", "I"), read(3, 1, "CCCCAAAA", "I"), read(4, 0, "GATTACAG", "#"), read(4, 1, "AC", "I")]
+    pairs, steps = pipelines.quality_steps(spark.createDataFrame(rows, "pair int, mate int, seq string, qual string"), 4, 20, 1)
+    assert rows_of(pairs) == {1: ("ACGTACGT", "TTTTCCCC"), 3: ("N", "CCCCAAAA")}
+    assert {r.step: r.reads for r in steps.collect()} == {"raw": 8, "distinct": 6, "good": 4, "long": 3}
+
+
+def rows_of(pairs):
+    return {r.pair: (r.fwd.seq, r.rev.seq) for r in pairs.collect()}
+
+
+def test_assembly_report(spark):
+    contigs = spark.createDataFrame([("c1", "AACCGGTT"), ("c2", "ACGT")], "id string, seq string")
+    blast = spark.createDataFrame([("c1", "s1", 1, 4, 0), ("c1", "s2", 8, 5, 1), ("c1", "s3", 1, 4, 2), ("c2", "s1", 2, 3, 3)], "query string, subject string, qstart int, qend int, ord long")
+    assert rows(pipelines.assembly_report(contigs, blast, 2)) == [("c1", "s1", 1, 1, 4, "AACC"), ("c1", "s2", 2, 8, 5, "GGTT"), ("c2", "s1", 1, 2, 3, "CG")]
