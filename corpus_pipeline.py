@@ -23,28 +23,36 @@ def without(docs: DataFrame, bad: DataFrame) -> DataFrame:
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the factorization machine finds toxic go. It learns from the labelled documents outside the held-out fold."""
+    """Documents that the factorization machine finds toxic go. It learns from the labelled documents outside the held-out fold.
+
+    Every row of a doc_id goes if one of them is toxic. Rows without a doc_id stay; so do null and empty texts, unless toxic texts are the
+    rule. An empty table stays empty.
+    """
     model = train(docs, table(spark, sf_dir, "labels"))
     return without(docs, score(docs, model).where("predicted = 1"))
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates, the document with the smallest doc_id stays."""
+    """Of each group of near duplicates, the document with the smallest doc_id stays.
+
+    Null, empty and blank texts are no one's duplicates and stay, as do rows without a doc_id, and rows that repeat the doc_id that stays.
+    An empty table stays empty.
+    """
     return without(docs, near_duplicates(docs).where("component_id <> doc_id"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go. Null and empty texts, and rows without a doc_id, stay; an empty table stays empty."""
     return without(docs, contaminated(docs, table(spark, sf_dir, "benchmark")))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced by [SECRET]; every document stays."""
+    """Secrets are replaced by [SECRET]; every document stays, null and empty texts as they are. An empty table stays empty."""
     return redact(docs)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document's ids: doc_id, n_tokens, ids, round_trip."""
+    """Each row's ids: doc_id, n_tokens, ids, round_trip. Null and empty texts have none; an empty table gives no rows."""
     return encode(docs)
 
 
