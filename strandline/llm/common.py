@@ -21,9 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or where it is unset (tests) a temporary one."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Where it is unset, local mode (tests) gets a temporary one, and
+    a cluster an error: its executors could not read what lies on the driver."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         at = tempfile.mkdtemp(prefix="strandline-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -39,6 +42,13 @@ def small_batches(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """name, with underscores after it until df has no such column."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name
+
+
 class Scratch:
     """Tables written to the shared folder, so that lost executors cost a reread and never a recomputation.
 

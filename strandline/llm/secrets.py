@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, small_or_shuffled, table
+from .common import Scratch, free_name, small_or_shuffled, table
 
 CHARS = "A-Za-z0-9+/=_~.-"
 #: A run of 16 characters or more that doesn't continue one, or the body of a private key.
@@ -178,14 +178,21 @@ def vote(nodes: dict[str, list], x: Column) -> Column:
     return F.aggregate(lit["roots"], F.lit(0.0), lambda acc, r: acc + F.get(lit["value"], leaf(r))) / len(nodes["roots"])
 
 
+#: The forest by the number of findings, once trained: it depends on nothing else.
+FORESTS: dict[int, dict[str, list]] = {}
+
+
 def model(spark: SparkSession) -> dict[str, list]:
     """The forest trained on what the scan cuts out of the texts of labelled(): a secret is what overlaps a planted one."""
+    if FINDINGS in FORESTS:
+        return FORESTS[FINDINGS]
     texts = labelled(spark).select("label", F.concat("before", "candidate", "after").alias("text"), F.length("before").alias("a"), (F.length("before") + F.length("candidate")).alias("z"))
     found = cut(texts, "label", "a", "z")
     label = F.when((F.col("start") < F.col("z")) & (F.col("start") + F.length("candidate") > F.col("a")), F.col("label")).otherwise(0).alias("label")
     rows = found.select(label, *(v.alias(k) for k, v in features(F.col("candidate"), F.col("before"), F.col("after")).items())).orderBy("label", *FEATURES).collect()
     x = np.array([[r[f] for f in FEATURES] for r in rows])
-    return flat(forest(x, np.array([r.label for r in rows])))
+    FORESTS[FINDINGS] = flat(forest(x, np.array([r.label for r in rows])))
+    return FORESTS[FINDINGS]
 
 
 def matches(texts: DataFrame, pattern: str, *keep: str) -> DataFrame:
@@ -243,18 +250,19 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     Null texts stay null; repeated rows are each cleaned; an empty table stays empty.
     """
     keep = Scratch(docs.sparkSession)
+    h, spans = free_name(docs, "h"), free_name(docs, "spans")
     # spans belong to a text, whichever rows have it
-    found = scan(docs.select(F.xxhash64("text").alias("doc_id"), "text")).where("is_secret").select(F.col("doc_id").alias("h_"), F.struct("start", "end").alias("span"))
-    spans = keep.save(found.groupBy("h_").agg(F.sort_array(F.collect_set("span")).alias("spans_")), "spans")
-    joined = docs.join(small_or_shuffled(spans, 10 * spans.count()), F.xxhash64("text") == F.col("h_"), "left")
+    found = scan(docs.select(F.xxhash64("text").alias("doc_id"), "text")).where("is_secret").select(F.col("doc_id").alias(h), F.struct("start", "end").alias("span"))
+    each = keep.save(found.groupBy(h).agg(F.sort_array(F.collect_set("span")).alias(spans)), "spans")
+    joined = docs.join(small_or_shuffled(each, 10 * each.count()), F.xxhash64("text") == F.col(h), "left")
     clean = F.aggregate(
-        "spans_", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
+        spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         # of findings that overlap, each adds what it has beyond those before it
         lambda acc, x: F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.when(x["start"] >= acc["at"], F.concat(acc["out"], F.substring("text", acc["at"] + 1, x["start"] - acc["at"]), F.lit(mark))).otherwise(acc["out"]).alias("out")),
         lambda acc: F.concat(acc["out"], F.substring("text", acc["at"] + 1, F.length("text"))))
-    out = joined.withColumn("text", F.when(F.col("spans_").isNotNull(), clean).otherwise(F.col("text")))
+    out = joined.withColumn("text", F.when(F.col(spans).isNotNull(), clean).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("spans_").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.col(spans).isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
 
 

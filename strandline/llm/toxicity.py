@@ -124,7 +124,11 @@ def _counts(batches):
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Machine:
-    """Machine from the labelled documents outside the held-out fold. Equal texts count once; rows that disagree count as toxic."""
+    """Machine from the labelled documents outside the held-out fold. Equal texts count once; rows that disagree count as toxic.
+
+    Labels other than 0 and 1, and labels or documents without a doc_id, teach nothing. With labels of one kind only, or none, or without a
+    term in enough texts, the share of toxic texts is every text's score.
+    """
     y = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y")).where(~held_out())
     y = small_or_shuffled(y, y.count())
     once = docs.select("doc_id", "text").join(y, "doc_id").groupBy(F.xxhash64("text")).agg(F.min_by(F.struct("doc_id", "y"), "doc_id").alias("r")).select("r.*")
@@ -161,7 +165,11 @@ def held_out():
 
 
 def score(docs: DataFrame, model: Machine) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every row. Null and empty texts have no terms and get the bias's score."""
+    """(doc_id, held_out, score, predicted) of every row. Null and empty texts have no terms and get the bias's score.
+
+    Rows may repeat and are each scored; a null doc_id is in no fold. Texts of any length are read whole. Other columns are ignored,
+    whatever their names; an empty table gives no rows.
+    """
     small_batches(docs.sparkSession)
     known = {t: i for i, t in enumerate(model.terms)}
 

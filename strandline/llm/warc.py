@@ -32,8 +32,19 @@ URN = "urn:strandline:page:"
 HEADERS = {"record_id": "warc-record-id", "record_type": "warc-type", "target_uri": "warc-target-uri", "refers_to": "warc-refers-to", "payload_digest": "warc-payload-digest"}
 
 
+#: Hadoop's names of stores, and those of the same in pyarrow.
+STORES = {"s3a": "s3", "s3n": "s3", "gs": "gs", "wasbs": "abfss", "wasb": "abfs"}
+
+
 def place(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path if "://" in path or path.startswith("/") else path.replace("file:", "file://", 1))
+    """The file system of a path and the path in it; Python workers have no Hadoop client, so a path that Spark reads by one must be of a
+    kind that pyarrow has too (local, S3, GCS, Azure; HDFS with libhdfs)."""
+    if path.startswith("/"):
+        return fs.LocalFileSystem(), path
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(f"{STORES.get(scheme, scheme)}:{rest}")
 
 
 def record(rid: str, kind: str, uri: str | None, refers: str | None, digest: str, size: int, payload: bytes) -> bytes:
@@ -278,7 +289,8 @@ def write_and_read(pages: DataFrame) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) as read back from the archives that pages are written to.
 
     Responses give the length and digest of the payload that was read, revisits those of their headers. A null html is an empty payload;
-    a row without page_id comes back without one, and is no other's response. Repeated rows of the largest page_id are all responses.
+    a row without page_id comes back without one, and is no other's response. Repeated rows of the largest page_id are all responses. Other
+    columns are ignored, whatever their names; an empty table gives no rows. A record, its page and all, is held by one task at a time.
     """
     spark = pages.sparkSession
     register(spark)
@@ -293,11 +305,10 @@ OP5_SQL = f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 d AS (SELECT page_id, octet_length(encode(h)) AS payload_bytes, sha1(h) AS payload_digest FROM p),
 m AS (SELECT payload_digest, max(page_id) AS first FROM d WHERE payload_bytes >= {REVISIT_BYTES} GROUP BY 1)
-SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, d.payload_digest,
   CASE WHEN first > page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN first > page_id THEN first END AS refers_to
 FROM d LEFT JOIN m ON m.payload_digest = d.payload_digest AND d.payload_bytes >= {REVISIT_BYTES}
 """
-OP5_SQL = OP5_SQL.replace("payload_bytes, payload_digest,\n  CASE", "payload_bytes, d.payload_digest,\n  CASE")
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

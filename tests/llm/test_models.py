@@ -82,6 +82,29 @@ def test_toxicity_of_few_rows(spark):
     assert not m.terms and [r.score for r in toxicity.score(docs, m).collect()] == pytest.approx([prior] * 27)
 
 
+def test_scores_are_pairwise_sums():
+    """log-odds = bias + sum of weights + sum over all pairs of the product of their vectors."""
+    rng = np.random.default_rng(4)
+    m = toxicity.Machine(list(range(9)), 0.3, rng.normal(size=9), rng.normal(size=(9, toxicity.FACTORS)))
+    rows = [[], [4], [0, 8], [1, 2, 3, 5, 7], list(range(9))]
+    for row, s in zip(rows, m.score(rows)):
+        z = m.bias + sum(m.w[i] for i in row) + sum(float(m.v[i] @ m.v[j]) for k, i in enumerate(row) for j in row[k + 1 :])
+        assert s == pytest.approx(1 / (1 + math.exp(-z)))
+
+
+def test_toxicity_edges(spark):
+    """Repeated and very long rows, columns named as the operator's own, an empty table."""
+    rng = random.Random(6)
+    rows = [(prose(rng, 10) + (" zzinsult" if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(400)]
+    _, m = trained(spark, rows)
+    schema = "doc_id long, text string, score string, held_out string, y string, predicted string"
+    odd = [(7, "so zzinsult"), (7, "so zzinsult"), (8, prose(rng, 50_000)), (9, "zzinsult " * 50_000), (None, "")]
+    got = sorted(((r.doc_id or 0, r.predicted) for r in toxicity.score(spark.createDataFrame([(*r, "a", "b", "c", "d") for r in odd], schema), m).collect()))
+    assert got == [(0, 0), (7, 1), (7, 1), (8, 0), (9, 1)]
+    assert toxicity.score(spark.createDataFrame([], schema), m).count() == 0
+    assert toxicity.train(spark.createDataFrame([], schema), spark.createDataFrame([], "doc_id long, toxic int")).terms == []
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
