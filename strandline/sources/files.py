@@ -1,15 +1,17 @@
 """Ordered records of text files as a Python data source: format("records").
 
 kind "lines": file, ord, value. kind "fasta": file, ord, header, id, descr, seq. kind "fastq": file, ord, header, id, strand, seq, qual,
-error. ord is the byte at which a record starts, so order within a file survives any shuffle. Plain files are read in byte ranges, each
-taking the records that start in it; compressed ones (.gz, .bz2, .zst, .zip) are one range each, ord counting uncompressed bytes.
+error. kind "bam": file, ord, read, flag, contig, pos, mapq, cigar, seq, qual of every alignment. ord is the byte at which a record starts, so order within a file survives any shuffle. Plain files are read in byte ranges, each
+taking the records that start in it; compressed ones (.gz, .bz2, .zst, .zip, .bam) are one range each, ord counting uncompressed bytes.
 
 FASTQ mode "FAILFAST" (default) raises on a malformed record, "PERMISSIVE" returns it with `error` set.
 """
 
 from __future__ import annotations
 
+import gzip
 import io
+import struct
 import zipfile
 from collections.abc import Iterator
 
@@ -22,8 +24,12 @@ SCHEMAS = {
     "lines": "file string, ord long, value string",
     "fasta": "file string, ord long, header string, id string, descr string, seq string",
     "fastq": "file string, ord long, header string, id string, strand string, seq string, qual string, error string",
+    "bam": "file string, ord long, read string, flag int, contig string, pos int, mapq int, cigar string, seq string, qual string",
 }
-PACKED = (".gz", ".bz2", ".zst", ".zip")
+TYPES = {"string": pa.string(), "long": pa.int64(), "int": pa.int32()}
+PACKED = (".gz", ".bz2", ".zst", ".zip", ".bam")
+#: Hadoop's names of stores, and those of the same in pyarrow.
+STORES = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss", "wasb": "abfs"}
 BATCH = 4 << 20
 
 
@@ -31,7 +37,8 @@ def place(path: str) -> tuple[fs.FileSystem, str]:
     if "://" not in path and not path.startswith("/"):
         path = path.removeprefix("file:") if path.startswith("file:") else f"./{path}"
         return (fs.LocalFileSystem(), path)
-    return fs.FileSystem.from_uri(path)
+    scheme, _, rest = path.partition("://")
+    return fs.FileSystem.from_uri(f"{STORES.get(scheme, scheme)}://{rest}" if rest else path)
 
 
 class Range(InputPartition):
@@ -47,6 +54,9 @@ def opened(where: fs.FileSystem, path: str) -> Iterator:
                 if not name.endswith("/"):
                     with z.open(name) as f:
                         yield io.BufferedReader(f)
+    elif path.endswith(".bam"):
+        # blocks of gzip, one after the other
+        yield io.BufferedReader(gzip.GzipFile(fileobj=where.open_input_file(path)))
     elif path.endswith(PACKED):
         yield io.BufferedReader(where.open_input_stream(path, compression="detect"))
     else:
@@ -106,6 +116,42 @@ def fastq(f, start: int, end: int, strict: bool) -> Iterator[tuple]:
         del held[:4]
 
 
+#: Codes of bases and of CIGAR operations in BAM, in the order of their numbers.
+BAM_BASES, BAM_OPERATIONS = "=ACMGRSVTWYHKDBN", "MIDNSHP=X"
+
+
+def bam(f) -> Iterator[tuple]:
+    """Alignments of an inflated BAM stream; positions from 1, "*" for what is absent, as in its text form."""
+    at = 0
+
+    def take(n: int) -> bytes:
+        nonlocal at
+        if len(x := f.read(n)) < n:
+            raise ValueError(f"byte {at}: the file ends within a record")
+        at += n
+        return x
+
+    number = lambda: struct.unpack("<i", take(4))[0]
+    if take(4) != b"BAM\x01":
+        raise ValueError("not a BAM file")
+    take(number())
+    contigs = []
+    for _ in range(number()):
+        contigs.append(take(number())[:-1].decode("utf-8", "replace"))
+        take(4)
+    while head := f.read(4):
+        start, at = at, at + len(head)
+        r = take(struct.unpack("<i", head)[0])
+        ref, pos, name, mapq, _, operations, flag, n = struct.unpack_from("<iiBBHHHi", r)
+        k = 32 + name
+        cigar = "".join(f"{x >> 4}{BAM_OPERATIONS[x & 15]}" for x in struct.unpack_from(f"<{operations}I", r, k))
+        k += 4 * operations
+        packed, qual = r[k : k + (n + 1) // 2], r[k + (n + 1) // 2 :][:n]
+        seq = "".join(BAM_BASES[x >> 4] + BAM_BASES[x & 15] for x in packed)[:n]
+        quality = "".join(chr(x + 33) for x in qual) if n and qual[0] != 255 else "*"
+        yield (start, r[32 : k - 4 * operations - 1].decode("utf-8", "replace"), flag, contigs[ref] if ref >= 0 else "*", pos + 1, mapq, cigar or "*", seq or "*", quality)
+
+
 def split_header(h: str) -> tuple[str, str]:
     id_, _, descr = h.strip().partition(" ")
     return id_.split("\t")[0], descr.strip()
@@ -138,20 +184,19 @@ class RecordReader(DataSourceReader):
         if not partition.path:
             return
         where, path = place(partition.path)
-        types = [pa.string(), pa.int64()] + [pa.string()] * (len(SCHEMAS[self.kind].split(",")) - 2)
-        names = [x.split()[0] for x in SCHEMAS[self.kind].split(", ")]
+        names, types = zip(*((n, TYPES[t]) for n, t in (x.split() for x in SCHEMAS[self.kind].split(", "))))
         batch: list[tuple] = []
         size = 0
         for f in opened(where, path):
-            read = {"lines": lines, "fasta": fasta}.get(self.kind) or (lambda f, a, b: fastq(f, a, b, self.strict))
+            read = {"lines": lines, "fasta": fasta, "bam": lambda f, a, b: bam(f)}.get(self.kind) or (lambda f, a, b: fastq(f, a, b, self.strict))
             for row in read(f, partition.start, partition.end):
                 batch.append((partition.path, *row))
                 size += sum(len(x) for x in row if isinstance(x, str)) + 100
                 if size > BATCH:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*batch), types)], names=names)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*batch), types)], names=list(names))
                     batch, size = [], 0
         if batch:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*batch), types)], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*batch), types)], names=list(names))
 
 
 class RecordSource(DataSource):

@@ -343,7 +343,9 @@ def cited_entries(spark: SparkSession, path) -> DataFrame:
 
 
 def alignments(spark: SparkSession, path) -> DataFrame:
-    """Mapped reads of SAM text: read, flag, contig, pos, mapq, cigar, seq, qual."""
+    """Mapped reads of SAM text, or of BAM: read, flag, contig, pos, mapq, cigar, seq, qual."""
+    if str(path).endswith(".bam"):
+        return files.read(spark, path, "bam").drop("file", "ord").where(F.col("flag").bitwiseAND(4) == 0)
     c = F.split("value", "\t")
     names = ("read string", "flag int", "contig string", "pos int", "mapq int", "cigar string")
     d = spark.read.text(path).where(~F.col("value").startswith("@"))

@@ -1,6 +1,7 @@
 """Readers and writers on small files."""
 
 import gzip
+import struct
 import zipfile
 
 import pytest
@@ -175,3 +176,26 @@ def test_writers_round_trip(spark, tmp_path):
     f = spark.createDataFrame([("c", "l1", 1, 250, "-", "CDS", None)], "scaffold string, locus string, start int, stop int, strand string, type string, product string")
     t = sinks.feature_table(f, spark.createDataFrame([("c", 250)], "scaffold string, len int")).first().value
     assert t.startswith(">250\t<1\tCDS") and "hypothetical protein" in t
+
+
+def bam_record(name, flag, ref, pos, mapq, cigar, seq, qual):
+    """One record by the format's description: sizes, numbers, name, operations, bases in halves of bytes, qualities."""
+    ops = b"".join(struct.pack("<I", n << 4 | "MIDNSHP=X".index(o)) for n, o in cigar)
+    codes = ["=ACMGRSVTWYHKDBN".index(c) for c in seq] + [0] * (len(seq) % 2)
+    body = struct.pack("<iiBBHHHiiii", ref, pos - 1, len(name) + 1, mapq, 0, len(cigar), flag, len(seq), -1, -1, 0) + name.encode() + b"\0" + ops
+    body += bytes(a << 4 | b for a, b in zip(codes[::2], codes[1::2])) + (bytes(ord(c) - 33 for c in qual) if qual != "*" else b"\xff" * len(seq)) + b"NMC\x01"
+    return struct.pack("<i", len(body)) + body
+
+
+def test_bam(spark, tmp_path):
+    head = b"BAM\1" + struct.pack("<i", 4) + b"@HD\n" + struct.pack("<i", 2) + b"".join(struct.pack("<i", len(n) + 1) + n + b"\0" + struct.pack("<i", 100) for n in (b"c1", b"c2"))
+    reads = [("r1", 0, 0, 1, 60, [(3, "M"), (1, "S")], "ACGT", "IIII"), ("r2", 16, 1, 7, 0, [(2, "M"), (10, "N"), (3, "M")], "NACGT", "*"), ("r3", 4, -1, 0, 0, [], "A", "I"), ("r4", 0, 1, 9, 3, [], "", "*")]
+    blocks = [head, *(bam_record(*r) for r in reads), b""]
+    (tmp_path / "x.bam").write_bytes(b"".join(gzip.compress(b) for b in blocks))
+    path = str(tmp_path / "x.bam")
+    assert rows(formats.alignments(spark, path)) == [("r1", 0, "c1", 1, 60, "3M1S", "ACGT", "IIII"), ("r2", 16, "c2", 7, 0, "2M10N3M", "NACGT", "*"), ("r4", 0, "c2", 9, 3, "*", "*", "*")]
+    got = files.read(spark, path, "bam").orderBy("ord").collect()
+    assert [r.read for r in got] == ["r1", "r2", "r3", "r4"] and got[2].contig == "*"
+    (tmp_path / "cut.bam").write_bytes(gzip.compress(b"".join(blocks)[:-9]))
+    with pytest.raises(Exception, match="ends within a record"):
+        files.read(spark, str(tmp_path / "cut.bam"), "bam").collect()
