@@ -4,7 +4,7 @@ kind "lines": file, ord, value. kind "fasta": file, ord, header, id, descr, seq.
 error. kind "bam": file, ord, read, flag, contig, pos, mapq, cigar, seq, qual of every alignment. ord is the byte at which a record starts, so order within a file survives any shuffle. Plain files are read in byte ranges, each
 taking the records that start in it; compressed ones (.gz, .bz2, .zst, .zip, .bam) are one range each, ord counting uncompressed bytes.
 
-FASTQ mode "FAILFAST" (default) raises on a malformed record, "PERMISSIVE" returns it with `error` set.
+FASTA option repair "true" makes every ">" within a header a "+". FASTQ mode "FAILFAST" (default) raises on a malformed record, "PERMISSIVE" returns it with `error` set.
 """
 
 from __future__ import annotations
@@ -74,7 +74,8 @@ def lines(f, start: int, end: int) -> Iterator[tuple[int, str]]:
         at += len(raw)
 
 
-def fasta(f, start: int, end: int) -> Iterator[tuple]:
+def fasta(f, start: int, end: int, repair: bool = False) -> Iterator[tuple]:
+    """repair: a ">" within a header becomes "+"."""
     at, header, seq = 0, None, []
     for pos, line in lines(f, start, 1 << 62):
         if line.startswith(">"):
@@ -82,7 +83,7 @@ def fasta(f, start: int, end: int) -> Iterator[tuple]:
                 yield (at, header, *split_header(header), "".join(seq))
             if pos >= end:
                 return
-            at, header, seq = pos, line[1:], []
+            at, header, seq = pos, line[1:].replace(">", "+") if repair else line[1:], []
         elif header is not None:
             seq.append(line.strip())
     if header is not None:
@@ -161,6 +162,7 @@ class RecordReader(DataSourceReader):
     def __init__(self, options: dict):
         self.paths = [p for p in options["path"].split(",") if p]
         self.kind = options.get("kind", "lines")
+        self.repair = options.get("repair", "false").lower() == "true"
         self.strict = options.get("mode", "FAILFAST").upper() == "FAILFAST"
         self.most = int(options.get("maxpartitionbytes", 32 << 20))
         if self.kind not in SCHEMAS:
@@ -188,7 +190,7 @@ class RecordReader(DataSourceReader):
         batch: list[tuple] = []
         size = 0
         for f in opened(where, path):
-            read = {"lines": lines, "fasta": fasta, "bam": lambda f, a, b: bam(f)}.get(self.kind) or (lambda f, a, b: fastq(f, a, b, self.strict))
+            read = {"lines": lines, "fasta": lambda f, a, b: fasta(f, a, b, self.repair), "bam": lambda f, a, b: bam(f)}.get(self.kind) or (lambda f, a, b: fastq(f, a, b, self.strict))
             for row in read(f, partition.start, partition.end):
                 batch.append((partition.path, *row))
                 size += sum(len(x) for x in row if isinstance(x, str)) + 100

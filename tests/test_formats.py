@@ -199,3 +199,9 @@ def test_bam(spark, tmp_path):
     (tmp_path / "cut.bam").write_bytes(gzip.compress(b"".join(blocks)[:-9]))
     with pytest.raises(Exception, match="ends within a record"):
         files.read(spark, str(tmp_path / "cut.bam"), "bam").collect()
+
+
+def test_fasta_repair(spark, tmp_path):
+    path = put(tmp_path, "x.fa", ">a b>c\nAC\n>d\nG\n")
+    assert rows(files.read(spark, path, "fasta", repair="true").select("header", "seq")) == [("a b+c", "AC"), ("d", "G")]
+    assert rows(files.read(spark, path, "fasta").select("header")) == [("a b>c",), ("d",)]
