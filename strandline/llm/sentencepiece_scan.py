@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import functools
 import re
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -32,6 +33,8 @@ BREAK = re.compile("[^▁](?=▁)")
 MARGIN = 64
 #: Neighbouring matrices that are combined to one.
 SEGMENT = 64
+#: Matrices whose states a task finds together.
+TOGETHER = 1000
 
 
 @functools.lru_cache(maxsize=2)
@@ -243,10 +246,20 @@ def _up(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _down(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The states at both ends of each of a segment's matrices, given those of the segment as first and last."""
-    some, ms = _matrices(pdf)
-    states = path(ms, some["first"].iat[0], some["last"].iat[0])
-    return pd.DataFrame({"doc_id": some.doc_id, "h": some.h, "no": some.no, "s0": states[:-1], "s1": states[1:]})
+    """The states at both ends of each matrix of some segments, given those of each segment as first and last."""
+    doc, h, no, first, last = (pdf[c].tolist() for c in ("doc_id", "h", "no", "first", "last"))
+    if pdf.doc_id.isna().all():
+        doc = [0] * len(pdf)
+    order = sorted(range(len(pdf)), key=lambda i: (h[i], doc[i], no[i]))
+    kept: list[int] = []
+    states: list[tuple[str, str]] = []
+    for _, rows in groupby(order, key=lambda i: (h[i], doc[i], no[i] // SEGMENT)):
+        # repeated rows of a document once
+        some = list({no[i]: i for i in rows}.values())
+        s = path([list(zip(pdf["from"].iat[i], pdf["to"].iat[i])) for i in some], first[some[0]], last[some[0]])
+        kept += some
+        states += zip(s, s[1:])
+    return pdf.iloc[kept][["doc_id", "h", "no"]].assign(s0=[x for x, _ in states], s1=[x for _, x in states])
 
 
 def _states(matrices: DataFrame, most: int, keep: Scratch) -> DataFrame:
@@ -263,7 +276,9 @@ def _states(matrices: DataFrame, most: int, keep: Scratch) -> DataFrame:
         else:
             up = states.select(F.col("doc_id").alias("d"), F.col("h").alias("g"), F.col("no").alias("up"), F.col("s0").alias("first"), F.col("s1").alias("last"))
             ends = level.join(up, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g")) & (F.expr(f"no div {SEGMENT}") == F.col("up"))).drop("d", "g", "up")
-        states = ends.groupBy("doc_id", "h", F.expr(f"no div {SEGMENT}")).applyInPandas(_down, "doc_id long, h string, no int, s0 string, s1 string")
+        # segments are dealt out many at a time, as most are of a few matrices; rows without doc_id apart, which would make floats of ids
+        part = F.pmod(F.xxhash64("doc_id", "h", F.expr(f"no div {SEGMENT}")), F.lit(-(-level.count() // TOGETHER) or 1))
+        states = ends.groupBy(F.isnull("doc_id"), part).applyInPandas(_down, "doc_id long, h string, no int, s0 string, s1 string")
         states = keep.save(states, "states")
     return states
 
