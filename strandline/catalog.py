@@ -52,4 +52,4 @@ def with_views(views: str, sql: str) -> str:
     return head + ",\n".join(f"{v} AS ({dedent(VIEW_SQL[v][1]).strip()})" for v in order) + (own or "\n" + recursive)
 
 
-from .plans import annotation, coverage, hits, matrix, sequences, stages  # noqa: E402, F401
+from .plans import annotation, coverage, formats, hits, matrix, sequences, stages  # noqa: E402, F401

@@ -12,6 +12,7 @@ from __future__ import annotations
 import gzip
 import io
 import struct
+import tempfile
 import zipfile
 from collections.abc import Iterator
 
@@ -41,6 +42,17 @@ def place(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(f"{STORES.get(scheme, scheme)}://{rest}" if rest else path)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``, which the driver and all executors see. Unset, it is an error on a cluster and a temporary folder in local mode."""
+    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        at = tempfile.mkdtemp(prefix="strandline-")
+        spark.conf.set("spark.checkpoint.dir", at)
+    return at.rstrip("/")
+
+
 class Range(InputPartition):
     def __init__(self, path: str, start: int, end: int):
         self.path, self.start, self.end = path, start, end

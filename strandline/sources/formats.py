@@ -63,9 +63,14 @@ def blast_ordered(spark: SparkSession, path) -> DataFrame:
     return files.read(spark, path).where(~F.col("value").startswith("#") & (F.col("value") != "")).select("file", "ord", *(c[i].try_cast(t).alias(n) for i, (n, t) in enumerate(names)))
 
 
+def _xml(spark: SparkSession, tag: str):
+    """Malformed files, such as several documents one after the other, are errors: otherwise the rows after the first root would be lost unsaid."""
+    return spark.read.format("xml").option("rowTag", tag).option("mode", "FAILFAST")
+
+
 def blast_xml(spark: SparkSession, path, least_score: float = 0.0) -> DataFrame:
     """query, hit, pident, evalue, score of every HSP from a score on."""
-    d = spark.read.format("xml").option("rowTag", "Iteration").schema(
+    d = _xml(spark, "Iteration").schema(
         "`Iteration_query-def` string, Iteration_hits struct<Hit: array<struct<Hit_def: string, Hit_hsps: struct<Hsp: array<struct<`Hsp_bit-score`: double, Hsp_evalue: double, Hsp_identity: int, `Hsp_align-len`: int>>>>>>").load(path)
     h = d.select(F.col("`Iteration_query-def`").alias("query"), F.explode("Iteration_hits.Hit").alias("h")).select("query", F.col("h.Hit_def").alias("hit"), F.explode("h.Hit_hsps.Hsp").alias("p"))
     return h.select("query", "hit", (100.0 * F.col("p.Hsp_identity") / F.col("p.`Hsp_align-len`")).alias("pident"), F.col("p.Hsp_evalue").alias("evalue"), F.col("p.`Hsp_bit-score`").alias("score")).where(F.col("score") >= least_score)
@@ -323,13 +328,13 @@ def cluster_overview(spark: SparkSession, path) -> DataFrame:
 def tiny_seq(spark: SparkSession, path, kind: str = "protein") -> DataFrame:
     """TinySeq XML records of one type: gi, accver, taxid, orgname, defline, length, seq."""
     schema = "TSeq_seqtype struct<_value: string>, TSeq_gi long, TSeq_accver string, TSeq_taxid int, TSeq_orgname string, TSeq_defline string, TSeq_length int, TSeq_sequence string"
-    d = spark.read.format("xml").option("rowTag", "TSeq").schema(schema).load(path).where(F.col("TSeq_seqtype._value") == kind)
+    d = _xml(spark, "TSeq").schema(schema).load(path).where(F.col("TSeq_seqtype._value") == kind)
     return d.select(F.col("TSeq_gi").alias("gi"), F.col("TSeq_accver").alias("accver"), F.col("TSeq_taxid").alias("taxid"), F.col("TSeq_orgname").alias("orgname"), F.col("TSeq_defline").alias("defline"), F.col("TSeq_length").alias("length"), F.col("TSeq_sequence").alias("seq"))
 
 
 def document_summaries(spark: SparkSession, path) -> DataFrame:
     """Id and title of DocSum records."""
-    d = spark.read.format("xml").option("rowTag", "DocSum").schema("Id long, Item array<struct<_Name: string, _VALUE: string>>").load(path)
+    d = _xml(spark, "DocSum").schema("Id long, Item array<struct<_Name: string, _VALUE: string>>").load(path)
     return d.select(F.col("Id").alias("id"), F.filter("Item", lambda x: x["_Name"] == "Title")[0]["_VALUE"].alias("title"))
 
 

@@ -143,6 +143,16 @@ def test_xml(spark, tmp_path):
     assert rows(formats.blast_xml(spark, b, 10)) == [("q", "h", 90.0, 0.1, 40.0)]
 
 
+def test_several_xml_roots_are_an_error(spark, tmp_path):
+    one = '<r><DocSum><Id>3</Id><Item Name="Title">A b</Item></DocSum></r>\n'
+    with pytest.raises(Exception, match="(?i)malformed"):
+        formats.document_summaries(spark, put(tmp_path, "two.xml", one * 2)).collect()
+
+
+def test_shared_folder(spark, tmp_path):
+    assert files.shared_folder(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
+
+
 def test_names(spark):
     d = spark.createDataFrame([("66145_CATTGAC_S1_L007_R1_001.fastq.gz",), ("run9_s2_ACGT_L001_R2_003.fastq",), ("other.txt",)], "name string")
     got = {r.name: r for r in formats.raw_names(d).collect()}
