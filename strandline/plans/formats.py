@@ -83,6 +83,15 @@ def _(v):
     return formats.fasta(v.spark, out).select(F.col("header").alias("id"), "seq")
 
 
+@query("s3_sniffed_s4_packed", "SELECT 'c' || c_custkey AS id, c_name AS seq FROM customer")
+def _(v):
+    """Packed by gzip; the format is told by the first byte of a file."""
+    at = _folder(v)
+    v.table("customer").select(F.concat(F.lit(">c"), _s("c_custkey"), F.lit("\n"), "c_name").alias("value")).write.option("compression", "gzip").text(at)
+    parts = [r[0] for r in v.spark.read.format("binaryFile").load(at).select("path").orderBy("path").collect()]
+    return formats.sequences(v.spark, parts).select("id", "seq")
+
+
 @query("s5_interleaved_pairs", "SELECT 'c' || c_custkey || '/1' AS fwd, 'c' || c_custkey || '/2' AS rev, c_name AS fwd_seq, c_mktsegment AS rev_seq FROM customer")
 def _(v):
     mate = lambda n, c: F.concat(F.lit("@c"), _s("c_custkey"), F.lit(f"/{n}\n"), c, F.lit("\n+\n"), F.repeat(F.lit("I"), F.length(c)))
@@ -183,6 +192,29 @@ def _(v):
     return formats.shared(v.spark, at)
 
 
+@query("s16_count_table", "SELECT sample, otu, count FROM matrix", "matrix")
+def _(v):
+    """OTU by sample, with a total in the second column."""
+    at, m = _folder(v), v.matrix
+    names = [r[0] for r in m.select("sample").distinct().orderBy("sample").collect()]
+    wide = m.groupBy(F.col("otu").alias("Representative_Sequence")).pivot("sample", names).agg(F.sum("count")).na.fill(0)
+    total = sum((F.col(f"`{n}`") for n in names), F.lit(0))
+    wide.select("Representative_Sequence", total.alias("total"), *(F.col(f"`{n}`") for n in names)).write.csv(at, sep="\t", header=True)
+    return formats.count_table(v.spark, at)
+
+
+@query("s17_compressed_count_table", "SELECT sample, otu, count FROM matrix", "matrix")
+def _(v):
+    """Each row names the columns of its samples by number; the head lines stand before every row, so that each file has them."""
+    at, m = _folder(v), v.matrix
+    names = [r[0] for r in m.select("sample").distinct().orderBy("sample").collect()]
+    pair = F.concat_ws(",", _s(F.array_position(F.array(*map(F.lit, names)), F.col("sample"))), _s("count"))
+    head = "#Compressed Format: groupIndex,abundance\n" + "\t".join(["Representative_Sequence", "total", *names]) + "\n"
+    body = m.groupBy("otu").agg(F.sum("count").alias("total"), F.array_join(F.collect_list(pair), "\t").alias("pairs"))
+    body.select(F.concat(F.lit(head), _tabbed("otu", "total", "pairs")).alias("value")).write.text(at)
+    return formats.count_table(v.spark, at)
+
+
 @query("s18_groups", "SELECT o_orderstatus AS sample, count(*) AS count FROM orders GROUP BY 1")
 def _(v):
     return formats.groups(v.spark, _written(v, v.table("orders"), _tabbed("o_orderkey", "o_orderstatus")))
@@ -292,6 +324,18 @@ def _(v):
     return formats.alignments(v.spark, at).drop("seq", "qual")
 
 
+@query("s37_step_log", """
+    SELECT CAST(event_id AS VARCHAR) AS step, coalesce(CAST(epoch(date_trunc('second', lead(ts) OVER w)) - epoch(date_trunc('second', ts)) AS BIGINT), 0) AS seconds
+    FROM events WINDOW w AS (PARTITION BY user_id % 40 ORDER BY ts, event_id)""")
+def _(v):
+    """A log for each of 40 groups of users, one file each."""
+    at = _folder(v)
+    e = v.table("events").withColumn("log", F.col("user_id") % 40).repartition("log").sortWithinPartitions("log", "ts", "event_id")
+    line = F.concat(F.lit("--- ["), F.date_format("ts", "EEE MMM d HH:mm:ss yyyy"), F.lit("] "), _s("event_id"), F.lit(" ---"))
+    e.select(line.alias("value"), "log").write.partitionBy("log").text(at)
+    return formats.step_log(v.spark, at).select("step", "seconds")
+
+
 @query("s40_raw_names", """
     SELECT 'run' || s_nationkey AS run, 's' || s_suppkey AS sample, 'ACGT' AS "index", CAST(s_suppkey % 9 + 1 AS INTEGER) AS snum, CAST(s_suppkey % 8 + 1 AS INTEGER) AS lane, CAST(s_suppkey % 2 + 1 AS INTEGER) AS dir, 1 AS fnum, 'fastq.gz' AS suffix FROM supplier""")
 def _(v):
