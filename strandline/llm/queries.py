@@ -7,6 +7,7 @@ from .decontaminate import op10_decontamination
 from .html_wrapper import op6_html_wrapper
 from .lm_score import op9_lm_score
 from .ngram_join import OP1_SQL, op1_ngram_jaccard_join
+from .packing import op13_packing
 from .pii import op7_pii
 from .secrets import op4_secret_forest
 from .sentencepiece_scan import op8_sentencepiece
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_lm_score": op9_lm_score,
     "op10_decontamination": op10_decontamination,
+    "op13_packing": op13_packing,
 }
 
 ORACLES = {
