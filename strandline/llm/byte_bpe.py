@@ -17,16 +17,17 @@ MODEL = "/opt/tokenizers/byte_bpe_50k.json"
 #: The split of this kind of vocabulary, and the bytes that stand for themselves in its file.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
-#: A blank between letters or digits: no token reaches over its start, be it of this kind of vocabulary or of SentencePiece's.
-CUT = re.compile(r"(?<=[^\W_]) (?=[^\W_])")
+#: A blank between characters that are none: no token reaches over its start, be it of this kind of vocabulary or of SentencePiece's, and
+#: what follows encodes as if nothing stood before.
+CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Characters that are encoded at once, if the text has a CUT.
 BLOCK = 1 << 17
 
 
-def blocks(text: str, size: int = BLOCK) -> Iterator[str]:
-    """The text in parts of about `size` characters that encode by themselves; a part goes on to the next CUT."""
+def blocks(text: str) -> Iterator[str]:
+    """The text in parts of about BLOCK characters that encode by themselves; a part goes on to the next CUT."""
     at = 0
-    while len(text) - at > size and (m := CUT.search(text, at + size)):
+    while len(text) - at > BLOCK and (m := CUT.search(text, at + BLOCK)):
         yield text[at : m.start()]
         at = m.start()
     yield text[at:] if at else text

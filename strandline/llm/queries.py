@@ -11,6 +11,7 @@ from .packing import op13_packing
 from .pii import op7_pii
 from .secrets import op4_secret_forest
 from .sentencepiece_scan import op8_sentencepiece
+from .token_alignment import op12_token_alignment
 from .toxicity import op3_toxicity
 from .warc import OP5_SQL, op5_warc
 
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_lm_score": op9_lm_score,
     "op10_decontamination": op10_decontamination,
+    "op12_token_alignment": op12_token_alignment,
     "op13_packing": op13_packing,
 }
 
