@@ -11,6 +11,7 @@ from .packing import op13_packing
 from .pii import op7_pii
 from .secrets import op4_secret_forest
 from .sentencepiece_scan import op8_sentencepiece
+from .spelling import OP11_SQL, op11_spelling
 from .token_alignment import op12_token_alignment
 from .toxicity import op3_toxicity
 from .warc import OP5_SQL, op5_warc
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_lm_score": op9_lm_score,
     "op10_decontamination": op10_decontamination,
+    "op11_spelling": op11_spelling,
     "op12_token_alignment": op12_token_alignment,
     "op13_packing": op13_packing,
 }
@@ -33,4 +35,5 @@ QUERIES = {
 ORACLES = {
     "op1_ngram_jaccard_join": OP1_SQL,
     "op5_warc": OP5_SQL,
+    "op11_spelling": OP11_SQL,
 }
