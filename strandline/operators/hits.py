@@ -146,21 +146,3 @@ def matched_pairs(df: DataFrame, name: str, value: str) -> DataFrame:
     """Values that exactly two names share, with both."""
     d = df.select(name, value).where(F.col(value).isNotNull()).distinct()
     return d.groupBy(value).agg(F.count("*").alias("n"), F.min(name).alias("first"), F.max(name).alias("second")).where("n = 2").drop("n")
-
-
-def families(hits: DataFrame) -> DataFrame:
-    """Greedy gene families: rows by score, the query takes the subject's family, else it founds one.
-
-    hits: part, query, subject, bitscore. The order matters, so each part (as a connected set of genes) is one task's work.
-    """
-    import pandas as pd
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        family: dict = {}
-        for q, s in zip(*(pdf.sort_values(["bitscore", "query", "subject"], ascending=[False, True, True])[c] for c in ("query", "subject"))):
-            if q not in family:
-                family[q] = family.get(s, q)
-            family.setdefault(s, family[q])
-        return pd.DataFrame({"part": pdf.part.iat[0], "gene": list(family), "family": list(family.values())})
-
-    return hits.select("part", "query", "subject", "bitscore").groupBy("part").applyInPandas(run, "part long, gene long, family long")

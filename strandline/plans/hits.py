@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 
 from ..catalog import query
 from ..operators import hits as ops
+from ..operators.clustering import families, iterated
 from .views import Views
 
 ORDER = Views.FILE_ORDER
@@ -187,11 +188,38 @@ def _(v):
     return ops.matched_pairs(v.hits.select(F.col("query").alias("name"), F.col("bitscore").alias("value")), "name", "value")
 
 
-@query("g1_gene_families")
+FAMILIES = """
+    WITH RECURSIVE h AS ({hits}),
+    seen AS (SELECT part, query AS gene, k, query, subject FROM h{subjects}),
+    first AS (SELECT part, gene, min(k) AS k, arg_min(query, k) AS query, arg_min(subject, k) AS subject FROM seen GROUP BY 1, 2),
+    links AS (SELECT a.part, a.gene, CASE WHEN b.k < a.k THEN b.gene ELSE a.query END AS up
+      FROM first a LEFT JOIN first b ON b.part = a.part AND b.gene = CASE WHEN a.gene = a.query THEN a.subject ELSE a.query END),
+    walk AS (SELECT part, gene, gene AS family, up FROM links UNION ALL SELECT w.part, w.gene, l.gene, l.up FROM walk w JOIN links l ON l.part = w.part AND l.gene = w.up WHERE w.up <> w.family)
+    SELECT part, gene, family FROM walk WHERE up = family"""
+
+
+@query("g1_gene_families", FAMILIES.format(hits="SELECT query % 50 AS part, query, subject, row_number() OVER (ORDER BY bitscore DESC, query, subject) AS k FROM hits", subjects=" UNION ALL SELECT part, subject, k, query, subject FROM h"), "hits")
 def _(v):
-    """Greedy families within parts; order-dependent, so there is no SQL for it."""
+    """Greedy families within parts, as if hits were read one by one."""
     h = v.hits.select((F.col("query") % 50).alias("part"), "query", "subject", "bitscore")
-    return ops.families(h)
+    return families(h)
+
+
+@query("g1_query_families", "SELECT gene, family FROM (" + FAMILIES.format(hits="SELECT 0 AS part, query % 9973 AS query, subject, row_number() OVER (ORDER BY bitscore DESC, evalue, length DESC, query % 9973, subject) AS k FROM hits", subjects="") + ")", "hits")
+def _(v):
+    """Families of queries alone over all hits, by score, then error, then length: a subject has one only by a hit of its own."""
+    h = v.hits.withColumn("query", F.col("query") % 9973)
+    return families(h, (), [-F.col("bitscore"), F.col("evalue"), -F.col("length")], subjects=False)
+
+
+def _names(v):
+    return v.table("part").select(F.col("p_partkey").cast("string").alias("id"), F.upper("p_name").alias("seq"))
+
+
+@query("g4_iterative_clusters")
+def _(v):
+    """Part names clustered at 60 %, clusters of at least three names again at 75 %, and again at 90 %."""
+    return iterated(_names(v), (0.6, 0.75, 0.9), 3, k=4, window=3)
 
 
 @query("j22_asof", """

@@ -163,21 +163,6 @@ def test_base32(spark, s, want):
     assert one(spark, t.from_base32(F.lit(code.lower() + "==="))) == s
 
 
-def test_families_against_a_plain_walk(spark):
-    import random
-
-    rng = random.Random(3)
-    h = [(p, rng.randrange(40), rng.randrange(40), float(rng.randrange(30))) for p in (0, 1) for _ in range(150)]
-    want = set()
-    for part in (0, 1):
-        family = {}
-        for _, q, s, _ in sorted((x for x in h if x[0] == part), key=lambda x: (-x[3], x[1], x[2])):
-            family.setdefault(q, family.get(s, q))
-            family.setdefault(s, family[q])
-        want |= {(part, g, f) for g, f in family.items()}
-    assert set(rows(hits.families(spark.createDataFrame(h, "part long, query long, subject long, bitscore double")))) == want
-
-
 def test_closest_against_a_plain_table(spark):
     from strandline.operators.alignment import closest
 
