@@ -369,6 +369,15 @@ def _(v):
     return closest(names, v.table("nation").select(F.col("n_name").alias("ref"), F.col("n_name").alias("ref_seq")))
 
 
+@query("m11_closest_name")
+def _(v):
+    """The part whose name is closest to each part's name without its e's: most have a near one, which the index finds."""
+    from ..operators.alignment import closest
+
+    part = v.table("part").select(F.col("p_partkey").cast("string").alias("id"), "p_name")
+    return closest(part.select("id", F.translate("p_name", "e", "").alias("seq")), part.select(F.col("id").alias("ref"), F.col("p_name").alias("ref_seq")))
+
+
 @query("x10_header_codec", """
     WITH h AS (SELECT id, file || ' ' || id AS header FROM seqs), b AS (SELECT id, header, list_reduce(list_transform(range(0, octet_length(encode(header))), lambda i: lpad(bin(CAST('0x' || substr(hex(encode(header)), CAST(2 * i + 1 AS INTEGER), 2) AS INTEGER)), 8, '0')), lambda x, y: x || y) AS bits FROM h),
     g AS (SELECT id, header, list_transform(range(0, CAST(ceil(length(bits) / 5.0) AS BIGINT)), lambda i: rpad(substr(bits, CAST(5 * i + 1 AS INTEGER), 5), 5, '0')) AS g FROM b)

@@ -142,18 +142,6 @@ def test_empty_tables(spark):
     assert sequences.dereplicate(seqs(spark).limit(0) if False else spark.createDataFrame([], "ord long, id string, seq string")).count() == 0
 
 
-def test_closest_over_blocks_of_references(spark):
-    """References beyond those a task holds at a time count as well; ties go to the lesser, repeated queries stay."""
-    from strandline.operators.alignment import closest
-
-    refs = [(f"r{i}", s) for i, s in enumerate(("ACGT", "AC", "GGGG", "ACGT", "TTTTT", "", "CAT"))]
-    queries = [("a", "ACGT"), ("a", "ACGT"), ("a", "GGG"), ("b", "TTT"), ("c", None), (None, "CAT")]
-    got = closest(spark.createDataFrame(queries, "id string, seq string"), spark.createDataFrame(refs, "ref string, ref_seq string"), most=2)
-    want = [(i, *min((-int(scores(s or "", [r])[0]), name) for name, r in refs)[::-1]) for i, s in queries]
-    assert rows(got) == sorted(((i, ref, -minus) for i, ref, minus in want), key=repr)
-    assert rows(closest(got.select("id", F.lit("A").alias("seq")), spark.createDataFrame([], "ref string, ref_seq string"))) == []
-
-
 @pytest.mark.parametrize("s, want", [("", ""), ("f", "MY"), ("foobar", "MZXW6YTBOI"), ("read 1;é", None), ("\u6f22", None)])
 def test_base32(spark, s, want):
     import base64
@@ -163,23 +151,6 @@ def test_base32(spark, s, want):
     assert one(spark, t.from_base32(F.lit(code.lower() + "==="))) == s
 
 
-def test_closest_against_a_plain_table(spark):
-    from strandline.operators.alignment import closest
-
-    def score(a, b):
-        row = [-j for j in range(len(b) + 1)]
-        for i, x in enumerate(a, 1):
-            now = [-i]
-            for j, y in enumerate(b, 1):
-                now.append(max(row[j - 1] + (1 if x == y else -1), row[j] - 1, now[-1] - 1))
-            row = now
-        return row[-1]
-
-    q, r = ["red apple", "", "green pear", "plum"], ["APPLE", "pear", "plums", ""]
-    got = closest(spark.createDataFrame([(str(i), s) for i, s in enumerate(q)], "id string, seq string"), spark.createDataFrame([(x, x) for x in r], "ref string, ref_seq string"))
-    assert rows(got) == [(str(i), *max(((x, score(s, x)) for x in sorted(r)), key=lambda y: y[1])) for i, s in enumerate(q)]
-
-
 def test_a_walk_too_far_is_an_error(spark):
     nodes = spark.createDataFrame([(i, i - 1, "x", f"n{i}") for i in range(1, 9)] + [(0, 0, "phylum", "top")], "taxid int, parent int, rank string, name string")
     assert annotation.climb(nodes, nodes.where("taxid = 8").select("taxid"), ("phylum",), 9).first().depth == 8
