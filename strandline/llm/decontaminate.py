@@ -33,8 +33,22 @@ BLOCK, ITEMS = 8, 4000
 OUT = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
 
 
+#: All that is white space to Python, in items and documents alike; for ASCII, a table that lower-cases too.
+WHITE = re.compile("[" + "".join(map(re.escape, filter(str.isspace, map(chr, range(0x3001))))) + "]")
+PLAIN = bytes(32 if chr(c).isspace() else ord(chr(c).lower()) if c < 128 else c for c in range(256))
+
+
+def words_of(text: bytes) -> list[bytes]:
+    """Lower-cased words of a text in UTF-8."""
+    if text.isascii():
+        return text.translate(PLAIN).split()
+    return WHITE.sub(" ", text.decode("utf-8", "surrogatepass").lower()).encode("utf-8", "surrogatepass").split()
+
+
 def tokens(text: str) -> list[str]:
-    return [w for x in text.lower().split() if (w := x.strip(string.punctuation))]
+    """Words without punctuation around them."""
+    words = (w.decode("utf-8", "surrogatepass").strip(string.punctuation) for w in words_of(text.encode("utf-8", "surrogatepass")))
+    return [w for w in words if w]
 
 
 def grams(words: list) -> set:
@@ -166,10 +180,6 @@ class TermIds(dict):
         return got
 
 
-def words_of(text: bytes) -> list[bytes]:
-    return text.lower().split() if text.isascii() else text.decode("utf-8", "surrogatepass").lower().encode("utf-8", "surrogatepass").split()
-
-
 def _hits(index: Index, ids_of: TermIds, ids: list[int], words: list[list[bytes]]) -> list[tuple]:
     rows = []
     for i, ws in zip(ids, words):

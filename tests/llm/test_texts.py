@@ -357,6 +357,22 @@ def test_decontamination_against_all_scores(spark):
     assert decontaminate.contaminated(df, empty).count() == 0
 
 
+def test_decontamination_over_any_white_space(spark):
+    """Each character that is white space to Python parts words, in items and documents alike."""
+    white = [c for c in map(chr, range(0x110000)) if c.isspace()]
+    item = "what is the capital of france. the capital is paris indeed"
+    rows = [(i, "Well, " + item.replace(" ", c) + " ok") for i, c in enumerate(white)] + [(99, item.replace("of ", "of\u3000\xa0")), (100, item.replace(" ", "\u200b"))]
+    for text in (item, item.replace(" ", "\xa0"), item.replace("capital ", "capital\u2003\n")):
+        items = spark.createDataFrame([(7, text)], "item_id long, text string")
+        found = {r.doc_id for r in decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()}
+        assert found == {*range(len(white)), 99}
+
+
+@pytest.mark.parametrize("text", ["A b\x1cC\x85d", "\xa0x\u3000Y\u2028z ", "ΣΑΣ. ΑΣ", "plain Text\ttoo", "", "\x1f"])
+def test_words_are_those_of_str(text):
+    assert [w.decode() for w in decontaminate.words_of(text.encode())] == text.lower().split()
+
+
 def test_decontamination_does_not_depend_on_slices(spark, monkeypatch):
     """Items of one subject stand together: their words are rare among all items, and common in their slice."""
     rng = random.Random(12)
