@@ -25,7 +25,7 @@ CANDIDATE = rf"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]*+(?:-----END [
 NAME = rf"^[{CHARS.replace('=', '')}]++=++(?=[{CHARS}]{{16,}}+$)"
 #: What a password or the like is set to; PREFIX is all of it before the value.
 PREFIX = r"(?i)(?:password|passwd|passphrase|pwd|secret)[\"']?[ \t]{0,3}[:=][ \t]{0,3}[\"'`]?"
-ASSIGNED = PREFIX + r"[^\s\"'`<>,;]{8,200}+"
+ASSIGNED = PREFIX + r"[^\s\"'`<>,;]{8,}+"
 #: Characters before and after a candidate that features look at.
 BEFORE, AFTER = 48, 24
 #: Words that names, paths and placeholders are made of.
@@ -101,7 +101,8 @@ def labelled(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
     no = pick("no", "commit ", "sha1: ", "checksum=", "md5 ", "see ", "the of and ", "uuid=", "request id ", "etag: ", "build ", "revision ", "was ", "- ", "GIT_COMMIT_SHA=", "BUILD_REVISION: ")
     short = pick("len", 20, 24, 32, 40)
     pw = pick("pw", "password = ", 'password: "', "DB_PASSWORD=", "passwd=", "pwd: ", "secret = '", "passphrase: ", "Password: ")
-    mixed = F.translate(F.substring(b64("pw"), F.lit(1), pick("pwlen", 8, 9, 10, 12, 14, 18)), "+/", "!#")
+    # some are long
+    mixed = F.repeat(F.translate(F.substring(b64("pw"), F.lit(1), pick("pwlen", 2, 8, 9, 10, 12, 14, 18)), "+/", "!#"), pick("pwtimes", 8, 1, 1, 1, 1, 1, 16))
     secret = [
         (key, hexes("a", 40)), (key, F.substring(alnum("b"), 1, 36)), (key, F.substring(b64("c"), 1, 40)), (key, F.expr("upper(substring(sha2(concat(cast(id AS string), '/d'), 256), 1, 40))")),
         (no, F.concat(F.lit("AKIA"), F.upper(F.substring(alnum("e"), 1, 16)))), (no, F.concat(F.lit("ghp_"), F.substring(alnum("f"), 1, 36))), (key, F.concat(F.lit("sk-"), F.substring(alnum("g"), 1, 40))),
@@ -187,7 +188,8 @@ def model(spark: SparkSession) -> dict[str, list]:
     if FINDINGS in FORESTS:
         return FORESTS[FINDINGS]
     texts = labelled(spark).select("label", F.concat("before", "candidate", "after").alias("text"), F.length("before").alias("a"), (F.length("before") + F.length("candidate")).alias("z"))
-    found = cut(texts, "label", "a", "z")
+    # written, so that the scan is compiled once and not for each kind
+    found = cut(Scratch(spark).save(texts, "labelled"), "label", "a", "z")
     label = F.when((F.col("start") < F.col("z")) & (F.col("start") + F.length("candidate") > F.col("a")), F.col("label")).otherwise(0).alias("label")
     rows = found.select(label, *(v.alias(k) for k, v in features(F.col("candidate"), F.col("before"), F.col("after")).items())).orderBy("label", *FEATURES).collect()
     x = np.array([[r[f] for f in FEATURES] for r in rows])
@@ -195,17 +197,40 @@ def model(spark: SparkSession) -> dict[str, list]:
     return FORESTS[FINDINGS]
 
 
+#: Characters of a block by which pieces of a text are found.
+BLOCK = 512
+
+
+def let(value: Column, f) -> Column:
+    """f(value), with value computed once wherever f uses it, within lambdas too."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
+def running(values: Column, f) -> Column:
+    """f over each value and all before it, in as many passes as the number of values has bits: appending one by one would copy all each time."""
+    step = lambda j: F.call_function("shiftleft", F.lit(1), j)
+    passes = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int"))
+    return F.aggregate(passes, values, lambda acc, j: F.transform(acc, lambda x, i: F.when(i >= step(j), f(x, F.get(acc, i - step(j)))).otherwise(x)))
+
+
+def blocks(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def piece(blocks: Column, start: Column, end: Column) -> Column:
+    """Characters from start to end of a text: only the blocks in between are looked at, not all of the text before them."""
+    at = F.floor(start / BLOCK).cast("int")
+    some = F.array_join(F.slice(blocks, at + 1, F.floor(end / BLOCK).cast("int") - at + 1), "")
+    return F.substring(some, start - at * BLOCK + 1, end - start)
+
+
 def matches(texts: DataFrame, pattern: str, *keep: str) -> DataFrame:
     """(*keep, c, start, before, after) of every match in the column text of every row."""
-    found = texts.where(F.col("text").rlike(pattern)).select(*keep, F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("c"), F.split("text", pattern, -1).alias("s"))
-    # where each match starts, and the end of the text before it: summed and carried along
-    before = lambda acc, x: F.right(F.concat(acc["tail"], x["s"]), F.lit(BEFORE))
-    first = F.aggregate(
-        F.arrays_zip(F.slice("s", F.lit(1), F.size("c")).alias("s"), F.col("c").alias("c")),
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), F.expr("cast(array() as array<struct<start: int, before: string>>)").alias("out")),
-        lambda acc, x: F.struct((acc["at"] + F.length(x["s"]) + F.length(x["c"])).alias("at"), F.right(F.concat(before(acc, x), x["c"]), F.lit(BEFORE)).alias("tail"), F.array_append(acc["out"], F.struct((acc["at"] + F.length(x["s"])).alias("start"), before(acc, x).alias("before"))).alias("out")),
-        lambda acc: acc["out"])
+    found = texts.where(F.col("text").rlike(pattern)).select(*keep, "text", F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("c"), F.split("text", pattern, -1).alias("s"))
     n = F.size("c")
+    ends = running(F.zip_with(F.slice("s", F.lit(1), n), "c", lambda s, c: F.length(s) + F.length(c)), lambda x, y: x + y)
+    starts = F.zip_with(ends, "c", lambda e, c: e - F.length(c))
+    first = let(blocks(F.col("text")), lambda b: F.transform(starts, lambda x: F.struct(x.alias("start"), piece(b, F.greatest(x - BEFORE, F.lit(0)), x).alias("before"))))
     # the text after a match, with the next one: together more than AFTER, or up to the one that follows
     after = F.zip_with(F.slice("s", F.lit(2), n), F.slice(F.array_append("c", F.lit("")), F.lit(2), n), lambda s, c: F.left(F.concat(s, c), F.lit(AFTER)))
     each = found.select(*keep, F.explode(F.arrays_zip(F.col("c").alias("c"), first.alias("f"), after.alias("after"))).alias("x"))
@@ -224,10 +249,10 @@ def cut(texts: DataFrame, *keep: str) -> DataFrame:
     runs = matches(texts, CANDIDATE, *keep).withColumn("name", F.regexp_extract("c", NAME, 0)).select(*keep, F.explode(parts).alias("x")).select(*keep, "x.*")
     # values without a name are whole; names are candidates if they are as long as one
     runs = runs.where((F.length("candidate") >= 16) & F.col("candidate").rlike("[0-9]") & F.col("candidate").rlike("[A-Za-z]")).select(*keep, *out)
-    # passwords: those that a run is or is in are left to it
+    # passwords: those that are a run are left to it
     name = F.regexp_extract("c", "^" + PREFIX, 0)
     words = matches(texts, ASSIGNED, *keep).withColumn("name", name).select(*keep, (F.col("start") + F.length("name")).alias("start"), rest(F.length("name")).alias("candidate"), F.right(F.concat("before", "name"), F.lit(BEFORE)).alias("before"), "after")
-    return runs.unionByName(words.where(~F.col("candidate").rlike(f"(?=[{CHARS}]*[0-9])(?=[{CHARS}]*[A-Za-z])[{CHARS}]{{16}}")).select(*keep, *out))
+    return runs.unionByName(words.where(~F.col("candidate").rlike(f"^(?=.*[0-9])(?=.*[A-Za-z])[{CHARS}]{{16,}}$")).select(*keep, *out))
 
 
 def scan(docs: DataFrame, nodes: dict[str, list] | None = None) -> DataFrame:
@@ -235,7 +260,7 @@ def scan(docs: DataFrame, nodes: dict[str, list] | None = None) -> DataFrame:
 
     A password within a run such as NAME_1=pass is found both ways. Null and empty texts have none, nor does an empty table. Repeated rows
     give repeated findings; doc_id may be null; other columns are ignored, whatever their names. What is neither a run of 16 characters
-    with letters and digits nor assigned to a name of PREFIX is no candidate.
+    with letters and digits nor assigned to a name of PREFIX is no candidate; candidates may be of any length and any number.
     """
     nodes = nodes or model(docs.sparkSession)
     each = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id")
@@ -255,11 +280,11 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     found = scan(docs.select(F.xxhash64("text").alias("doc_id"), "text")).where("is_secret").select(F.col("doc_id").alias(h), F.struct("start", "end").alias("span"))
     each = keep.save(found.groupBy(h).agg(F.sort_array(F.collect_set("span")).alias(spans)), "spans")
     joined = docs.join(small_or_shuffled(each, 10 * each.count()), F.xxhash64("text") == F.col(h), "left")
-    clean = F.aggregate(
-        spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        # of findings that overlap, each adds what it has beyond those before it
-        lambda acc, x: F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.when(x["start"] >= acc["at"], F.concat(acc["out"], F.substring("text", acc["at"] + 1, x["start"] - acc["at"]), F.lit(mark))).otherwise(acc["out"]).alias("out")),
-        lambda acc: F.concat(acc["out"], F.substring("text", acc["at"] + 1, F.length("text"))))
+    # of findings that overlap, each adds what it has beyond those before it
+    reach = running(F.transform(spans, lambda x: x["end"]), F.greatest)
+    before = lambda r, i: F.when(i > 0, F.get(r, i - 1)).otherwise(0)
+    some = lambda b, r: F.transform(spans, lambda x, i: F.when(x["start"] >= before(r, i), F.concat(piece(b, before(r, i), x["start"]), F.lit(mark))).otherwise(""))
+    clean = let(blocks(F.col("text")), lambda b: let(reach, lambda r: F.array_join(F.array_append(some(b, r), piece(b, F.element_at(r, -1), F.length("text"))), "")))
     out = joined.withColumn("text", F.when(F.col(spans).isNotNull(), clean).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col(spans).isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
