@@ -33,8 +33,9 @@ BLOCK, ITEMS = 8, 4000
 OUT = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
 
 
-#: All that is white space to Python, in items and documents alike; for ASCII, a table that lower-cases too.
-WHITE = re.compile("[" + "".join(map(re.escape, filter(str.isspace, map(chr, range(0x3001))))) + "]")
+#: What is white space to Python beyond the six characters that bytes.split() knows; for ASCII, a table that lower-cases too.
+WHITE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \t\n\r\v\f"]
+BLANKS = re.compile("[" + "".join(map(re.escape, WHITE)) + "]")
 PLAIN = bytes(32 if chr(c).isspace() else ord(chr(c).lower()) if c < 128 else c for c in range(256))
 
 
@@ -42,7 +43,10 @@ def words_of(text: bytes) -> list[bytes]:
     """Lower-cased words of a text in UTF-8."""
     if text.isascii():
         return text.translate(PLAIN).split()
-    return WHITE.sub(" ", text.decode("utf-8", "surrogatepass").lower()).encode("utf-8", "surrogatepass").split()
+    low = text.decode("utf-8", "surrogatepass").lower()
+    if any(c in low for c in WHITE):
+        low = BLANKS.sub(" ", low)
+    return low.encode("utf-8", "surrogatepass").split()
 
 
 def tokens(text: str) -> list[str]:
