@@ -324,6 +324,19 @@ def _(v):
     return formats.alignments(v.spark, at).drop("seq", "qual")
 
 
+@query("s36_bam_in_ranges", """
+    SELECT 'q' || query AS read, CAST(mismatch AS INTEGER) AS flag, 'c' || (subject % 50) AS contig, CAST(sstart AS INTEGER) AS pos, CAST(length % 60 AS INTEGER) AS mapq,
+      length || 'M' AS cigar, substr(repeat('ACGTN', 20), 1, length) AS seq, repeat('I', length) AS qual FROM hits""", "hits")
+def _(v):
+    """Hits as a BAM, read again in ranges of its blocks."""
+    n = F.col("length")
+    r = v.hits.select(F.concat(F.lit("q"), _s("query")).alias("read"), F.col("mismatch").cast("int").alias("flag"), F.concat(F.lit("c"), _s(F.col("subject") % 50)).alias("contig"), F.col("sstart").cast("int").alias("pos"),
+                      (n % 60).cast("int").alias("mapq"), F.concat(_s(n), F.lit("M")).alias("cigar"), F.left(F.repeat(F.lit("ACGTN"), 20), n).alias("seq"), F.repeat(F.lit("I"), n).alias("qual"))
+    at = _folder(v)
+    sinks.write_bam(r, at, [(f"c{k}", 1000) for k in range(50)])
+    return files.read(v.spark, at, "bam", maxPartitionBytes=str(1 << 20)).drop("file", "ord")
+
+
 @query("s37_step_log", """
     SELECT CAST(event_id AS VARCHAR) AS step, coalesce(CAST(epoch(date_trunc('second', lead(ts) OVER w)) - epoch(date_trunc('second', ts)) AS BIGINT), 0) AS seconds
     FROM events WINDOW w AS (PARTITION BY user_id % 40 ORDER BY ts, event_id)""")

@@ -2,7 +2,10 @@
 
 kind "lines": file, ord, value. kind "fasta": file, ord, header, id, descr, seq. kind "fastq": file, ord, header, id, strand, seq, qual,
 error. kind "bam": file, ord, read, flag, contig, pos, mapq, cigar, seq, qual of every alignment. ord is the byte at which a record starts, so order within a file survives any shuffle. Plain files are read in byte ranges, each
-taking the records that start in it; compressed ones (.gz, .bz2, .zst, .zip, .bam) are one range each, ord counting uncompressed bytes.
+taking the records that start in it, and so are block-compressed ones (.bam, .gz by bgzip; see bgzf.py), ord being a virtual offset. Other
+compressed files (.gz, .bz2, .zst, .zip) are one range each, ord counting uncompressed bytes.
+
+Kind "bam" is written too (read, flag, contig, pos, mapq, cigar, seq, qual; option contigs: JSON of names and lengths), a file a task.
 
 FASTA option repair "true" makes every ">" within a header a "+". FASTQ mode "FAILFAST" (default) raises on a malformed record, "PERMISSIVE" returns it with `error` set.
 """
@@ -11,15 +14,20 @@ from __future__ import annotations
 
 import gzip
 import io
+import json
+import re
 import struct
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+
+from .bgzf import Bgzf, member_size, packed
 
 SCHEMAS = {
     "lines": "file string, ord long, value string",
@@ -28,7 +36,7 @@ SCHEMAS = {
     "bam": "file string, ord long, read string, flag int, contig string, pos int, mapq int, cigar string, seq string, qual string",
 }
 TYPES = {"string": pa.string(), "long": pa.int64(), "int": pa.int32()}
-PACKED = (".gz", ".bz2", ".zst", ".zip", ".bam")
+PACKED = (".gz", ".bgz", ".bz2", ".zst", ".zip", ".bam")
 #: Hadoop's names of stores, and those of the same in pyarrow.
 STORES = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss", "wasb": "abfs"}
 BATCH = 4 << 20
@@ -58,9 +66,20 @@ class Range(InputPartition):
         self.path, self.start, self.end = path, start, end
 
 
+def in_blocks(where: fs.FileSystem, path: str) -> bool:
+    """Whether a file is block-compressed."""
+    if not path.endswith((".gz", ".bam", ".bgz")):
+        return False
+    with where.open_input_file(path) as f:
+        return member_size(f.read(64)) is not None
+
+
 def opened(where: fs.FileSystem, path: str) -> Iterator:
     """The stream of a file, of each member of a zip."""
-    if path.endswith(".zip"):
+    if in_blocks(where, path):
+        f = where.open_input_file(path)
+        yield Bgzf(f, f.size())
+    elif path.endswith(".zip"):
         with zipfile.ZipFile(where.open_input_file(path)) as z:
             for name in z.namelist():
                 if not name.endswith("/"):
@@ -77,6 +96,9 @@ def opened(where: fs.FileSystem, path: str) -> Iterator:
 
 def lines(f, start: int, end: int) -> Iterator[tuple[int, str]]:
     """(byte, line) of the lines that start in [start, end)."""
+    if isinstance(f, Bgzf):
+        yield from f.lines(start, end)
+        return
     at = start
     if start:
         f.seek(start - 1)
@@ -86,6 +108,11 @@ def lines(f, start: int, end: int) -> Iterator[tuple[int, str]]:
         at += len(raw)
 
 
+def beyond(f, place: int, end: int) -> bool:
+    """Whether a line at a place is another range's, this one ending at `end`."""
+    return (place - 1 >> 16 if isinstance(f, Bgzf) else place) >= end
+
+
 def fasta(f, start: int, end: int, repair: bool = False) -> Iterator[tuple]:
     """repair: a ">" within a header becomes "+"."""
     at, header, seq = 0, None, []
@@ -93,7 +120,7 @@ def fasta(f, start: int, end: int, repair: bool = False) -> Iterator[tuple]:
         if line.startswith(">"):
             if header is not None:
                 yield (at, header, *split_header(header), "".join(seq))
-            if pos >= end:
+            if beyond(f, pos, end):
                 return
             at, header, seq = pos, line[1:].replace(">", "+") if repair else line[1:], []
         elif header is not None:
@@ -117,7 +144,7 @@ def fastq(f, start: int, end: int, strict: bool) -> Iterator[tuple]:
             held.pop(0)
         if not fill(4) and not (len(held) > 2 and held[0][1].startswith("@") and held[2][1].startswith("+")):
             return
-    while fill(1) and held[0][0] < end:
+    while fill(1) and not beyond(f, held[0][0], end):
         whole = fill(4)
         if not whole and not "".join(x for _, x in held).strip():
             return
@@ -133,8 +160,27 @@ def fastq(f, start: int, end: int, strict: bool) -> Iterator[tuple]:
 BAM_BASES, BAM_OPERATIONS = "=ACMGRSVTWYHKDBN", "MIDNSHP=X"
 
 
-def bam(f) -> Iterator[tuple]:
-    """Alignments of an inflated BAM stream; positions from 1, "*" for what is absent, as in its text form."""
+def bam_starts(contigs: int):
+    """For Bgzf.records(): whether alignments, several if there are, follow each other from a place on."""
+
+    def starts(data: bytes, k: int, whole: bool) -> bool:
+        seen = 0
+        while seen < 8 and k + 36 <= len(data):
+            size, ref, pos, name, _, _, operations, _, n, ref2, pos2 = struct.unpack_from("<iiiBBHHHiii", data, k)
+            if not (-1 <= ref < contigs and -1 <= ref2 < contigs and pos >= -1 and pos2 >= -1 and name and n >= 0) or 32 + name + 4 * operations + (n + 1) // 2 + n > size:
+                return False
+            text = data[k + 36 : k + 36 + name]
+            if len(text) == name and (text[-1] or not all(32 < c < 127 for c in text[:-1])):
+                return False
+            k, seen = k + 4 + size, seen + 1
+        return seen > 0 and (seen == 8 or k == len(data) or not whole)
+
+    return starts
+
+
+def bam(f, start: int = 0, end: int = 1 << 62) -> Iterator[tuple]:
+    """Alignments of an inflated BAM stream, or of a range of a block-compressed one; positions from 1, "*" for what is absent, as in its
+    text form."""
     at = 0
 
     def take(n: int) -> bytes:
@@ -152,17 +198,58 @@ def bam(f) -> Iterator[tuple]:
     for _ in range(number()):
         contigs.append(take(number())[:-1].decode("utf-8", "replace"))
         take(4)
-    while head := f.read(4):
-        start, at = at, at + len(head)
-        r = take(struct.unpack("<i", head)[0])
-        ref, pos, name, mapq, _, operations, flag, n = struct.unpack_from("<iiBBHHHi", r)
-        k = 32 + name
-        cigar = "".join(f"{x >> 4}{BAM_OPERATIONS[x & 15]}" for x in struct.unpack_from(f"<{operations}I", r, k))
-        k += 4 * operations
-        packed, qual = r[k : k + (n + 1) // 2], r[k + (n + 1) // 2 :][:n]
-        seq = "".join(BAM_BASES[x >> 4] + BAM_BASES[x & 15] for x in packed)[:n]
-        quality = "".join(chr(x + 33) for x in qual) if n and qual[0] != 255 else "*"
-        yield (start, r[32 : k - 4 * operations - 1].decode("utf-8", "replace"), flag, contigs[ref] if ref >= 0 else "*", pos + 1, mapq, cigar or "*", seq or "*", quality)
+    blocks = isinstance(f, Bgzf)
+    if blocks and start:
+        # the header may go on into this range
+        if (first := f.tell()) >> 16 >= start:
+            f.seek(first)
+        elif not f.records(start, end, bam_starts(len(contigs))):
+            return
+    while True:
+        if blocks and (at := f.tell()) >= end << 16:
+            return
+        if not (head := f.read(4)):
+            return
+        place, at = at, at + len(head)
+        if len(head) < 4:
+            raise ValueError(f"byte {place}: the file ends within a record")
+        yield (place, *alignment(take(struct.unpack("<i", head)[0]), contigs))
+
+
+def alignment(r: bytes, contigs: list[str]) -> tuple:
+    """The fields of one record."""
+    ref, pos, name, mapq, _, operations, flag, n = struct.unpack_from("<iiBBHHHi", r)
+    k = 32 + name
+    cigar = "".join(f"{x >> 4}{BAM_OPERATIONS[x & 15]}" for x in struct.unpack_from(f"<{operations}I", r, k))
+    k += 4 * operations
+    packed, qual = r[k : k + (n + 1) // 2], r[k + (n + 1) // 2 :][:n]
+    seq = "".join(BAM_BASES[x >> 4] + BAM_BASES[x & 15] for x in packed)[:n]
+    quality = "".join(chr(x + 33) for x in qual) if n and qual[0] != 255 else "*"
+    return (r[32 : k - 4 * operations - 1].decode("utf-8", "replace"), flag, contigs[ref] if ref >= 0 else "*", pos + 1, mapq, cigar or "*", seq or "*", quality)
+
+
+def bin_of(start: int, end: int) -> int:
+    """The smallest bin of the format's index that holds [start, end), from 0; first numbers of the levels are fixed values."""
+    for shift, first in ((14, 4681), (17, 585), (20, 73), (23, 9), (26, 1)):
+        if start >> shift == (end - 1) >> shift:
+            return first + (start >> shift)
+    return 0
+
+
+def bam_bytes(row, number: dict[str, int]) -> bytes:
+    """A record of (read, flag, contig, pos, mapq, cigar, seq, qual); null and "*" are absent."""
+    name, seq, qual = (row.read or "*").encode(), "" if row.seq in (None, "*") else row.seq, row.qual
+    steps = [(int(n), BAM_OPERATIONS.index(x)) for n, x in re.findall(r"(\d+)(\D)", row.cigar or "")]
+    at = (row.pos or 0) - 1
+    covered = sum(n for n, x in steps if BAM_OPERATIONS[x] in "MDN=X") or 1
+    codes = [BAM_BASES.index(c) for c in seq] + [0] * (len(seq) % 2)
+    quality = b"\xff" * len(seq) if qual in (None, "*") else bytes(ord(c) - 33 for c in qual)
+    if len(quality) != len(seq):
+        raise ValueError(f"read {row.read}: sequence and qualities differ in length")
+    contig = -1 if row.contig in (None, "*") else number[row.contig]
+    head = struct.pack("<iiBBHHHiiii", contig, at, len(name) + 1, row.mapq or 0, bin_of(max(at, 0), max(at, 0) + covered), len(steps), row.flag or 0, len(seq), -1, -1, 0)
+    body = head + name + b"\0" + b"".join(struct.pack("<I", n << 4 | x) for n, x in steps) + bytes(a << 4 | b for a, b in zip(codes[::2], codes[1::2])) + quality
+    return struct.pack("<i", len(body)) + body
 
 
 def split_header(h: str) -> tuple[str, str]:
@@ -190,7 +277,7 @@ class RecordReader(DataSourceReader):
                 raise FileNotFoundError(p)
             prefix = p[: len(p) - len(path)] if p.endswith(path) else ""
             for x in sorted((x for x in found if x.is_file and not x.base_name.startswith(("_", "."))), key=lambda x: x.path):
-                step = x.size if x.path.endswith(PACKED) or not x.size else self.most
+                step = x.size if (x.path.endswith(PACKED) and not in_blocks(where, x.path)) or not x.size else self.most
                 out += [Range(prefix + x.path, a, min(x.size, a + step) if step == self.most else 1 << 62) for a in range(0, max(1, x.size), max(1, step))]
         return out or [Range("", 0, 0)]
 
@@ -202,7 +289,7 @@ class RecordReader(DataSourceReader):
         batch: list[tuple] = []
         size = 0
         for f in opened(where, path):
-            read = {"lines": lines, "fasta": lambda f, a, b: fasta(f, a, b, self.repair), "bam": lambda f, a, b: bam(f)}.get(self.kind) or (lambda f, a, b: fastq(f, a, b, self.strict))
+            read = {"lines": lines, "fasta": lambda f, a, b: fasta(f, a, b, self.repair), "bam": bam}.get(self.kind) or (lambda f, a, b: fastq(f, a, b, self.strict))
             for row in read(f, partition.start, partition.end):
                 batch.append((partition.path, *row))
                 size += sum(len(x) for x in row if isinstance(x, str)) + 100
@@ -213,6 +300,57 @@ class RecordReader(DataSourceReader):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*batch), types)], names=list(names))
 
 
+class Part(WriterCommitMessage):
+    def __init__(self, name: str):
+        self.name = name
+
+
+class BamWriter(DataSourceWriter):
+    """A file for each task, moved to its place when all tasks are done; files of tasks that were lost are deleted."""
+
+    def __init__(self, options: dict, overwrite: bool):
+        self.path, self.overwrite = options["path"], overwrite
+        self.contigs: list = json.loads(options.get("contigs", "[]"))
+        self.held = f"_held-{uuid.uuid4().hex}"
+
+    def write(self, rows) -> Part:
+        from pyspark import TaskContext
+
+        where, path = place(self.path)
+        name = f"part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}.bam"
+        where.create_dir(f"{path}/{self.held}")
+        number = {n: k for k, (n, _) in enumerate(self.contigs)}
+        text = "@HD\tVN:1.6\n" + "".join(f"@SQ\tSN:{n}\tLN:{size}\n" for n, size in self.contigs)
+        head = b"BAM\x01" + struct.pack("<i", len(text.encode())) + text.encode() + struct.pack("<i", len(self.contigs))
+        head += b"".join(struct.pack("<i", len(n.encode()) + 1) + n.encode() + b"\0" + struct.pack("<i", size) for n, size in self.contigs)
+
+        def parts():
+            yield head
+            for row in rows:
+                yield bam_bytes(row, number)
+
+        with where.open_output_stream(f"{path}/{self.held}/{name}", compression=None) as f:
+            for member in packed(parts()):
+                f.write(member)
+        return Part(name)
+
+    def commit(self, messages) -> None:
+        where, path = place(self.path)
+        if self.overwrite:
+            for x in where.get_file_info(fs.FileSelector(path)):
+                if x.is_file:
+                    where.delete_file(x.path)
+        for m in messages:
+            if m is not None:
+                where.move(f"{path}/{self.held}/{m.name}", f"{path}/{m.name}")
+        where.delete_dir(f"{path}/{self.held}")
+
+    def abort(self, messages) -> None:
+        where, path = place(self.path)
+        if where.get_file_info(f"{path}/{self.held}").type == fs.FileType.Directory:
+            where.delete_dir(f"{path}/{self.held}")
+
+
 class RecordSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -224,6 +362,11 @@ class RecordSource(DataSource):
     def reader(self, schema) -> RecordReader:
         return RecordReader(self.options)
 
+    def writer(self, schema, overwrite: bool) -> BamWriter:
+        if self.options.get("kind") != "bam":
+            raise ValueError("of these kinds only bam is written here; see sinks.py")
+        return BamWriter(self.options, overwrite)
+
 
 def read(spark: SparkSession, path: str | list[str], kind: str = "lines", **options) -> DataFrame:
     spark.dataSource.register(RecordSource)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import wrap_lines
+from . import files
 
 
 def fasta_text(width: int | None = None) -> Column:
@@ -25,6 +28,13 @@ def write_fastq(df: DataFrame, path: str, mode: str = "error") -> None:
     df.select(F.concat(F.lit("@"), "header", F.lit("\n"), "seq", F.lit("\n+\n"), "qual").alias("value")).write.mode(mode).text(path)
 
 
+def write_bam(df: DataFrame, path: str, contigs: list[tuple[str, int]], mode: str = "append") -> None:
+    """Alignments (read, flag, contig, pos, mapq, cigar, seq, qual) in block-compressed files, each with the contigs (name, length)."""
+    df.sparkSession.dataSource.register(files.RecordSource)
+    rows = df.select("read", "flag", "contig", "pos", "mapq", "cigar", "seq", "qual")
+    rows.write.format("records").options(kind="bam", contigs=json.dumps(contigs)).mode(mode).save(path)
+
+
 def fastq_to_fasta(reads: DataFrame) -> DataFrame:
     return reads.select(F.col("header").alias("id"), "seq")
 

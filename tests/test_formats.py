@@ -215,3 +215,103 @@ def test_fasta_repair(spark, tmp_path):
     path = put(tmp_path, "x.fa", ">a b>c\nAC\n>d\nG\n")
     assert rows(files.read(spark, path, "fasta", repair="true").select("header", "seq")) == [("a b+c", "AC"), ("d", "G")]
     assert rows(files.read(spark, path, "fasta").select("header")) == [("a b>c",), ("d",)]
+
+
+def packed_file(path, data, sizes, seed=1):
+    """data in members of these sizes, in turn; some are empty."""
+    import random
+
+    from strandline.sources import bgzf
+
+    rng, out = random.Random(seed), []
+    while data:
+        n = rng.choice(sizes)
+        out.append(b"".join(bgzf.packed(iter([data[:n]])))[: -len(bgzf.END)])
+        data = data[n:]
+        if rng.random() < 0.1:
+            out.append(bgzf.END)
+    path.write_bytes(b"".join(out) + bgzf.END)
+    assert gzip.decompress(path.read_bytes()) is not None
+    return str(path)
+
+
+def ranges_of(path, kind, most):
+    """The rows of each range, as tasks read them."""
+    reader = files.RecordReader({"path": path, "kind": kind, "maxpartitionbytes": str(most)})
+    return [[tuple(r.values()) for b in reader.read(p) for r in b.to_pylist()] for p in reader.partitions()]
+
+
+BAM_HEAD = b"BAM\1" + struct.pack("<i", 4) + b"@HD\n" + struct.pack("<i", 2) + b"".join(struct.pack("<i", len(n) + 1) + n + b"\0" + struct.pack("<i", 100) for n in (b"c1", b"c2"))
+
+
+@pytest.mark.parametrize("sizes, most", [((700, 900), 500), ((5000,), 3000), ((40, 90), 200), ((60_000,), 20_000)])
+def test_bam_in_ranges(spark, tmp_path, sizes, most):
+    """Records of all sizes, over members and over whole ranges, each read once, in order."""
+    import random
+
+    rng = random.Random(sizes[0])
+    text = lambda n, letters: "".join(rng.choice(letters) for _ in range(n))
+    reads = []
+    for i in range(60 if sizes[0] < 100 else 300):
+        n = rng.choice((0, 1, 5, 50, 100, 3000))
+        reads.append((f"read{i}:{text(5, 'abc')}", rng.choice((0, 4, 16)), rng.choice((-1, 0, 1)), rng.randint(0, 9000), rng.randint(0, 60), [(n, "M")] if n else [], text(n, "ACGTN"), text(n, "!5?I") if n else "*"))
+    path = packed_file(tmp_path / "x.bam", BAM_HEAD + b"".join(bam_record(*r) for r in reads), sizes)
+    got = ranges_of(path, "bam", most)
+    each = [r for some in got for r in some]
+    assert [(r[2], r[3], r[5], r[6], r[8], r[9]) for r in each] == [(n, f, p, q, s or "*", u) for n, f, _, p, q, _, s, u in reads]
+    assert [r[1] for r in each] == sorted(r[1] for r in each) and sum(map(bool, got)) > 2
+    if most > 3000:
+        assert rows(files.read(spark, path, "bam", maxPartitionBytes=str(most))) == sorted(each, key=repr)
+
+
+@pytest.mark.parametrize("sizes, most", [((70, 300), 150), ((3000,), 900), ((11, 12), 60)])
+def test_packed_text_in_ranges(spark, tmp_path, sizes, most):
+    """Lines, FASTQ and FASTA packed by members are the same in ranges as in one."""
+    import random
+
+    rng = random.Random(2)
+    text = lambda n: "".join(rng.choice("ACGT@+>") for _ in range(n))
+    fastq = "".join(f"@r{i} x\n{(s := text(rng.randint(1, 120)))}\n+\n{'@' * len(s)}\n" for i in range(150))
+    fasta = "".join(f">s{i} about\n" + "".join(f"{text(40).replace('>', 'A')}\n" for _ in range(rng.randint(0, 9))) for i in range(120))
+    for kind, data in (("fastq", fastq), ("fasta", fasta), ("lines", fastq + "\n\nlast")):
+        plain = put(tmp_path, f"{kind}.txt", data)
+        path = packed_file(tmp_path / f"{kind}.txt.gz", data.encode(), sizes)
+        want = [tuple(r)[2:] for r in files.read(spark, plain, kind).orderBy("ord").collect()]
+        got = ranges_of(path, kind, most)
+        each = [r for some in got for r in some]
+        assert [r[2:] for r in each] == want and sum(map(bool, got)) > 3 and [r[1] for r in each] == sorted({r[1] for r in each})
+    assert files.sniff(str(tmp_path / "fastq.txt.gz")) == "fastq"
+
+
+def test_written_bam(spark, tmp_path):
+    """What is absent, letters of each kind, overwriting, and what is refused."""
+    from strandline.sources import sinks
+
+    schema = "read string, flag int, contig string, pos int, mapq int, cigar string, seq string, qual string, more int"
+    reads = [("r1", 0, "c1", 1, 60, "3M1S", "ACGT", "IIII", 1), ("r2", 4, None, None, None, None, None, None, 2), (None, 16, "c2", 70_000, 3, "2M10N3M", "NACGT", "*", 3)]
+    at = str(tmp_path / "bam")
+    want = [("*", 16, "c2", 70_000, 3, "2M10N3M", "NACGT", "*"), ("r1", 0, "c1", 1, 60, "3M1S", "ACGT", "IIII"), ("r2", 4, "*", 0, 0, "*", "*", "*")]
+    for n, mode in ((1, "append"), (2, "append"), (1, "overwrite")):
+        sinks.write_bam(spark.createDataFrame(reads, schema).repartition(2), at, [("c1", 100), ("c2", 90_000)], mode)
+        assert rows(files.read(spark, at, "bam").drop("file", "ord")) == sorted(want * n)
+    assert not [x for x in (tmp_path / "bam").iterdir() if x.name.startswith("_held")]
+    with pytest.raises(Exception, match="differ in length"):
+        sinks.write_bam(spark.createDataFrame([("r", 0, None, 1, 1, "*", "ACG", "I", 0)], schema), at, [])
+    assert not [x for x in (tmp_path / "bam").iterdir() if x.name.startswith("_held")]
+
+
+def test_damaged_members(tmp_path):
+    import io
+
+    from strandline.sources import bgzf
+
+    data = b"".join(bgzf.packed(iter([b"abc\n" * 50_000])))
+    f = bgzf.Bgzf(io.BytesIO(data), len(data))
+    assert f.read(1 << 20) == b"abc\n" * 50_000 and f.read(5) == b"" and f.tell() == len(data) << 16
+    assert f.find(1) == bgzf.member_size(data[:64]) and f.find(len(data)) is None
+    with pytest.raises(ValueError, match="not a whole member"):
+        bgzf.Bgzf(io.BytesIO(data[:-40]), len(data) - 40).read(1 << 20)
+    bad = bytearray(data)
+    bad[bgzf.member_size(data[:64]) - 6] ^= 1
+    with pytest.raises(ValueError, match="checksum"):
+        bgzf.Bgzf(io.BytesIO(bytes(bad)), len(bad)).read(10)
