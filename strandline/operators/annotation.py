@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from .rounds import Rounds, followed
+
 
 def rank_profile(genes: DataFrame, ranks: Sequence[str], top: int) -> DataFrame:
     """The `top` taxa of each bin and rank, with their share of the bin's genes: bin, rank, taxon, n, percent, place."""
@@ -51,21 +53,21 @@ def renamed(df: DataFrame, column: str, *maps: DataFrame) -> DataFrame:
     return df
 
 
-def climb(nodes: DataFrame, start: DataFrame, ranks: Sequence[str], most: int = 64) -> DataFrame:
-    """The first ancestor of each taxid with one of the ranks: taxid, name, rank, depth. A walk of more than `most` steps is an error.
+def climb(nodes: DataFrame, start: DataFrame, ranks: Sequence[str], most: int | None = None) -> DataFrame:
+    """The first ancestor of each taxid with one of the ranks: taxid, name, rank, depth. A walk of more than `most` steps is an error, if it
+    is given; so is a circle.
 
-    Every step is a join of those still climbing; the ones that arrived drop out.
+    All nodes (taxid, parent, rank, name) climb at once, twice as far each round, so taxonomies of any depth take few rounds (see
+    rounds.followed). A walk that ends at a node of another rank, or leaves the table, gives no row.
     """
-    up = start.select("taxid", F.col("taxid").alias("node"))
-    n = nodes.select(F.col("taxid").alias("node"), "parent", "rank", "name")
-    out = None
-    for depth in range(most):
-        here = up.join(n, "node")
-        hit = here.where(F.col("rank").isin(*ranks)).select("taxid", "name", "rank", F.lit(depth).alias("depth"))
-        out = hit if out is None else out.unionByName(hit)
-        up = here.where(~F.col("rank").isin(*ranks) & (F.col("parent") != F.col("node"))).select("taxid", F.col("parent").alias("node"))
-    far = F.raise_error(F.concat(F.lit(f"more than {most} steps up from "), F.col("taxid").cast("string")))
-    return out.unionByName(up.select("taxid", far.cast("string").alias("name"), F.lit("").alias("rank"), F.lit(most).alias("depth")))
+    top = F.col("rank").isin(*ranks)
+    ends = followed(nodes.select(F.col("taxid").alias("node"), F.when(top, None).otherwise(F.col("parent")).alias("to")), Rounds(nodes.sparkSession))
+    at = nodes.where(top).select(F.col("taxid").alias("to"), "name", "rank")
+    depth = F.col("steps").cast("int")
+    if most is not None:
+        far = F.raise_error(F.concat(F.lit(f"more than {most} steps up from "), F.col("taxid").cast("string")))
+        depth = F.when(F.col("steps") > most, far.cast("int")).otherwise(depth)
+    return start.select("taxid").join(ends, F.col("taxid") == F.col("node")).join(at, "to").select("taxid", "name", "rank", depth.alias("depth"))
 
 
 def attribute_map(attributes: Column, pair: str = ";", is_: str = "=") -> Column:

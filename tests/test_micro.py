@@ -151,6 +151,16 @@ def test_base32(spark, s, want):
     assert one(spark, t.from_base32(F.lit(code.lower() + "==="))) == s
 
 
+def test_deep_taxonomies(spark):
+    """A chain of a thousand nodes, walks without end, and a circle."""
+    rows_ = [(i, i - 1, "x", f"n{i}") for i in range(1, 1001)] + [(0, 0, "phylum", "top"), (5000, 5000, "no rank", "root"), (5001, 5000, "y", "z"), (6001, 6000, "y", "lost")]
+    nodes = spark.createDataFrame(rows_, "taxid int, parent int, rank string, name string")
+    start = spark.createDataFrame([(1000,), (3,), (0,), (5001,), (6001,), (3,)], "taxid int")
+    assert rows(annotation.climb(nodes, start, ("phylum",))) == [(0, "top", "phylum", 0), (1000, "top", "phylum", 1000), (3, "top", "phylum", 3), (3, "top", "phylum", 3)]
+    with pytest.raises(ValueError, match="circle"):
+        annotation.climb(spark.createDataFrame([(1, 2, "x", "a"), (2, 1, "x", "b")], "taxid int, parent int, rank string, name string"), start, ("phylum",))
+
+
 def test_a_walk_too_far_is_an_error(spark):
     nodes = spark.createDataFrame([(i, i - 1, "x", f"n{i}") for i in range(1, 9)] + [(0, 0, "phylum", "top")], "taxid int, parent int, rank string, name string")
     assert annotation.climb(nodes, nodes.where("taxid = 8").select("taxid"), ("phylum",), 9).first().depth == 8
