@@ -362,6 +362,11 @@ class RecordSource(DataSource):
     def reader(self, schema) -> RecordReader:
         return RecordReader(self.options)
 
+    def streamReader(self, schema):
+        from .tail import RecordStream
+
+        return RecordStream(self.options)
+
     def writer(self, schema, overwrite: bool) -> BamWriter:
         if self.options.get("kind") != "bam":
             raise ValueError("of these kinds only bam is written here; see sinks.py")
@@ -373,6 +378,12 @@ def read(spark: SparkSession, path: str | list[str], kind: str = "lines", **opti
     return spark.read.format("records").options(kind=kind, **options).load(path if isinstance(path, str) else ",".join(path))
 
 
+def follow(spark: SparkSession, path: str | list[str], kind: str = "lines", **options) -> DataFrame:
+    """The records of files that still grow, as a stream (see tail.py)."""
+    spark.dataSource.register(RecordSource)
+    return spark.readStream.format("records").options(kind=kind, **options).load(path if isinstance(path, str) else ",".join(path))
+
+
 def sniff(path: str) -> str:
     """"fastq" or "fasta" by the first byte of a file."""
     where, at = place(path)
