@@ -8,6 +8,8 @@ from pyspark.sql import Window as W
 from ..catalog import query
 from ..operators import hits as ops
 from ..operators.clustering import families, iterated
+from ..operators.rounds import Rounds
+from ..operators.sketches import merged, sketches
 from .views import Views
 
 ORDER = Views.FILE_ORDER
@@ -242,6 +244,19 @@ def _(v):
     return v.hits.groupBy("query").agg(F.array_join(F.array_sort(F.array_except(F.array(*map(F.lit, "ANR")), F.collect_set("dataset"))), ",").alias("missing"))
 
 
+@query("a50_merged_sketches", "SELECT dataset, count(DISTINCT subject) AS exact, true AS near, true AS as_whole FROM hits GROUP BY 1", "hits")
+def _(v):
+    """Distinct subjects by sketches that each part of the hits has stored: merged, they are within 5 % of the exact count, and what one
+    sketch of all hits says."""
+    rounds = Rounds(v.spark)
+    h = v.hits.select("dataset", "subject", (F.col("query") % 16).alias("part"))
+    stored = rounds.save(sketches(h, "subject", "dataset", "part"))
+    whole = merged(sketches(h, "subject", "dataset"), "dataset").withColumnRenamed("n", "whole")
+    exact = h.groupBy("dataset").agg(F.count_distinct("subject").alias("exact"))
+    near = F.abs(F.col("n") - F.col("exact")) <= F.col("exact") * 0.05
+    return exact.join(merged(stored, "dataset"), "dataset").join(whole, "dataset").select("dataset", "exact", near.alias("near"), (F.col("n") == F.col("whole")).alias("as_whole"))
+
+
 @query("a50_approx_distinct", "SELECT dataset, true AS near FROM hits GROUP BY 1", "hits")
 def _(v):
     """Extra: a sketch of distinct subjects, within a tenth of their number."""
