@@ -10,6 +10,7 @@ from ..operators import hits as ops
 from ..operators.clustering import families, iterated
 from ..operators.rounds import Rounds
 from ..operators.sketches import merged, sketches
+from ..operators.temporal import first_of_each, overlapping
 from .views import Views
 
 ORDER = Views.FILE_ORDER
@@ -244,6 +245,29 @@ def _(v):
     return v.hits.groupBy("query").agg(F.array_join(F.array_sort(F.array_except(F.array(*map(F.lit, "ANR")), F.collect_set("dataset"))), ",").alias("missing"))
 
 
+@query("j22_overlapping_spans", """
+    WITH a AS (SELECT o_orderkey AS ordered, o_custkey AS customer, CAST(o_orderdate AS DATE) AS start, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 60 AS INTEGER) AS stop FROM orders),
+    b AS (SELECT l_orderkey AS shipped, l_linenumber AS line, o_custkey AS customer, CAST(l_shipdate AS DATE) AS start, CAST(l_shipdate AS DATE) + CAST(l_linenumber * 3 AS INTEGER) AS stop FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
+    SELECT a.customer, ordered, shipped, line, a.start, b.stop AS right_stop FROM a JOIN b ON a.customer = b.customer AND a.start <= b.stop AND b.start <= a.stop""")
+def _(v):
+    """Orders and shipments of one customer that are open at the same time."""
+    o = v.table("orders")
+    a = o.select(F.col("o_orderkey").alias("ordered"), F.col("o_custkey").alias("customer"), F.col("o_orderdate").cast("date").alias("start"))
+    a = a.withColumn("stop", F.date_add("start", (F.col("ordered") % 60).cast("int")))
+    b = v.table("lineitem").join(o.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
+    b = b.select(F.col("l_orderkey").alias("shipped"), F.col("l_linenumber").alias("line"), F.col("o_custkey").alias("customer"), F.col("l_shipdate").cast("date").alias("start"))
+    b = b.withColumn("stop", F.date_add("start", (F.col("line") * 3).cast("int")))
+    return overlapping(a, b, "customer", 40).select("customer", "ordered", "shipped", "line", "start", "right_stop")
+
+
+@query("j22_lateral", """
+    SELECT c_custkey, c_name, o.o_orderkey, o.o_totalprice FROM customer c, LATERAL (SELECT o_orderkey, o_totalprice FROM orders WHERE o_custkey = c.c_custkey ORDER BY o_totalprice DESC, o_orderkey LIMIT 2) o""")
+def _(v):
+    """The two dearest orders of every customer who has any, by a correlated subquery."""
+    c = v.table("customer").select("c_custkey", "c_name")
+    return first_of_each(c, v.table("orders"), ("c_custkey", "o_custkey"), [F.desc("o_totalprice"), F.col("o_orderkey")], 2, "o_orderkey", "o_totalprice")
+
+
 @query("a50_merged_sketches", "SELECT dataset, count(DISTINCT subject) AS exact, true AS near, true AS as_whole FROM hits GROUP BY 1", "hits")
 def _(v):
     """Distinct subjects by sketches that each part of the hits has stored: merged, they are within 5 % of the exact count, and what one
