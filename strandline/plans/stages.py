@@ -59,3 +59,18 @@ def _(v):
     from ..streaming.events import sessions
 
     return sessions(v.table("events"), "6 hours").select("user_id", "start", "n")
+
+
+@query("t1_paired_mates", """
+    WITH m AS (SELECT conv_id || ':' || (turn // 2) AS pair, min({'ts': 700 * turn * turn, 'seq': coalesce(text, '')}) FILTER (turn % 2 = 0) AS a, min({'ts': 700 * turn * turn, 'seq': coalesce(text, '')}) FILTER (turn % 2 = 1) AS b
+      FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY 1),
+    n AS (SELECT *, coalesce(abs(a.ts - b.ts) <= 3600, false) AS near FROM m)
+    SELECT pair, a.seq AS first, b.seq AS second, CAST(greatest(a.ts, b.ts) AS BIGINT) AS at FROM n WHERE near
+    UNION ALL SELECT pair, a.seq, NULL, CAST(a.ts AS BIGINT) FROM n WHERE NOT near AND a IS NOT NULL UNION ALL SELECT pair, NULL, b.seq, CAST(b.ts AS BIGINT) FROM n WHERE NOT near AND b IS NOT NULL""")
+def _(v):
+    """Turns as mates that come later and later: those within an hour are one row; on a stream, the same by state (see events.paired)."""
+    from ..streaming.events import paired
+
+    turn = F.col("turn")
+    reads = v.table("conversations").select(F.concat(F.col("conv_id").cast("string"), F.lit(":"), F.floor(turn / 2).cast("string")).alias("pair"), (turn % 2).alias("mate"), F.col("text").alias("seq"), F.timestamp_seconds(700 * turn * turn).alias("ts"))
+    return paired(reads, "1 hour").select("pair", "first", "second", F.unix_seconds("at").alias("at"))

@@ -71,3 +71,34 @@ def test_ends_of_whole_records(monkeypatch):
         assert tail.whole_end(io.BytesIO(fastq[:n]), n, got, "fastq") >= got
     assert tail.whole_end(io.BytesIO(b">a\nAC\n>b\nG"), 10, 0, "fasta") == 6 and tail.whole_end(io.BytesIO(b">a\nAC"), 5, 0, "fasta") == 0
     assert tail.whole_end(io.BytesIO(b"x" * 100), 100, 0, "lines") == 0 and tail.whole_end(io.BytesIO(b"ab\ncd"), 5, 0, "lines") == 3
+
+
+def test_mates_on_a_stream_and_in_a_batch(spark, tmp_path):
+    """Mates in one trigger, in several, too far apart, alone and repeated; a row behind the watermark is dropped; no state stays."""
+    import datetime
+
+    t = lambda minutes: datetime.datetime(2024, 1, 1) + datetime.timedelta(minutes=minutes)
+    steps = [
+        [("a", 0, "A0", t(0)), ("a", 1, "A1", t(5)), ("b", 0, "B0", t(1)), ("c", 0, "C0", t(2)), ("d", 1, "D1", t(3))],
+        [("b", 1, "B1", t(20)), ("c", 1, "C1", t(70)), ("d", 1, "D0", t(3)), (None, 0, "x", t(3)), ("e", 0, None, t(30)), ("e", 1, "E1", t(30))],
+        [("f", 0, "F0", t(400))],
+        [("late", 0, "L0", t(1)), ("g", 1, "G1", t(900))],
+        [("h", 1, "H1", t(2000))],
+        [("i", 1, "I1", t(4000))],
+    ]
+    schema = "pair string, mate int, seq string, ts timestamp"
+    source = tmp_path / "mates"
+    source.mkdir()
+    q = None
+    for k, some in enumerate(steps):
+        spark.createDataFrame(some, schema).coalesce(1).write.parquet(str(source / f"{k}"))
+        if q is None:
+            stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(str(source))
+            q = events.paired(stream, "1 hour", "1 hour").writeStream.format("memory").queryName("mates").outputMode("append").start()
+        q.processAllAvailable()
+    state = q.lastProgress["stateOperators"][0]["numRowsTotal"]
+    q.stop()
+    batch = rows(events.paired(spark.createDataFrame([r for some in steps for r in some if r[0] != "late"], schema), "1 hour"))
+    assert [r[:3] for r in batch if r[0] in "abcde"] == [("a", "A0", "A1"), ("b", "B0", "B1"), ("c", "C0", None), ("c", None, "C1"), ("d", None, "D0"), ("e", "", "E1")]
+    # the last one waits for the watermark
+    assert rows(spark.table("mates")) == [r for r in batch if r[0] != "i"] and state == 1
