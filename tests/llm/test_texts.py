@@ -188,6 +188,15 @@ def test_wrapper_decides_on_template_text_in_articles():
         assert got[:-1] == blocks and got[-1].startswith("By ") and "Print this article" in html_wrapper.main_text(page)
 
 
+def test_fixed_headings_within_an_article_stay():
+    """A heading that all articles of a host have is theirs; site text around it, and a heading that nothing follows, go."""
+    pages = host_pages("<body><nav>{k}</nav><article><h3>Welcome to the site</h3><h1>{title}</h1><div>Print this article</div>{body}<h2>Conclusion</h2><p>So {k}</p><table><tr><th>Source</th><td>{k}</td></tr></table><h4>Share this</h4><div>All rights reserved</div></article></body>")
+    w = wrapper_of(pages)
+    for page, blocks in pages:
+        got = html_wrapper.main_text(page, w).split("\n\n")
+        assert got[: len(blocks) + 1] == [*blocks, "Conclusion"] and got[len(blocks) + 1].startswith("So ") and got[len(blocks) + 2] == "Source" and len(got) == len(blocks) + 4
+
+
 def test_wrapper_decides_on_ambiguous_names():
     """A class that is boilerplate elsewhere holds the article here, and the other way round."""
     pages = host_pages("<body><article><h1>{title}</h1><div class='discussion'>{body}</div><div class='related'><a href=x>{k}</a></div><div class=notice>We use things</div></article></body>")
