@@ -2,7 +2,7 @@
 
 The tree is fitted on a bounded sample (one vector of SHARE, from LEAST to MOST); every distinct vector is filed under a leaf. A query
 walks the tree best bin first: a priority queue holds the open nodes, nearest centre first, and leaves are visited until as many are seen
-as calibration asks for. Calibration searches the sample with held-back queries, widening the visits until recall against brute force
+as calibration asks for. Calibration searches the sample with queries from within it, widening the visits until recall against brute force
 reaches RECALL. Scores are exact cosines of the original vectors in double precision; a product of whole blocks only tells which vectors
 can be among the nearest, and keeps all that come within ROUNDING of the last of these.
 """
