@@ -63,9 +63,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written as Parquet and reread as the next one's docs."""
+    """All stages over documents, each written as Parquet, reread as the next one's docs, and deleted once that is written."""
     keep = Scratch(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs, was = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = keep.save(stage(spark, docs, sf_dir), name)
+        if was is not None:
+            keep.drop(was)
+        was = docs
     return docs
